@@ -27,6 +27,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
+    if master.startswith("local"):
+        # Small local inputs: let AQE keep several tasks instead of merging
+        # everything below 1 MB into one (which serialises partitioned
+        # writes).  On a cluster keep the defaults, or prefer file size:
+        # parallelismFirst=false with a 128m advisory partition size.
+        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
