@@ -4,6 +4,8 @@ quality rules turn that NULL into a reason code."""
 
 from __future__ import annotations
 
+import datetime as dt
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -27,6 +29,14 @@ def parse_timestamp(c: str | Column) -> Column:
     return F.when(F.trim(c).rlike(_TS_PATTERN), F.trim(c).try_cast("timestamp_ntz"))
 
 
+def ntz(value: dt.datetime | dt.date) -> Column:
+    """A TIMESTAMP_NTZ literal built from text, so it does not depend on the
+    session or Python time zone."""
+    if not isinstance(value, dt.datetime):
+        value = dt.datetime.combine(value, dt.time())
+    return F.lit(value.isoformat(sep=" ")).cast("timestamp_ntz")
+
+
 def format_timestamp(c: str | Column, with_fraction: bool = False) -> Column:
     """Render a timestamp as landing text ('yyyy-MM-dd HH:mm:ss')."""
     fmt = C.LANDING_TIMESTAMP_FORMAT + (".SSSSSS" if with_fraction else "")

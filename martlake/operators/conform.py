@@ -22,7 +22,7 @@ def web_sales(valid_orders: DataFrame, as_of: dt.datetime | None = None,
     amount in ``rule_refund``."""
     ts = F.col("created_at")
     if as_of is not None:
-        ts = F.coalesce(ts, F.lit(as_of).cast("timestamp_ntz"))
+        ts = F.coalesce(ts, S.ntz(as_of))
     cols = [
         S.web_sale_id("order_id").alias("sale_id"),
         F.col("product_id").cast("bigint").alias("product_id"),

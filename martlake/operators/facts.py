@@ -52,7 +52,7 @@ def lookup_keys(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFr
         F.col("customer_id").alias("_c_id"), F.col("source_system").alias("_c_src"), "customer_key"))
     s = s.join(p, (s.product_id == p._p_id) & (s._psrc == p._p_src), "left")
     s = s.join(c, (s.customer_id == c._c_id) & (s._csrc == c._c_src), "left")
-    ingest = F.lit(as_of).cast("timestamp_ntz") if as_of is not None else F.lit(None).cast("timestamp_ntz")
+    ingest = S.ntz(as_of) if as_of is not None else F.lit(None).cast("timestamp_ntz")
     refund = F.col("refund_amount") if "refund_amount" in sales.columns else F.lit(None)
     return s.select(
         "sale_id", F.col("product_key").cast("bigint"), F.col("customer_key").cast("bigint"),

@@ -298,7 +298,7 @@ def merge_customers(spark, sf_dir):
     valid = quality.valid(flows.classified_sales(f))
     web = conform.web_customers(f.customers)
     early = conform.marketplace_customers(valid.filter(
-        F.col("transaction_date") < F.lit(dt.datetime.combine(SECOND_HALF, dt.time())).cast("timestamp_ntz")))
+        F.col("transaction_date") < S.ntz(SECOND_HALF)))
     first = dimensions.scd1_upsert(None, unify.union_all(web, early), key, nat, "first_name")
     path = scratch_path(spark, "dim_customers")
     dimensions.write_version(first, path)
@@ -584,7 +584,7 @@ def snk_sales_partitioned(spark, sf_dir):
 def incremental_sales(spark, sf_dir):
     root = scratch_path(spark, "incremental")
     s = fixtures.mkt_sales(spark, sf_dir).withColumn("dt", F.to_date("transaction_date"))
-    cut = F.lit(dt.datetime.combine(SECOND_HALF, dt.time())).cast("timestamp_ntz")
+    cut = S.ntz(SECOND_HALF)
     landing = f"{root}/landing"
     sinks.write_ndjson_landing(s.filter(F.col("transaction_date") < cut), landing, ["dt"])
     incremental.run_available_now(spark, landing, f"{root}/checkpoint", f"{root}/curated")

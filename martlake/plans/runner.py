@@ -27,6 +27,7 @@ from martlake import contracts as C
 from martlake.operators import dimensions, facts
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
+from martlake.functions import scalars as S
 from martlake.sinks import files as sinks
 from martlake.sources import files as sources
 from martlake.sources.files import PARSE_ERRORS
@@ -53,8 +54,8 @@ def land(feeds: flows.Feeds, layout: Layout) -> None:
 
 
 def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> flows.Feeds:
-    lo = F.lit(dt.datetime.combine(start, dt.time())).cast("timestamp_ntz")
-    hi = F.lit(dt.datetime.combine(end, dt.time())).cast("timestamp_ntz")
+    lo = S.ntz(start)
+    hi = S.ntz(end)
 
     def in_range(df: DataFrame, ts: str) -> DataFrame:
         # rows whose time is unparseable stay in (their reason is recorded)

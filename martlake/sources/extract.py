@@ -16,6 +16,8 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlake.functions import scalars as S
+
 CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone"]
 PRODUCT_COLUMNS = ["product_id", "product_name", "category", "price"]
 ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "total_amount",
@@ -57,5 +59,5 @@ def day_extract(orders: DataFrame, start: dt.date, end: dt.date | None = None) -
     lo = dt.datetime.combine(start, dt.time())
     hi = dt.datetime.combine(end, dt.time())
     ts = F.col("created_at")
-    return orders.filter((ts >= F.lit(lo).cast("timestamp_ntz")) & (ts < F.lit(hi).cast("timestamp_ntz"))) \
+    return orders.filter((ts >= S.ntz(lo)) & (ts < S.ntz(hi))) \
                  .select(*ORDER_COLUMNS)

@@ -28,3 +28,15 @@ def test_entry_runs(spark):
     rows = entry.entry(spark).collect()
     assert [r.channel_name for r in rows] == ["Website", "Amazon", "Flipkart"]
     assert rows[0].total_orders == 3492
+
+
+@pytest.mark.parametrize("name", ["scalar_parse_timestamp", "scalar_timestamp_fallback", "fact_defaults",
+                                  "src_extract_orders_day", "src_csv_orders", "incremental_sales"])
+def test_results_do_not_depend_on_session_time_zone(spark, con, sf_dir, name):
+    old = spark.conf.get("spark.sql.session.timeZone")
+    spark.conf.set("spark.sql.session.timeZone", "America/Los_Angeles")
+    try:
+        info = compare(spark, con, name, entry.queries()[name], ORACLE[name], sf_dir)
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", old)
+    assert info["match"], info
