@@ -140,10 +140,12 @@ def channels(spark: SparkSession, observed_sales: DataFrame) -> DataFrame:
     lacks (a new marketplace gets the next key).  The distinct channel names
     are aggregated map-side first; there are a handful of them."""
     seed = channel_seed(spark)
-    seen = observed_sales.select("channel_name").distinct()
-    new = seen.join(seed, "channel_name", "left_anti")
+    seen = observed_sales.select("channel_name").filter(F.col("channel_name").isNotNull()).distinct()
+    new = seen.join(F.broadcast(seed.select("channel_name")), "channel_name", "left_anti")
+    if new.isEmpty():  # the usual case: every channel is seeded
+        return seed
     top = max(k for k, _, _ in C.CHANNEL_SEED)
-    keyed = assign_keys(new, ["channel_name"], "channel_key", top, num_partitions=1)
+    keyed = assign_keys(new, ["channel_name"], "channel_key", top)
     extra = keyed.select("channel_key", "channel_name", F.lit("Marketplace").alias("channel_type"),
                          F.lit(C.DEFAULT_PRODUCT_SOURCE).alias("product_source"))
     return seed.unionByName(extra)

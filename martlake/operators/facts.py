@@ -76,20 +76,32 @@ def orphans(fact: DataFrame) -> DataFrame:
 # --------------------------------------------------------------------------
 def replace_slices(fact: DataFrame, path: str, start: dt.date, end: dt.date) -> None:
     """Make the ``sale_date`` slices in [start, end) of the table at ``path``
-    equal to ``fact`` (DELETE + INSERT per date, atomic per slice).
+    equal to ``fact`` (DELETE + INSERT per date, atomic per slice)."""
+    lo, hi = start.isoformat(), end.isoformat()
+    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
+    _replace(fact.filter(in_range), path, lambda day: lo <= day < hi)
+
+
+def replace_dates(fact: DataFrame, path: str, dates: list[dt.date]) -> None:
+    """The same for an explicit set of dates (slices touched by late refunds)."""
+    if not dates:
+        return
+    wanted = {d.isoformat() for d in dates}
+    _replace(fact.filter(F.col("sale_date").isin(list(dates))), path, lambda day: day in wanted)
 
-    Rows are written with dynamic partition overwrite, which replaces only
-    the dates present in ``fact``; dates in the range that now have no rows
-    are removed as well, so a rerun never leaves stale slices behind.  The
+
+def _replace(rows: DataFrame, path: str, in_scope) -> None:
+    """Rows are written with dynamic partition overwrite, which replaces only
+    the dates present in ``rows``; dates in scope that now have no rows are
+    removed as well, so a rerun never leaves stale slices behind.  The
     written dates are observed during the write (one pass; the set is
-    bounded by the number of days in the range).  The REBALANCE hint groups
-    rows by date before the write (few files per date) and lets AQE split a
-    hot date over several tasks and merge small ones.
+    bounded by the number of days in scope).  The REBALANCE hint groups rows
+    by date before the write (few files per date) and lets AQE split a hot
+    date over several tasks and merge small ones.
     """
-    spark = fact.sparkSession
+    spark = rows.sparkSession
     obs = Observation("slice_dates")
-    rows = (fact.filter((F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end)))
-            .observe(obs, F.collect_set("sale_date").alias("dates")))
+    rows = rows.observe(obs, F.collect_set("sale_date").alias("dates"))
     (rows.hint("rebalance", "sale_date").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("sale_date").parquet(path))
@@ -97,10 +109,9 @@ def replace_slices(fact: DataFrame, path: str, start: dt.date, end: dt.date) ->
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    lo, hi = start.isoformat(), end.isoformat()
     for st in fs.listStatus(root):
         name = st.getPath().getName()
         if st.isDirectory() and name.startswith("sale_date="):
             day = name.split("=", 1)[1]
-            if lo <= day < hi and day not in written:
+            if in_scope(day) and day not in written:
                 fs.delete(st.getPath(), True)

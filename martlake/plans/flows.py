@@ -91,10 +91,17 @@ def fact_sales(spark: SparkSession, feeds: Feeds, as_of: dt.datetime | None = No
                product_source: str = "channel_map") -> DataFrame:
     settled = settled_sales(feeds, as_of, refund_rule)
     dp, dc = dims if dims is not None else (dim_products(feeds), dim_customers(feeds))
-    ch = dimensions.channels(spark, settled)
+    ch = channel_dim(spark, feeds)
     return facts.lookup_keys(settled, dp, dc, ch, as_of, product_source)
 
 
+def channel_dim(spark: SparkSession, feeds: Feeds) -> DataFrame:
+    """Seeded channels plus marketplaces seen in the valid sales feed (the
+    website channel is seeded); reads only the marketplace name column."""
+    mkt = quality.valid(classified_sales(feeds)).select(F.col("marketplace_name").alias("channel_name"))
+    return dimensions.channels(spark, mkt)
+
+
 def channel_revenue(settled: DataFrame, dim_channels: DataFrame) -> DataFrame:
     """Orders, units, gross, refunds and net revenue per channel.
 

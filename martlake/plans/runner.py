@@ -4,12 +4,15 @@
 database extracts, NDJSON for marketplace feeds).  ``run_range`` then, for
 transactions in [start, end):
 
-1. reads the landing feeds by contract, splits them, writes the quarantine;
-2. conforms, unions and de-duplicates the sales and writes curated sales
+1. reads the landing feeds by contract, classifies them and writes them
+   typed, partitioned by validity (the invalid part is the quarantine);
+2. conforms, unions and de-duplicates the sales (read back from the staged
+   Parquet, so each text feed is parsed once) and writes curated sales
    partitioned by sale_date;
 3. upserts the product and customer dimensions (a new version each);
 4. settles refunds, looks up surrogate keys and replaces the fact's date
-   slices in the range (emptied dates included).
+   slices in the range (emptied dates included), plus the older slices whose
+   sales received a refund that landed in the range.
 
 A full rebuild is just a wide range.  Running the same range twice yields
 the same tables (asserted in the tests).
@@ -72,34 +75,72 @@ def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.da
 
 def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
               as_of: dt.datetime, web_refund_rule: bool = True,
-              feeds: flows.Feeds | None = None) -> None:
+              feeds: flows.Feeds | None = None) -> dict[str, dict]:
+    """Load [start, end).  Returns the split counts observed while staging."""
     feeds = feeds or landed_feeds(spark, layout, start, end)
     run_date = as_of.date()
 
-    # 1. quarantine
-    sinks.write_quarantine(flows.classified_orders(feeds), layout.quarantine, "orders", run_date)
-    sinks.write_quarantine(flows.classified_sales(feeds), layout.quarantine, "sales", run_date)
+    # 1. one parse + classification pass per transactional feed, written
+    #    typed; the invalid partitions are the quarantine
+    obs = {"orders": sinks.write_staged(flows.classified_orders(feeds), layout.staged_orders, "orders", run_date),
+           "sales": sinks.write_staged(flows.classified_sales(feeds), layout.staged_sales, "sales", run_date)}
+    staged = flows.Feeds(
+        orders=_staged_valid(spark, layout, "orders", run_date),
+        sales=_staged_valid(spark, layout, "sales", run_date),
+        refunds=feeds.refunds, products=feeds.products, customers=feeds.customers)
 
     # 2. curated sales, read back so later steps start from the written table
-    curated = flows.curated_sales(feeds, as_of, web_refund_rule)
-    sinks.write_partitioned_parquet(curated.withColumn("sale_date", F.to_date("transaction_date")),
+    curated = flows.curated_sales(staged, as_of, web_refund_rule)
+    sinks.write_partitioned_parquet(curated.withColumn("sale_date", S.sale_date("transaction_date")),
                                     layout.curated_sales, ["sale_date"])
-    curated = sources.read_dated_slice(spark, layout.curated_sales, start, end, "sale_date").drop("sale_date")
+    curated_all = spark.read.parquet(layout.curated_sales)
 
     # 3. dimensions: new version from the current one
-    dp = flows.dim_products(feeds, dimensions.read_latest(spark, layout.dim_products))
+    dp = flows.dim_products(staged, dimensions.read_latest(spark, layout.dim_products))
     dimensions.write_version(dp, layout.dim_products)
-    dc = flows.dim_customers(feeds, dimensions.read_latest(spark, layout.dim_customers))
+    dc = flows.dim_customers(staged, dimensions.read_latest(spark, layout.dim_customers))
     dimensions.write_version(dc, layout.dim_customers)
     dp = dimensions.read_latest(spark, layout.dim_products)
     dc = dimensions.read_latest(spark, layout.dim_customers)
+    ch = dimensions.channels(spark, curated_all)  # a one-column scan of the written table
 
-    # 4. fact slices
-    settled = refund_ops.settle(curated, flows.valid_refunds(feeds))
-    ch = dimensions.channels(spark, curated)  # a one-column scan of the written table
-    fact = facts.lookup_keys(settled, dp, dc, ch, as_of)
-    facts.replace_slices(fact, layout.fact_sales, start, end)
+    # 4. fact slices of the range, then older slices touched by refunds
+    #    that landed in this range
+    refunds = flows.valid_refunds(feeds)
+    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
+
+    def fact_of(sales: DataFrame) -> DataFrame:
+        settled = refund_ops.settle(sales.drop("sale_date"), refunds)
+        return facts.lookup_keys(settled, dp, dc, ch, as_of)
+
+    facts.replace_slices(fact_of(curated_all.filter(in_range)), layout.fact_sales, start, end)
+    late = late_refund_dates(curated_all, refunds, start, end)
+    if late:
+        facts.replace_dates(fact_of(curated_all.filter(F.col("sale_date").isin(late))), layout.fact_sales, late)
+    return {feed: dict(o.get) for feed, o in obs.items()}
+
+
+def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run_date: dt.date) -> DataFrame:
+    rows = spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(
+        (F.col("run_date") == F.lit(run_date)) & F.col("is_valid"))
+    return rows.drop("reasons", "run_date", "is_valid")
+
+
+def late_refund_dates(curated_all: DataFrame, refunds: DataFrame, start: dt.date, end: dt.date) -> list[dt.date]:
+    """Sale dates before the range whose sales got a refund dated inside it.
+
+    Only (sale_id, sale_date) of the curated table are read; the result has
+    at most one row per calendar day before the range.
+    """
+    recent = refunds.filter((F.col("refund_date") >= S.ntz(start)) & (F.col("refund_date") < S.ntz(end)))
+    hit = curated_all.select("sale_id", "sale_date").filter(F.col("sale_date") < F.lit(start)) \
+        .join(recent.select(F.col("original_transaction_id").alias("sale_id")), "sale_id", "left_semi")
+    return sorted(r[0] for r in hit.select("sale_date").distinct().toLocalIterator())
 
 
 def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
     return spark.read.parquet(layout.fact_sales)
+
+
+def read_quarantine(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
+    return spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(~F.col("is_valid"))

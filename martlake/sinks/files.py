@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
@@ -53,6 +53,22 @@ def write_quarantine(classified: DataFrame, path: str, feed: str, run_date: dt.d
     _writer(q, ["feed", "run_date"]).parquet(path)
 
 
+def write_staged(classified: DataFrame, path: str, feed: str, run_date: dt.date) -> Observation:
+    """Write a classified feed once, typed, partitioned by run date and
+    validity (one table per feed: the feeds' schemas differ).  The ``is_valid=false`` partitions are the quarantine (with
+    their reason codes); later steps read ``is_valid=true`` as Parquet, so a
+    text feed is parsed only once per run.  Split counts are observed during
+    the write (no extra job)."""
+    obs = Observation(f"split_{feed}")
+    ok = F.size(quality.REASONS) == 0
+    staged = (classified.withColumn("run_date", F.lit(run_date))
+              .withColumn("is_valid", ok)
+              .observe(obs, F.count(F.lit(1)).alias("n_input"), F.count_if(ok).alias("n_valid"),
+                       F.count_if(~ok).alias("n_quarantined")))
+    _writer(staged, ["run_date", "is_valid"]).parquet(path)
+    return obs
+
+
 def write_partitioned_parquet(df: DataFrame, path: str, partition_by: list[str]) -> None:
     _writer(df, partition_by).parquet(path)
 

@@ -6,6 +6,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
+from martlake.functions import scalars as S
 from martlake.operators import dimensions, facts, quality, unify
 from martlake.plans import flows, runner
 from martlake.plans.catalog import AS_OF, FULL_RANGE, QUERIES
@@ -73,14 +74,18 @@ def test_scd1_keys_stable_and_new_members_appended(spark, sf_dir):
 def test_rerun_equals_single_run(spark, sf_dir):
     layout = runner.Layout(scratch_path(spark, "lh"))
     runner.land(flows.feeds_from_tables(spark, sf_dir), layout)
-    runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF)
+    metrics = runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF)
+    assert metrics["orders"] == {"n_input": 6000, "n_valid": 4480, "n_quarantined": 1520}
     once = runner.read_fact(spark, layout).drop("ingestion_timestamp").collect()
     runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF)
     twice = runner.read_fact(spark, layout).drop("ingestion_timestamp").collect()
     assert sorted(map(tuple, once)) == sorted(map(tuple, twice))
     assert len(once) == len({r.sale_id for r in once})
-    q = spark.read.parquet(layout.quarantine)
-    assert q.filter("feed = 'orders'").count() == 6000 - 4480
+    assert runner.read_quarantine(spark, layout, "orders").count() == 6000 - 4480
+    # the published query over the loaded star schema equals the flow's revenue
+    star = flows.fact_channel_revenue(runner.read_fact(spark, layout), dimensions.channel_seed(spark))
+    direct = QUERIES["channel_revenue_web_refunds"](spark, sf_dir)
+    assert [tuple(r) for r in star.collect()] == [tuple(r) for r in direct.collect()]
 
 
 def test_replace_slices_clears_emptied_dates(spark):
@@ -113,3 +118,23 @@ def test_incremental_picks_up_only_new_files(spark, sf_dir):
     incremental.run_available_now(spark, f"{root}/landing", f"{root}/ck", f"{root}/cur")
     total = quality.valid(flows.classified_sales(flows.feeds_from_tables(spark, sf_dir))).count()
     assert spark.read.parquet(f"{root}/cur").count() == total > n1
+
+
+def test_late_refund_updates_its_sales_older_slice(spark):
+    from decimal import Decimal
+    from seed import feeds as seed_feeds
+    f = seed_feeds(spark)
+    layout = runner.Layout(scratch_path(spark, "late"))
+    early = dt.datetime(2026, 8, 21)
+    first = flows.Feeds(orders=f.orders, sales=f.sales, products=f.products, customers=f.customers,
+                        refunds=f.refunds.filter(F.col("refund_date") < S.ntz(early)))
+    runner.run_range(spark, layout, dt.date(2026, 8, 19), dt.date(2026, 8, 23), AS_OF, feeds=first)
+    late = spark.createDataFrame([("R-LATE", "MKT-SALE-FLP-2026-08-19-102", Decimal("100.00"), "x@y.z",
+                                   dt.datetime(2026, 8, 23, 9))], C.MKT_REFUNDS)
+    second = flows.Feeds(orders=f.orders.limit(0), sales=f.sales.limit(0), products=f.products,
+                         customers=f.customers, refunds=f.refunds.unionByName(late))
+    runner.run_range(spark, layout, dt.date(2026, 8, 23), dt.date(2026, 8, 24), AS_OF, feeds=second)
+    fact = runner.read_fact(spark, layout)
+    got = fact.filter("sale_id = 'MKT-SALE-FLP-2026-08-19-102'").first()
+    assert got.refund_amount == Decimal("100.00")
+    assert fact.count() == 26
