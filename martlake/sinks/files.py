@@ -25,17 +25,27 @@ def _writer(df: DataFrame, partition_by: list[str] | None):
     return w.partitionBy(*partition_by) if partition_by else w
 
 
-def write_csv_landing(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
-    """Header row, times as 'yyyy-MM-dd HH:mm:ss', NULL as an empty field."""
+def write_csv_landing(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                      skip_empty: bool = False) -> bool:
+    """Header row, times as 'yyyy-MM-dd HH:mm:ss', NULL as an empty field.
+    With ``skip_empty`` an empty extract writes nothing and returns False
+    (readers fall back to an empty frame of the contract)."""
+    if skip_empty and df.isEmpty():
+        return False
     (_writer(df, partition_by).option("header", True)
      .option("timestampNTZFormat", C.LANDING_TIMESTAMP_FORMAT)
      .option("nullValue", "").csv(path))
+    return True
 
 
-def write_ndjson_landing(df: DataFrame, path: str, partition_by: list[str] | None = None) -> None:
+def write_ndjson_landing(df: DataFrame, path: str, partition_by: list[str] | None = None,
+                         skip_empty: bool = False) -> bool:
     """One JSON object per line; times as 'yyyy-MM-dd HH:mm:ss'."""
+    if skip_empty and df.isEmpty():
+        return False
     (_writer(df, partition_by).option("timestampNTZFormat", C.LANDING_TIMESTAMP_FORMAT)
      .json(path))
+    return True
 
 
 def with_dated_keys(df: DataFrame, ts_col: str) -> DataFrame:
@@ -45,14 +55,6 @@ def with_dated_keys(df: DataFrame, ts_col: str) -> DataFrame:
               .withColumn("day", F.date_format(ts_col, "dd")))
 
 
-def write_quarantine(classified: DataFrame, path: str, feed: str, run_date: dt.date) -> None:
-    """Quarantined rows with their reason codes, partitioned by feed and run
-    date; a rerun replaces that run's partition."""
-    q = (quality.quarantined(classified)
-         .withColumn("feed", F.lit(feed)).withColumn("run_date", F.lit(run_date)))
-    _writer(q, ["feed", "run_date"]).parquet(path)
-
-
 def write_staged(classified: DataFrame, path: str, feed: str, run_date: dt.date) -> Observation:
     """Write a classified feed once, typed, partitioned by run date and
     validity (one table per feed: the feeds' schemas differ).  The ``is_valid=false`` partitions are the quarantine (with

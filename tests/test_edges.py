@@ -127,3 +127,29 @@ def test_pick_one_nulls_last_both_directions(spark):
     hi = unify.pick_one(df, ["k"], ["v"], largest=True).first()
     lo = unify.pick_one(df, ["k"], ["v"], largest=False).first()
     assert (hi.v, hi.s) == (5, "y") and (lo.v, lo.s) == (3, "z")
+
+
+def test_empty_extract_writes_nothing_and_reads_back_empty(spark):
+    from seed import feeds as seed_feeds
+    path = scratch_path(spark, "empty_orders")
+    day = seed_feeds(spark).orders.filter("created_at >= TIMESTAMP_NTZ'2030-01-01 00:00:00'")
+    assert sinks.write_csv_landing(day, path, skip_empty=True) is False
+    assert not sources.path_exists(spark, path)
+    assert sources.read_csv_feed(spark, path, C.ORDERS).count() == 0
+
+
+def test_literal_case_product_source_leaves_marketplace_products_unmatched(spark):
+    from seed import feeds as seed_feeds
+    f = seed_feeds(spark)
+    fact = flows.fact_sales(spark, f, dt.datetime(2026, 8, 23), product_source="case")
+    by_channel = {r.channel_key: r.n for r in fact.filter("product_key IS NULL")
+                  .groupBy("channel_key").agg(F.count(F.lit(1)).alias("n")).collect()}
+    assert by_channel == {2: 8, 3: 4}  # every marketplace sale; website sales all matched
+
+
+def test_new_marketplace_gets_next_channel_key(spark):
+    from martlake.operators import dimensions
+    sales = spark.createDataFrame([("Amazon",), ("Meesho",), ("Etsy",), ("Meesho",), (None,)], "channel_name string")
+    ch = {r.channel_name: (r.channel_key, r.channel_type) for r in dimensions.channels(spark, sales).collect()}
+    assert ch["Website"] == (1, "Internal") and ch["Etsy"] == (4, "Marketplace") and ch["Meesho"] == (5, "Marketplace")
+    assert len(ch) == 5
