@@ -13,7 +13,7 @@ from martlake.functions import scalars as S
 # Dimensions up to this many rows are broadcast to the lookup; larger ones
 # take a shuffle join (AQE may still broadcast by measured size, and splits
 # skewed partitions of the sales side).
-BROADCAST_MAX_ROWS = 2_000_000
+BROADCAST_MAX_ROWS = 1_000_000
 
 
 def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
