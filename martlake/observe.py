@@ -1,0 +1,21 @@
+"""Reading Observation metrics that may be absent.
+
+When no row flows through an observed plan (for example an empty in-memory
+frame, which Spark can answer without running a job), the metrics row is
+empty and ``Observation.get`` cannot convert it.  Metrics of such a run are
+the aggregate identities, given by the caller.
+"""
+
+from __future__ import annotations
+
+from pyspark.errors import PySparkException
+from pyspark.sql import Observation
+from py4j.protocol import Py4JJavaError
+
+
+def observed(obs: Observation, empty: dict) -> dict:
+    try:
+        got = obs.get
+    except (Py4JJavaError, PySparkException):
+        return dict(empty)
+    return dict(got) if got else dict(empty)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
+from martlake.observe import observed
 
 # Dimensions up to this many rows are broadcast to the lookup; larger ones
 # take a shuffle join (AQE may still broadcast by measured size, and splits
@@ -105,7 +106,10 @@ def _replace(rows: DataFrame, path: str, in_scope) -> None:
     (rows.hint("rebalance", "sale_date").write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic")
          .partitionBy("sale_date").parquet(path))
-    written = {d.isoformat() for d in (obs.get.get("dates") or [])}
+    got = observed(obs, {})
+    if "dates" not in got and not rows.isEmpty():
+        raise RuntimeError("written dates were not observed; refusing to delete slices")
+    written = {d.isoformat() for d in (got.get("dates") or [])}
     jvm = spark.sparkContext._jvm
     root = jvm.org.apache.hadoop.fs.Path(path)
     fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())

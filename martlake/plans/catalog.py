@@ -346,7 +346,7 @@ def fact_slice_replace(spark, sf_dir):
     path = scratch_path(spark, "fact_sales")
     dims = (flows.dim_products(f), flows.dim_customers(f))
     curated = flows.curated_sales(f)
-    no_refunds = refunds.settle(curated, f.refunds.limit(0))
+    no_refunds = refunds.settle(curated, sources.empty(spark, C.MKT_REFUNDS))
     ch = flows.channel_dim(spark, f)
     facts.replace_slices(facts.lookup_keys(no_refunds, *dims, ch, AS_OF), path, *FULL_RANGE)
     settled = refunds.settle(curated, flows.valid_refunds(f))

@@ -31,6 +31,7 @@ from martlake.operators import dimensions, facts
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
 from martlake.functions import scalars as S
+from martlake.observe import observed
 from martlake.sinks import files as sinks
 from martlake.sources import files as sources
 from martlake.sources.files import PARSE_ERRORS
@@ -117,7 +118,8 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     late = late_refund_dates(curated_all, refunds, start, end)
     if late:
         facts.replace_dates(fact_of(curated_all.filter(F.col("sale_date").isin(late))), layout.fact_sales, late)
-    return {feed: dict(o.get) for feed, o in obs.items()}
+    zero = {"n_input": 0, "n_valid": 0, "n_quarantined": 0}
+    return {feed: observed(o, zero) for feed, o in obs.items()}
 
 
 def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run_date: dt.date) -> DataFrame:

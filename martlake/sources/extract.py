@@ -25,14 +25,12 @@ ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "total_amo
 
 
 def jdbc_options(**overrides: str) -> dict[str, str]:
-    """Connection options: explicit values, else environment, else defaults."""
-    host = os.getenv("MYSQL_HOST", "localhost")
-    port = os.getenv("MYSQL_PORT", "3306")
-    db = os.getenv("MYSQL_DATABASE", "ecommerce_db")
+    """Connection options: explicit values first, else the environment
+    (JDBC_URL, JDBC_USER, JDBC_PASSWORD).  Credentials are never hard-coded."""
     opts = {
-        "url": f"jdbc:mysql://{host}:{port}/{db}",
-        "user": os.getenv("MYSQL_USER", ""),
-        "password": os.getenv("MYSQL_PASSWORD", ""),
+        "url": os.getenv("JDBC_URL", ""),
+        "user": os.getenv("JDBC_USER", ""),
+        "password": os.getenv("JDBC_PASSWORD", ""),
         "fetchsize": "10000",
     }
     opts.update(overrides)

@@ -131,7 +131,8 @@ def test_late_refund_updates_its_sales_older_slice(spark):
     runner.run_range(spark, layout, dt.date(2026, 8, 19), dt.date(2026, 8, 23), AS_OF, feeds=first)
     late = spark.createDataFrame([("R-LATE", "MKT-SALE-FLP-2026-08-19-102", Decimal("100.00"), "x@y.z",
                                    dt.datetime(2026, 8, 23, 9))], C.MKT_REFUNDS)
-    second = flows.Feeds(orders=f.orders.limit(0), sales=f.sales.limit(0), products=f.products,
+    from martlake.sources.files import empty
+    second = flows.Feeds(orders=empty(spark, C.ORDERS), sales=empty(spark, C.MKT_SALES), products=f.products,
                          customers=f.customers, refunds=f.refunds.unionByName(late))
     runner.run_range(spark, layout, dt.date(2026, 8, 23), dt.date(2026, 8, 24), AS_OF, feeds=second)
     fact = runner.read_fact(spark, layout)
