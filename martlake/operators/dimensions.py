@@ -135,17 +135,27 @@ def channel_seed(spark: SparkSession) -> DataFrame:
         rows, "channel_key bigint, channel_name string, channel_type string, product_source string")
 
 
-def channels(spark: SparkSession, observed_sales: DataFrame) -> DataFrame:
-    """The seeded channels plus any channel seen in the sales that the seed
-    lacks (a new marketplace gets the next key).  The distinct channel names
-    are aggregated map-side first; there are a handful of them."""
-    seed = channel_seed(spark)
+def channels(spark: SparkSession, observed_sales: DataFrame, current: DataFrame | None = None) -> DataFrame:
+    """The current channel dimension (the seed when there is none yet) plus
+    every channel seen in the sales that it lacks; a new marketplace gets the
+    next key and existing keys never change.  The distinct channel names are
+    aggregated map-side first; there are a handful of them."""
+    base = current if current is not None else channel_seed(spark)
     seen = observed_sales.select("channel_name").filter(F.col("channel_name").isNotNull()).distinct()
-    new = seen.join(F.broadcast(seed.select("channel_name")), "channel_name", "left_anti")
-    if new.isEmpty():  # the usual case: every channel is seeded
-        return seed
-    top = max(k for k, _, _ in C.CHANNEL_SEED)
-    keyed = assign_keys(new, ["channel_name"], "channel_key", top)
+    new = seen.join(F.broadcast(base.select("channel_name")), "channel_name", "left_anti")
+    if new.isEmpty():  # the usual case: every channel is known
+        return base
+    keyed = assign_keys(new, ["channel_name"], "channel_key", max_key(base, "channel_key"))
     extra = keyed.select("channel_key", "channel_name", F.lit("Marketplace").alias("channel_type"),
                          F.lit(C.DEFAULT_PRODUCT_SOURCE).alias("product_source"))
-    return seed.unionByName(extra)
+    return base.unionByName(extra)
+
+
+def upsert_channels(spark: SparkSession, path: str, observed_sales: DataFrame) -> DataFrame:
+    """Versioned channel dimension: seeded on first use, extended with new
+    channels, read back from the newest committed version."""
+    current = read_latest(spark, path)
+    merged = channels(spark, observed_sales, current)
+    if current is None or merged is not current:
+        write_version(merged, path)
+    return read_latest(spark, path)

@@ -103,12 +103,13 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     dimensions.write_version(dc, layout.dim_customers)
     dp = dimensions.read_latest(spark, layout.dim_products)
     dc = dimensions.read_latest(spark, layout.dim_customers)
-    ch = dimensions.channels(spark, curated_all)  # a one-column scan of the written table
+    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
+    # channel names of this run's slices only (one pruned column)
+    ch = dimensions.upsert_channels(spark, layout.dim_channels, curated_all.filter(in_range))
 
     # 4. fact slices of the range, then older slices touched by refunds
     #    that landed in this range
     refunds = flows.valid_refunds(feeds)
-    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
 
     def fact_of(sales: DataFrame) -> DataFrame:
         settled = refund_ops.settle(sales.drop("sale_date"), refunds)

@@ -139,3 +139,15 @@ def test_late_refund_updates_its_sales_older_slice(spark):
     got = fact.filter("sale_id = 'MKT-SALE-FLP-2026-08-19-102'").first()
     assert got.refund_amount == Decimal("100.00")
     assert fact.count() == 26
+
+
+def test_channel_keys_stable_across_runs(spark):
+    from martlake.operators import dimensions
+    path = scratch_path(spark, "dim_channels")
+    run1 = spark.createDataFrame([("Website",), ("Meesho",)], "channel_name string")
+    run2 = spark.createDataFrame([("Etsy",), ("Meesho",), ("Amazon",)], "channel_name string")
+    first = {r.channel_name: r.channel_key for r in dimensions.upsert_channels(spark, path, run1).collect()}
+    second = {r.channel_name: r.channel_key for r in dimensions.upsert_channels(spark, path, run2).collect()}
+    assert first["Meesho"] == second["Meesho"] == 4 and second["Etsy"] == 5
+    third = dimensions.upsert_channels(spark, path, run1)
+    assert dimensions.committed_versions(spark, path) == [1, 2] and third.count() == 5
