@@ -66,8 +66,11 @@ def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.da
         return df.filter(F.col(ts).isNull() | ((F.col(ts) >= lo) & (F.col(ts) < hi)))
 
     orders = in_range(sources.read_csv_feed(spark, layout.landing_orders, C.ORDERS), "created_at")
-    sales = in_range(sources.read_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES), "transaction_date")
-    refunds = sources.read_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS).drop(PARSE_ERRORS)
+    # dated landing folders: only this range's days are read (refunds from
+    # the range start on: a refund never precedes its sale)
+    sales = in_range(sources.read_dated_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES, start, end),
+                     "transaction_date")
+    refunds = sources.read_dated_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS, start).drop(PARSE_ERRORS)
     products = sources.read_csv_feed(spark, layout.landing_products, C.PRODUCTS).drop(PARSE_ERRORS)
     customers = sources.read_csv_feed(spark, layout.landing_customers, C.CUSTOMERS).drop(PARSE_ERRORS)
     return flows.Feeds(orders=orders, sales=sales, refunds=refunds, products=products,

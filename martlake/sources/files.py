@@ -91,6 +91,30 @@ def read_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
     return type_feed(raw, typed)
 
 
+def read_dated_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
+                           start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """An NDJSON landing folder keyed ``year=YYYY/month=MM/day=DD``, reading
+    only the day folders in [start, end) (either bound may be open) plus the
+    folder of rows without a date, which the quality split quarantines.
+    The predicate is on partition columns, so other days are never listed
+    or opened: a run reads its own days, not the landing history."""
+    if not path_exists(spark, path):
+        return _empty_typed(spark, typed)
+    raw = (spark.read.schema(C.raw_of(typed, corrupt=True))
+           .option("mode", "PERMISSIVE")
+           .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
+           .option("basePath", path)
+           .option("pathGlobFilter", "*.json").json(path))
+    day = F.make_date("year", "month", "day")
+    keep = F.lit(True)
+    if start is not None:
+        keep = keep & (day >= F.lit(start))
+    if end is not None:
+        keep = keep & (day < F.lit(end))
+    raw = raw.filter(F.col("year").isNull() | keep).drop("year", "month", "day")
+    return type_feed(raw, typed)
+
+
 def read_dated_slice(spark: SparkSession, path: str, start: dt.date, end: dt.date,
                      date_col: str = "dt", fmt: str = "parquet") -> DataFrame:
     """Rows of the date partitions in [start, end): a predicate on the

@@ -153,3 +153,22 @@ def test_new_marketplace_gets_next_channel_key(spark):
     ch = {r.channel_name: (r.channel_key, r.channel_type) for r in dimensions.channels(spark, sales).collect()}
     assert ch["Website"] == (1, "Internal") and ch["Etsy"] == (4, "Marketplace") and ch["Meesho"] == (5, "Marketplace")
     assert len(ch) == 5
+
+
+def test_dated_landing_reads_only_the_range_and_undated_rows(spark):
+    from martlake.sources import fixtures
+    path = scratch_path(spark, "landing_sales")
+    s = fixtures.mkt_sales(spark, "/root/testdata/sf0.001")
+    undated = s.agg(F.min("transaction_id")).first()[0]
+    s = s.withColumn("transaction_date", F.when(F.col("transaction_id") == undated, F.lit(None))
+                     .otherwise(F.col("transaction_date")))
+    sinks.write_ndjson_landing(sinks.with_dated_keys(s, "transaction_date"), path, ["year", "month", "day"])
+    got = sources.read_dated_ndjson_feed(spark, path, C.MKT_SALES, dt.date(2024, 1, 8), dt.date(2024, 1, 15))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(isnull(year" in plan
+    rows = got.select("transaction_id", "transaction_date").collect()
+    assert any(r.transaction_id == undated and r.transaction_date is None for r in rows)
+    dated = [r.transaction_date for r in rows if r.transaction_date is not None]
+    assert dated and all(dt.datetime(2024, 1, 8) <= t < dt.datetime(2024, 1, 15) for t in dated)
+    assert len(dated) == s.filter("transaction_date >= TIMESTAMP_NTZ'2024-01-08 00:00:00' AND "
+                                  "transaction_date < TIMESTAMP_NTZ'2024-01-15 00:00:00'").count()
