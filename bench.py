@@ -27,7 +27,7 @@ def main() -> None:
     from martlake.session import build_session
     from martlake.plans.catalog import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 2 * cpus), app_name="martlake-bench")
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus), app_name="martlake-bench")
     # JVM/JIT warm-up: one untimed pass of the same queries on the smallest tables
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm) and os.environ.get("BENCH_WARMUP", "1") == "1":
