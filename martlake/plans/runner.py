@@ -150,3 +150,30 @@ def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
 
 def read_quarantine(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
     return spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(~F.col("is_valid"))
+
+
+def main(argv: list[str] | None = None) -> dict:
+    """spark-submit entry: load [start, end) of the landing zone under --root.
+
+        spark-submit --py-files martlake.zip load_range.py --root <shared path> --start 2026-08-19 [--end 2026-08-20]
+
+    ``--as-of`` (the fallback time and ingestion timestamp) defaults to the
+    end of the range, not the wall clock, so a rerun writes the same rows.
+    """
+    import argparse
+    import json
+
+    p = argparse.ArgumentParser(description="Load a date range of the landing zone into the lakehouse")
+    p.add_argument("--root", required=True, help="lakehouse root on shared storage")
+    p.add_argument("--start", required=True, type=dt.date.fromisoformat)
+    p.add_argument("--end", type=dt.date.fromisoformat, help="exclusive; default start + 1 day")
+    p.add_argument("--as-of", type=dt.datetime.fromisoformat)
+    p.add_argument("--no-web-refund-rule", action="store_true")
+    args = p.parse_args(argv)
+    end = args.end or args.start + dt.timedelta(days=1)
+    as_of = args.as_of or dt.datetime.combine(end, dt.time())
+    spark = SparkSession.builder.appName("martlake-load").getOrCreate()
+    metrics = run_range(spark, Layout(args.root.rstrip("/")), args.start, end, as_of,
+                        web_refund_rule=not args.no_web_refund_rule)
+    print(json.dumps(metrics, default=str))
+    return metrics

@@ -151,3 +151,14 @@ def test_channel_keys_stable_across_runs(spark):
     assert first["Meesho"] == second["Meesho"] == 4 and second["Etsy"] == 5
     third = dimensions.upsert_channels(spark, path, run1)
     assert dimensions.committed_versions(spark, path) == [1, 2] and third.count() == 5
+
+
+def test_submit_entry_loads_one_day(spark):
+    from seed import feeds as seed_feeds
+    layout = runner.Layout(scratch_path(spark, "submit"))
+    runner.land(seed_feeds(spark), layout)
+    metrics = runner.main(["--root", layout.root, "--start", "2026-08-19"])
+    assert metrics["orders"] == {"n_input": 5, "n_valid": 4, "n_quarantined": 1}
+    fact = runner.read_fact(spark, layout)
+    assert fact.count() == 7 and {r.sale_date for r in fact.select("sale_date").distinct().collect()} == \
+        {dt.date(2026, 8, 19)}
