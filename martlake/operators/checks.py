@@ -16,7 +16,7 @@ def fk_orphans(child: DataFrame, id_col: str,
     per reference; a NULL reference is not a violation)."""
     parts = []
     for fk, (parent, pk) in references.items():
-        keys = parent.select(F.col(pk).alias(fk))
+        keys = parent.select(F.col(pk).alias(fk)).distinct()  # copies of a key collapse map-side
         orphan = child.filter(F.col(fk).isNotNull()).join(keys, fk, "left_anti")
         parts.append(orphan.select(F.col(id_col), F.lit(fk).alias("fk_column")))
     return reduce(DataFrame.unionByName, parts)

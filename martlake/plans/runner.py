@@ -140,7 +140,7 @@ def late_refund_dates(curated_all: DataFrame, refunds: DataFrame, start: dt.date
     """
     recent = refunds.filter((F.col("refund_date") >= S.ntz(start)) & (F.col("refund_date") < S.ntz(end)))
     hit = curated_all.select("sale_id", "sale_date").filter(F.col("sale_date") < F.lit(start)) \
-        .join(recent.select(F.col("original_transaction_id").alias("sale_id")), "sale_id", "left_semi")
+        .join(recent.select(F.col("original_transaction_id").alias("sale_id")).distinct(), "sale_id", "left_semi")
     return sorted(r[0] for r in hit.select("sale_date").distinct().toLocalIterator())
 
 
