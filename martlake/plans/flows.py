@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from typing import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -30,6 +31,8 @@ class Feeds:
     # array<string> columns with parse errors of text feeds, if any
     orders_errors: str | None = None
     sales_errors: str | None = None
+    # refunds dated from a given day on, when ``refunds`` holds only recent ones
+    refunds_since: Callable[[dt.date], DataFrame] | None = None
 
 
 def feeds_from_tables(spark: SparkSession, sf_dir: str) -> Feeds:

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
-from martlake.operators import dimensions, facts
+from martlake.operators import dimensions, facts, quality
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
 from martlake.functions import scalars as S
@@ -48,7 +48,8 @@ class Layout:
 
 
 def land(feeds: flows.Feeds, layout: Layout) -> None:
-    sinks.write_csv_landing(feeds.orders, layout.landing_orders)
+    sinks.write_csv_landing(sinks.with_dated_keys(feeds.orders, "created_at"), layout.landing_orders,
+                            ["year", "month", "day"])
     sinks.write_csv_landing(feeds.products, layout.landing_products)
     sinks.write_csv_landing(feeds.customers, layout.landing_customers)
     sinks.write_ndjson_landing(sinks.with_dated_keys(feeds.sales, "transaction_date"),
@@ -58,46 +59,74 @@ def land(feeds: flows.Feeds, layout: Layout) -> None:
 
 
 def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> flows.Feeds:
+    """The landing feeds of [start, end), read from their day folders only.
+
+    An order whose time is missing belongs to the day folder it was landed
+    in (the extract is per day), so it takes that day and is loaded once.
+    A row in the folder of undated rows is quarantined (``undated`` for
+    orders, ``bad_timestamp`` for sales)."""
     lo = S.ntz(start)
     hi = S.ntz(end)
 
     def in_range(df: DataFrame, ts: str) -> DataFrame:
-        # rows whose time is unparseable stay in (their reason is recorded)
         return df.filter(F.col(ts).isNull() | ((F.col(ts) >= lo) & (F.col(ts) < hi)))
 
-    orders = in_range(sources.read_csv_feed(spark, layout.landing_orders, C.ORDERS), "created_at")
-    # dated landing folders: only this range's days are read (refunds from
-    # the range start on: a refund never precedes its sale)
+    raw_orders = sources.read_dated_feed(spark, layout.landing_orders, C.ORDERS, "csv", start, end)
+    day = sources.LANDING_DAY
+    orders = (raw_orders
+              .withColumn(PARSE_ERRORS, F.concat(F.col(PARSE_ERRORS), F.filter(F.array(
+                  F.when(F.col("created_at").isNull() & F.col(day).isNull()
+                         & ~F.array_contains(F.col(PARSE_ERRORS), "bad_created_at"), F.lit("undated"))),
+                  lambda x: x.isNotNull())))
+              .withColumn("created_at", F.coalesce("created_at", F.col(day).cast("timestamp_ntz")))
+              .drop(day))
+    orders = in_range(orders, "created_at")
+    # refunds from the range start on: a refund never precedes its sale
     sales = in_range(sources.read_dated_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES, start, end),
                      "transaction_date")
-    refunds = sources.read_dated_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS, start).drop(PARSE_ERRORS)
+
+    def refunds_since(first: dt.date) -> DataFrame:
+        return sources.read_dated_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS, first).drop(PARSE_ERRORS)
+
+    refunds = refunds_since(start)
     products = sources.read_csv_feed(spark, layout.landing_products, C.PRODUCTS).drop(PARSE_ERRORS)
     customers = sources.read_csv_feed(spark, layout.landing_customers, C.CUSTOMERS).drop(PARSE_ERRORS)
     return flows.Feeds(orders=orders, sales=sales, refunds=refunds, products=products,
-                       customers=customers, orders_errors=PARSE_ERRORS, sales_errors=PARSE_ERRORS)
+                       customers=customers, orders_errors=PARSE_ERRORS, sales_errors=PARSE_ERRORS,
+                       refunds_since=refunds_since)
 
 
 def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
               as_of: dt.datetime, web_refund_rule: bool = True,
               feeds: flows.Feeds | None = None) -> dict[str, dict]:
-    """Load [start, end).  Returns the split counts observed while staging."""
+    """Load [start, end).  Returns the split counts observed while staging.
+
+    ``as_of`` is the ingestion time.  For feeds passed in directly it is also
+    the time of an order that has none (clamped into the range, so every row
+    of the run belongs to the slices the run replaces); landed orders take
+    their landing day instead.
+    """
     feeds = feeds or landed_feeds(spark, layout, start, end)
-    run_date = as_of.date()
+    run = f"{start.isoformat()}_{end.isoformat()}"
+    fallback = as_of if start <= as_of.date() < end else dt.datetime.combine(start, dt.time())
 
     # 1. one parse + classification pass per transactional feed, written
     #    typed; the invalid partitions are the quarantine
-    obs = {"orders": sinks.write_staged(flows.classified_orders(feeds), layout.staged_orders, "orders", run_date),
-           "sales": sinks.write_staged(flows.classified_sales(feeds), layout.staged_sales, "sales", run_date)}
+    obs = {"orders": sinks.write_staged(flows.classified_orders(feeds), layout.staged_orders, "orders", run),
+           "sales": sinks.write_staged(flows.classified_sales(feeds), layout.staged_sales, "sales", run)}
     staged = flows.Feeds(
-        orders=_staged_valid(spark, layout, "orders", run_date),
-        sales=_staged_valid(spark, layout, "sales", run_date),
+        orders=_staged_valid(spark, layout, "orders", run),
+        sales=_staged_valid(spark, layout, "sales", run),
         refunds=feeds.refunds, products=feeds.products, customers=feeds.customers)
 
-    # 2. curated sales, read back so later steps start from the written table
-    curated = flows.curated_sales(staged, as_of, web_refund_rule)
-    sinks.write_partitioned_parquet(curated.withColumn("sale_date", S.sale_date("transaction_date")),
-                                    layout.curated_sales, ["sale_date"])
-    curated_all = spark.read.parquet(layout.curated_sales)
+    # 2. curated sales: the range's date slices are replaced (emptied dates
+    #    too); later steps start from the written table
+    curated = flows.curated_sales(staged, fallback, web_refund_rule)
+    facts.replace_slices(curated.withColumn("sale_date", S.sale_date("transaction_date")),
+                         layout.curated_sales, start, end)
+    curated_all = sources.read_parquet_or_none(spark, layout.curated_sales)
+    if curated_all is None:  # nothing curated yet
+        return _metrics(obs)
 
     # 3. dimensions: new version from the current one
     dp = flows.dim_products(staged, dimensions.read_latest(spark, layout.dim_products))
@@ -107,29 +136,38 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     dp = dimensions.read_latest(spark, layout.dim_products)
     dc = dimensions.read_latest(spark, layout.dim_customers)
     in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
-    # channel names of this run's slices only (one pruned column)
-    ch = dimensions.upsert_channels(spark, layout.dim_channels, curated_all.filter(in_range))
+    # this run's marketplaces, from the small staged table (the website is seeded)
+    ch = dimensions.upsert_channels(
+        spark, layout.dim_channels, staged.sales.select(F.col("marketplace_name").alias("channel_name")))
 
     # 4. fact slices of the range, then older slices touched by refunds
-    #    that landed in this range
+    #    that landed in this range (settled with all their refunds)
     refunds = flows.valid_refunds(feeds)
 
-    def fact_of(sales: DataFrame) -> DataFrame:
+    def fact_of(sales: DataFrame, refunds: DataFrame) -> DataFrame:
         settled = refund_ops.settle(sales.drop("sale_date"), refunds)
         return facts.lookup_keys(settled, dp, dc, ch, as_of)
 
-    facts.replace_slices(fact_of(curated_all.filter(in_range)), layout.fact_sales, start, end)
+    facts.replace_slices(fact_of(curated_all.filter(in_range), refunds), layout.fact_sales, start, end)
     late = late_refund_dates(curated_all, refunds, start, end)
     if late:
-        facts.replace_dates(fact_of(curated_all.filter(F.col("sale_date").isin(late))), layout.fact_sales, late)
+        older = refunds
+        if feeds.refunds_since is not None:
+            older = quality.valid(quality.classify(feeds.refunds_since(min(late)), quality.refund_rules()))
+        facts.replace_dates(fact_of(curated_all.filter(F.col("sale_date").isin(late)), older),
+                            layout.fact_sales, late)
+    return _metrics(obs)
+
+
+def _metrics(obs: dict) -> dict[str, dict]:
     zero = {"n_input": 0, "n_valid": 0, "n_quarantined": 0}
     return {feed: observed(o, zero) for feed, o in obs.items()}
 
 
-def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run_date: dt.date) -> DataFrame:
+def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run: str) -> DataFrame:
     rows = spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(
-        (F.col("run_date") == F.lit(run_date)) & F.col("is_valid"))
-    return rows.drop("reasons", "run_date", "is_valid")
+        (F.col("run") == run) & F.col("is_valid"))
+    return rows.drop("reasons", "run", "is_valid")
 
 
 def late_refund_dates(curated_all: DataFrame, refunds: DataFrame, start: dt.date, end: dt.date) -> list[dt.date]:
@@ -158,7 +196,7 @@ def main(argv: list[str] | None = None) -> dict:
         spark-submit --py-files martlake.zip load_range.py --root <shared path> --start 2026-08-19 [--end 2026-08-20]
 
     ``--as-of`` (the fallback time and ingestion timestamp) defaults to the
-    end of the range, not the wall clock, so a rerun writes the same rows.
+    start of the range, not the wall clock, so a rerun writes the same rows.
     """
     import argparse
     import json
@@ -171,7 +209,7 @@ def main(argv: list[str] | None = None) -> dict:
     p.add_argument("--no-web-refund-rule", action="store_true")
     args = p.parse_args(argv)
     end = args.end or args.start + dt.timedelta(days=1)
-    as_of = args.as_of or dt.datetime.combine(end, dt.time())
+    as_of = args.as_of or dt.datetime.combine(args.start, dt.time())
     spark = SparkSession.builder.appName("martlake-load").getOrCreate()
     metrics = run_range(spark, Layout(args.root.rstrip("/")), args.start, end, as_of,
                         web_refund_rule=not args.no_web_refund_rule)

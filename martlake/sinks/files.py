@@ -55,19 +55,20 @@ def with_dated_keys(df: DataFrame, ts_col: str) -> DataFrame:
               .withColumn("day", F.date_format(ts_col, "dd")))
 
 
-def write_staged(classified: DataFrame, path: str, feed: str, run_date: dt.date) -> Observation:
-    """Write a classified feed once, typed, partitioned by run date and
-    validity (one table per feed: the feeds' schemas differ).  The ``is_valid=false`` partitions are the quarantine (with
-    their reason codes); later steps read ``is_valid=true`` as Parquet, so a
-    text feed is parsed only once per run.  Split counts are observed during
-    the write (no extra job)."""
+def write_staged(classified: DataFrame, path: str, feed: str, run: str) -> Observation:
+    """Write a classified feed once, typed, partitioned by run and validity
+    (one table per feed: the feeds' schemas differ).  The ``is_valid=false``
+    partitions are the quarantine (with their reason codes); later steps read
+    ``is_valid=true`` as Parquet, so a text feed is parsed only once per run.
+    A rerun of the same run replaces its partitions.  Split counts are
+    observed during the write (no extra job)."""
     obs = Observation(f"split_{feed}")
     ok = F.size(quality.REASONS) == 0
-    staged = (classified.withColumn("run_date", F.lit(run_date))
+    staged = (classified.withColumn("run", F.lit(run))
               .withColumn("is_valid", ok)
               .observe(obs, F.count(F.lit(1)).alias("n_input"), F.count_if(ok).alias("n_valid"),
                        F.count_if(~ok).alias("n_quarantined")))
-    _writer(staged, ["run_date", "is_valid"]).parquet(path)
+    _writer(staged, ["run", "is_valid"]).parquet(path)
     return obs
 
 

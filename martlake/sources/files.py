@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -47,7 +48,8 @@ def type_feed(raw: DataFrame, typed: T.StructType) -> DataFrame:
     if C.CORRUPT_COLUMN in raw.columns:
         errs.insert(0, F.when(F.col(C.CORRUPT_COLUMN).isNotNull(), F.lit("corrupt_record")))
     errors = F.filter(F.array(*errs), lambda x: x.isNotNull()) if errs else F.array().cast("array<string>")
-    return raw.select(*cols, errors.alias(PARSE_ERRORS))
+    extra = [c for c in raw.columns if c not in typed.names and c != C.CORRUPT_COLUMN]
+    return raw.select(*cols, errors.alias(PARSE_ERRORS), *extra)
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
@@ -91,30 +93,54 @@ def read_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
     return type_feed(raw, typed)
 
 
-def read_dated_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
-                           start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
-    """An NDJSON landing folder keyed ``year=YYYY/month=MM/day=DD``, reading
-    only the day folders in [start, end) (either bound may be open) plus the
-    folder of rows without a date, which the quality split quarantines.
-    The predicate is on partition columns, so other days are never listed
-    or opened: a run reads its own days, not the landing history."""
+LANDING_DAY = "_landing_day"
+
+
+def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: str = "json",
+                    start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    """A landing folder keyed ``year=YYYY/month=MM/day=DD`` (NDJSON or CSV),
+    reading only the day folders in [start, end) (either bound may be open)
+    plus the folder of rows that had no date, which the quality split
+    quarantines.  The predicate is on partition columns, so other days are
+    never listed or opened: a run reads its own days, not the landing
+    history.  ``_landing_day`` carries each row's folder date (NULL for the
+    undated folder)."""
     if not path_exists(spark, path):
-        return _empty_typed(spark, typed)
-    raw = (spark.read.schema(C.raw_of(typed, corrupt=True))
-           .option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
-           .option("basePath", path)
-           .option("pathGlobFilter", "*.json").json(path))
+        out = _empty_typed(spark, typed)
+        return out.withColumn(LANDING_DAY, F.lit(None).cast("date"))
+    reader = spark.read.option("mode", "PERMISSIVE").option("basePath", path)
+    if fmt == "json":
+        reader = (reader.schema(C.raw_of(typed, corrupt=True))
+                  .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
+                  .option("pathGlobFilter", "*.json"))
+        raw = reader.json(path)
+    else:
+        raw = reader.schema(C.raw_of(typed)).option("header", True).option("pathGlobFilter", "*.csv").csv(path)
     day = F.make_date("year", "month", "day")
     keep = F.lit(True)
     if start is not None:
         keep = keep & (day >= F.lit(start))
     if end is not None:
         keep = keep & (day < F.lit(end))
-    raw = raw.filter(F.col("year").isNull() | keep).drop("year", "month", "day")
+    raw = raw.filter(F.col("year").isNull() | keep).withColumn(LANDING_DAY, day).drop("year", "month", "day")
     return type_feed(raw, typed)
 
 
+def read_dated_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
+                           start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+    return read_dated_feed(spark, path, typed, "json", start, end).drop(LANDING_DAY)
+
+
+def read_parquet_or_none(spark: SparkSession, path: str) -> DataFrame | None:
+    """A Parquet table, or None when nothing has been written there yet."""
+    if not path_exists(spark, path):
+        return None
+    try:
+        return spark.read.parquet(path)
+    except AnalysisException:  # the folder holds no data file yet
+        return None
+
+
 def read_dated_slice(spark: SparkSession, path: str, start: dt.date, end: dt.date,
                      date_col: str = "dt", fmt: str = "parquet") -> DataFrame:
     """Rows of the date partitions in [start, end): a predicate on the

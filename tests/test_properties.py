@@ -121,24 +121,47 @@ def test_incremental_picks_up_only_new_files(spark, sf_dir):
 
 
 def test_late_refund_updates_its_sales_older_slice(spark):
+    """A refund landing days after its sale re-slices the sale's date, which
+    keeps the refunds it already had."""
     from decimal import Decimal
     from seed import feeds as seed_feeds
     f = seed_feeds(spark)
     layout = runner.Layout(scratch_path(spark, "late"))
-    early = dt.datetime(2026, 8, 21)
-    first = flows.Feeds(orders=f.orders, sales=f.sales, products=f.products, customers=f.customers,
-                        refunds=f.refunds.filter(F.col("refund_date") < S.ntz(early)))
-    runner.run_range(spark, layout, dt.date(2026, 8, 19), dt.date(2026, 8, 23), AS_OF, feeds=first)
+    runner.land(f, layout)
+    runner.run_range(spark, layout, dt.date(2026, 8, 19), dt.date(2026, 8, 23), dt.datetime(2026, 8, 19))
     late = spark.createDataFrame([("R-LATE", "MKT-SALE-FLP-2026-08-19-102", Decimal("100.00"), "x@y.z",
-                                   dt.datetime(2026, 8, 23, 9))], C.MKT_REFUNDS)
-    from martlake.sources.files import empty
-    second = flows.Feeds(orders=empty(spark, C.ORDERS), sales=empty(spark, C.MKT_SALES), products=f.products,
-                         customers=f.customers, refunds=f.refunds.unionByName(late))
-    runner.run_range(spark, layout, dt.date(2026, 8, 23), dt.date(2026, 8, 24), AS_OF, feeds=second)
+                                   dt.datetime(2026, 8, 25, 9))], C.MKT_REFUNDS)
+    sinks.write_ndjson_landing(sinks.with_dated_keys(late, "refund_date"), layout.landing_refunds,
+                               ["year", "month", "day"])
+    runner.run_range(spark, layout, dt.date(2026, 8, 25), dt.date(2026, 8, 26), dt.datetime(2026, 8, 25))
+    fact = {r.sale_id: r.refund_amount for r in runner.read_fact(spark, layout).collect()}
+    assert fact["MKT-SALE-FLP-2026-08-19-102"] == Decimal("100.00")
+    assert fact["MKT-SALE-AMZ-2026-08-19-103"] == Decimal("150.00")  # its own refund is kept
+    assert len(fact) == 26
+
+
+def test_order_without_time_takes_its_landing_day_once(spark):
+    from seed import feeds as seed_feeds
+    f = seed_feeds(spark)
+    layout = runner.Layout(scratch_path(spark, "undated"))
+    runner.land(f, layout)
+    # order 1001 arrives in the 2026-08-19 folder with an empty time; a
+    # stray order with no time and no folder date is quarantined
+    keyed = sinks.with_dated_keys(f.orders, "created_at").withColumn(
+        "created_at", F.when(F.col("order_id") == 1001, F.lit(None)).otherwise(F.col("created_at")))
+    sinks.write_csv_landing(keyed, layout.landing_orders, ["year", "month", "day"])
+    stray = f.orders.filter("order_id = 1002").withColumn("order_id", F.lit(2002).cast("bigint")) \
+        .withColumn("created_at", F.lit(None).cast("timestamp_ntz"))
+    sinks.write_csv_landing(sinks.with_dated_keys(stray, "created_at"), layout.landing_orders,
+                            ["year", "month", "day"])
+    for day in range(19, 23):
+        runner.main(["--root", layout.root, "--start", dt.date(2026, 8, day).isoformat()])
     fact = runner.read_fact(spark, layout)
-    got = fact.filter("sale_id = 'MKT-SALE-FLP-2026-08-19-102'").first()
-    assert got.refund_amount == Decimal("100.00")
-    assert fact.count() == 26
+    got = fact.filter("sale_id = 'MYSQL-ORDER-1001'").collect()
+    assert len(got) == 1 and got[0].sale_date == dt.date(2026, 8, 19)
+    assert fact.count() == 26 and fact.filter("sale_id = 'MYSQL-ORDER-2002'").count() == 0
+    q = runner.read_quarantine(spark, layout, "orders").filter("order_id = 2002").collect()
+    assert q and list(q[0].reasons) == ["undated"]
 
 
 def test_channel_keys_stable_across_runs(spark):
