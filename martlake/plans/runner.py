@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
-from martlake.operators import dimensions, facts, quality
+from martlake.operators import dimensions, facts, quality, unify
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
 from martlake.functions import scalars as S
@@ -60,17 +60,13 @@ def land(feeds: flows.Feeds, layout: Layout) -> None:
 
 def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> flows.Feeds:
     """The landing feeds of [start, end), read from their day folders only.
+    A row whose event lies outside the range (it arrived late) is kept; the
+    run merges it into its event date's slices.
 
     An order whose time is missing belongs to the day folder it was landed
     in (the extract is per day), so it takes that day and is loaded once.
     A row in the folder of undated rows is quarantined (``undated`` for
     orders, ``bad_timestamp`` for sales)."""
-    lo = S.ntz(start)
-    hi = S.ntz(end)
-
-    def in_range(df: DataFrame, ts: str) -> DataFrame:
-        return df.filter(F.col(ts).isNull() | ((F.col(ts) >= lo) & (F.col(ts) < hi)))
-
     raw_orders = sources.read_dated_feed(spark, layout.landing_orders, C.ORDERS, "csv", start, end)
     day = sources.LANDING_DAY
     orders = (raw_orders
@@ -80,10 +76,8 @@ def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.da
                   lambda x: x.isNotNull())))
               .withColumn("created_at", F.coalesce("created_at", F.col(day).cast("timestamp_ntz")))
               .drop(day))
-    orders = in_range(orders, "created_at")
+    sales = sources.read_dated_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES, start, end)
     # refunds from the range start on: a refund never precedes its sale
-    sales = in_range(sources.read_dated_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES, start, end),
-                     "transaction_date")
 
     def refunds_since(first: dt.date) -> DataFrame:
         return sources.read_dated_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS, first).drop(PARSE_ERRORS)
@@ -121,9 +115,10 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
 
     # 2. curated sales: the range's date slices are replaced (emptied dates
     #    too); later steps start from the written table
-    curated = flows.curated_sales(staged, fallback, web_refund_rule)
-    facts.replace_slices(curated.withColumn("sale_date", S.sale_date("transaction_date")),
-                         layout.curated_sales, start, end)
+    curated = flows.curated_sales(staged, fallback, web_refund_rule) \
+        .withColumn("sale_date", S.sale_date("transaction_date"))
+    facts.replace_slices(curated, layout.curated_sales, start, end)
+    arrived = merge_late_arrivals(spark, curated, layout.curated_sales, start, end)
     curated_all = sources.read_parquet_or_none(spark, layout.curated_sales)
     if curated_all is None:  # nothing curated yet
         return _metrics(obs)
@@ -149,7 +144,7 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
         return facts.lookup_keys(settled, dp, dc, ch, as_of)
 
     facts.replace_slices(fact_of(curated_all.filter(in_range), refunds), layout.fact_sales, start, end)
-    late = late_refund_dates(curated_all, refunds, start, end)
+    late = sorted(set(late_refund_dates(curated_all, refunds, start, end)) | set(arrived))
     if late:
         older = refunds
         if feeds.refunds_since is not None:
@@ -159,6 +154,27 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     return _metrics(obs)
 
 
+def merge_late_arrivals(spark: SparkSession, curated: DataFrame, path: str,
+                        start: dt.date, end: dt.date) -> list[dt.date]:
+    """Sales of this run whose event date lies outside [start, end) join the
+    curated slices of their dates: existing rows and late rows are
+    de-duplicated together (the same total order) and those slices replaced.
+    Rerunning gives the same slices.  Returns the merged dates (at most one
+    per calendar day)."""
+    outside = curated.filter((F.col("sale_date") < F.lit(start)) | (F.col("sale_date") >= F.lit(end)))
+    dates = sorted(r[0] for r in outside.select("sale_date").distinct().toLocalIterator())
+    if not dates:
+        return []
+    late = outside.filter(F.col("sale_date").isin(dates))
+    existing = sources.read_parquet_or_none(spark, path)
+    if existing is not None:
+        old = existing.filter(F.col("sale_date").isin(dates)).select(*late.columns)
+        late = unify.union_all(old, late)
+    merged = unify.dedup_sales(late.drop("sale_date")).withColumn("sale_date", S.sale_date("transaction_date"))
+    facts.replace_dates(merged, path, dates)
+    return dates
+
+
 def _metrics(obs: dict) -> dict[str, dict]:
     zero = {"n_input": 0, "n_valid": 0, "n_quarantined": 0}
     return {feed: observed(o, zero) for feed, o in obs.items()}

@@ -185,3 +185,25 @@ def test_submit_entry_loads_one_day(spark):
     fact = runner.read_fact(spark, layout)
     assert fact.count() == 7 and {r.sale_date for r in fact.select("sale_date").distinct().collect()} == \
         {dt.date(2026, 8, 19)}
+
+
+def test_late_arriving_sale_joins_its_event_day(spark):
+    from seed import feeds as seed_feeds
+    f = seed_feeds(spark)
+    layout = runner.Layout(scratch_path(spark, "late_arrival"))
+    runner.land(f, layout)
+    for day in (19, 20, 21):
+        runner.main(["--root", layout.root, "--start", dt.date(2026, 8, day).isoformat()])
+    # a sale of the 19th that arrives in the 22nd's folder
+    late = (f.sales.filter("transaction_id = 'MKT-SALE-AMZ-2026-08-19-101'")
+            .withColumn("transaction_id", F.lit("MKT-LATE-1"))
+            .withColumn("year", F.lit("2026")).withColumn("month", F.lit("08")).withColumn("day", F.lit("22")))
+    day22 = sinks.with_dated_keys(f.sales, "transaction_date").filter("day = '22'")
+    sinks.write_ndjson_landing(day22.unionByName(late), layout.landing_sales, ["year", "month", "day"])
+    for _ in range(2):  # the rerun changes nothing
+        runner.main(["--root", layout.root, "--start", "2026-08-22"])
+        fact = runner.read_fact(spark, layout)
+        assert fact.count() == 27
+        assert fact.filter("sale_date = DATE'2026-08-19'").count() == 8
+        got = fact.filter("sale_id = 'MKT-LATE-1'").collect()
+        assert len(got) == 1 and got[0].sale_date == dt.date(2026, 8, 19)
