@@ -3,9 +3,11 @@
 A Structured Streaming file source with ``Trigger.AvailableNow`` reads only
 the files landed since the previous run (the checkpoint remembers which
 were seen), processes them in bounded micro-batches and stops.  Each
-micro-batch is classified, conformed and written by ``foreachBatch`` into a
-folder named by its epoch id with overwrite, so a batch retried after a
-failure replaces its own output: exactly-once at the table level.
+micro-batch (bounded by ``maxFilesPerTrigger``) is classified once
+(persisted for its two writes), conformed and written by ``foreachBatch``
+into folders named by its epoch id with overwrite: valid rows to the
+curated table, rows with reasons to the quarantine.  A batch retried after
+a failure replaces its own output: exactly-once at the table level.
 """
 
 from __future__ import annotations
@@ -19,8 +21,11 @@ from martlake.sources.files import PARSE_ERRORS, type_feed
 
 
 def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curated: str,
-                      max_files_per_trigger: int = 1000) -> None:
-    """Process every NDJSON sales file under ``landing`` not seen before."""
+                      max_files_per_trigger: int = 1000, quarantine: str | None = None) -> None:
+    """Process every NDJSON sales file under ``landing`` not seen before.
+    Valid rows go to ``curated``, rows with reasons to ``quarantine``
+    (default: a sibling folder of ``curated``), both per epoch."""
+    quarantine = (quarantine or f"{curated.rstrip('/')}_quarantine").rstrip("/")
     stream = (spark.readStream.schema(C.raw_of(C.MKT_SALES, corrupt=True))
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
@@ -30,10 +35,14 @@ def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curate
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
         typed = type_feed(batch, C.MKT_SALES)
-        classified = quality.classify(typed, quality.mkt_sale_rules(), PARSE_ERRORS)
-        sales = conform.marketplace_sales(quality.valid(classified))
-        (sales.withColumn("sale_date", F.to_date("transaction_date"))
-         .write.mode("overwrite").parquet(f"{curated.rstrip('/')}/epoch={epoch_id}"))
+        classified = quality.classify(typed, quality.mkt_sale_rules(), PARSE_ERRORS).persist()
+        try:
+            sales = conform.marketplace_sales(quality.valid(classified))
+            (sales.withColumn("sale_date", F.to_date("transaction_date"))
+             .write.mode("overwrite").parquet(f"{curated.rstrip('/')}/epoch={epoch_id}"))
+            quality.quarantined(classified).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch_id}")
+        finally:
+            classified.unpersist()
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)

@@ -116,8 +116,11 @@ def test_incremental_picks_up_only_new_files(spark, sf_dir):
     assert spark.read.parquet(f"{root}/cur").count() == n1  # nothing new, nothing added
     sinks.write_ndjson_landing(s.filter("dt >= DATE'2024-01-10'"), f"{root}/landing", ["dt"])
     incremental.run_available_now(spark, f"{root}/landing", f"{root}/ck", f"{root}/cur")
-    total = quality.valid(flows.classified_sales(flows.feeds_from_tables(spark, sf_dir))).count()
+    c = flows.classified_sales(flows.feeds_from_tables(spark, sf_dir))
+    total = quality.valid(c).count()
     assert spark.read.parquet(f"{root}/cur").count() == total > n1
+    # nothing is dropped: the rest is in the quarantine with its reasons
+    assert spark.read.parquet(f"{root}/cur_quarantine").count() == quality.quarantined(c).count() > 0
 
 
 def test_late_refund_updates_its_sales_older_slice(spark):
