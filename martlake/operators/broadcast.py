@@ -1,0 +1,17 @@
+"""Broadcast only behind a proven size bound."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+# Dimensions up to this many rows are broadcast; larger ones take a shuffle
+# join (AQE may still broadcast by measured size, and splits skewed
+# partitions of the other side).
+BROADCAST_MAX_ROWS = 1_000_000
+
+
+def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+    """Broadcast ``dim`` only when its row count is within the bound (one
+    count job; metadata-only for a plain Parquet table)."""
+    return F.broadcast(dim) if dim.count() <= max_rows else dim

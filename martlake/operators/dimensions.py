@@ -20,6 +20,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
+from martlake.operators.broadcast import bounded_broadcast
 from martlake.operators.unify import first_by
 from martlake.session import shared_root
 
@@ -142,7 +143,7 @@ def channels(spark: SparkSession, observed_sales: DataFrame, current: DataFrame
     aggregated map-side first; there are a handful of them."""
     base = current if current is not None else channel_seed(spark)
     seen = observed_sales.select("channel_name").filter(F.col("channel_name").isNotNull()).distinct()
-    new = seen.join(F.broadcast(base.select("channel_name")), "channel_name", "left_anti")
+    new = seen.join(bounded_broadcast(base.select("channel_name")), "channel_name", "left_anti")
     if new.isEmpty():  # the usual case: every channel is known
         return base
     keyed = assign_keys(new, ["channel_name"], "channel_key", max_key(base, "channel_key"))

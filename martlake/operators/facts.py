@@ -9,20 +9,9 @@ from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
+from martlake.operators.broadcast import bounded_broadcast
 from martlake.observe import observed
 
-# Dimensions up to this many rows are broadcast to the lookup; larger ones
-# take a shuffle join (AQE may still broadcast by measured size, and splits
-# skewed partitions of the sales side).
-BROADCAST_MAX_ROWS = 1_000_000
-
-
-def bounded_broadcast(dim: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast ``dim`` only when its row count is under the bound."""
-    n = dim.count()
-    return F.broadcast(dim) if n <= max_rows else dim
-
-
 def customer_source(channel: str = "channel_name"):
     """Customers of the website are the operational DB's; marketplace
     shoppers are keyed under their marketplace's name."""
@@ -38,7 +27,7 @@ def lookup_keys(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFr
     ``dim_channels.product_source``; ``'case'`` is the literal mapping
     Website -> MySQL, others -> 'Marketplace API'.
     """
-    ch = F.broadcast(dim_channels.select(  # a handful of rows: seed + observed
+    ch = bounded_broadcast(dim_channels.select(
         "channel_name", "channel_key", F.col("product_source").alias("_psrc")))
     s = sales.join(ch, "channel_name", "left")
     if product_source == "case":

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.operators import conform, dimensions, facts, quality, refunds, unify
+from martlake.operators.broadcast import bounded_broadcast
 from martlake.sources import fixtures
 
 
@@ -118,7 +119,7 @@ def channel_revenue(settled: DataFrame, dim_channels: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("refund_amount").alias("total_refunds"),
         F.sum(F.col("sales_amount") - F.col("refund_amount")).alias("net_revenue"))
-    named = per_channel.join(F.broadcast(dim_channels.select("channel_name")), "channel_name")
+    named = per_channel.join(bounded_broadcast(dim_channels.select("channel_name")), "channel_name")
     return named.select(
         "channel_name",
         F.col("total_orders").cast("bigint").alias("total_orders"),
@@ -137,7 +138,7 @@ def fact_channel_revenue(fact: DataFrame, dim_channels: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("refund_amount").alias("total_refunds"),
         F.sum(F.col("sales_amount") - F.col("refund_amount")).alias("net_revenue"))
-    named = per_key.join(F.broadcast(dim_channels.select("channel_key", "channel_name")), "channel_key")
+    named = per_key.join(bounded_broadcast(dim_channels.select("channel_key", "channel_name")), "channel_key")
     return channel_revenue_shape(named)
 
 

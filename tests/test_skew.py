@@ -6,7 +6,8 @@ import os
 
 from pyspark.sql import functions as F
 
-from martlake.operators import facts, unify
+from martlake.operators import unify
+from martlake.operators.broadcast import bounded_broadcast
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
 
@@ -69,7 +70,7 @@ def test_hot_customer_lookup_uses_skew_join_when_not_broadcast(spark):
                         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
                         "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}):
-        d = facts.bounded_broadcast(dim, max_rows=0)  # over the bound: shuffle join
+        d = bounded_broadcast(dim, max_rows=0)  # over the bound: shuffle join
         j = sales.join(d, ["customer_id", "source_system"], "left")
         assert len(j.collect()) == 30000  # runs this plan, so AQE finalises it
         plan = j._jdf.queryExecution().executedPlan().toString()
