@@ -7,7 +7,6 @@ files instead of adding duplicates.
 
 from __future__ import annotations
 
-import datetime as dt
 
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
