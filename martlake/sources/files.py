@@ -94,6 +94,8 @@ def read_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
 
 
 LANDING_DAY = "_landing_day"
+HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"  # folder of rows whose key was NULL
+ENUMERATE_MAX_DAYS = 62
 
 
 def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: str = "json",
@@ -101,21 +103,32 @@ def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: st
     """A landing folder keyed ``year=YYYY/month=MM/day=DD`` (NDJSON or CSV),
     reading only the day folders in [start, end) (either bound may be open)
     plus the folder of rows that had no date, which the quality split
-    quarantines.  The predicate is on partition columns, so other days are
-    never listed or opened: a run reads its own days, not the landing
-    history.  ``_landing_day`` carries each row's folder date (NULL for the
-    undated folder)."""
+    quarantines.  ``_landing_day`` carries each row's folder date (NULL for
+    the undated folder).
+
+    A short closed range (up to ``ENUMERATE_MAX_DAYS``) passes its existing
+    day folders explicitly, so only those are listed; otherwise the tree is
+    listed and a predicate on the partition columns skips the other days'
+    files (``PartitionFilters``).  Either way a run reads its own days, not
+    the landing history."""
+    empty_out = _empty_typed(spark, typed).withColumn(LANDING_DAY, F.lit(None).cast("date"))
     if not path_exists(spark, path):
-        out = _empty_typed(spark, typed)
-        return out.withColumn(LANDING_DAY, F.lit(None).cast("date"))
+        return empty_out
+    paths = [path]
+    if start is not None and end is not None and (end - start).days <= ENUMERATE_MAX_DAYS:
+        days = [start + dt.timedelta(days=i) for i in range((end - start).days)]
+        paths = [p for p in [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
+                 + [f"{path}/year={HIVE_DEFAULT}"] if path_exists(spark, p)]
+        if not paths:
+            return empty_out
     reader = spark.read.option("mode", "PERMISSIVE").option("basePath", path)
     if fmt == "json":
         reader = (reader.schema(C.raw_of(typed, corrupt=True))
                   .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
                   .option("pathGlobFilter", "*.json"))
-        raw = reader.json(path)
+        raw = reader.json(paths)
     else:
-        raw = reader.schema(C.raw_of(typed)).option("header", True).option("pathGlobFilter", "*.csv").csv(path)
+        raw = reader.schema(C.raw_of(typed)).option("header", True).option("pathGlobFilter", "*.csv").csv(paths)
     day = F.make_date("year", "month", "day")
     keep = F.lit(True)
     if start is not None:
