@@ -23,6 +23,7 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -115,10 +116,13 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
 
     # 2. curated sales: the range's date slices are replaced (emptied dates
     #    too); later steps start from the written table
+    # used by three jobs; spill-safe, and recomputable from the staged
+    # Parquet if an executor is lost
     curated = flows.curated_sales(staged, fallback, web_refund_rule) \
-        .withColumn("sale_date", S.sale_date("transaction_date"))
+        .withColumn("sale_date", S.sale_date("transaction_date")).persist(StorageLevel.MEMORY_AND_DISK)
     facts.replace_slices(curated, layout.curated_sales, start, end)
     arrived = merge_late_arrivals(spark, curated, layout.curated_sales, start, end)
+    curated.unpersist()
     curated_all = sources.read_parquet_or_none(spark, layout.curated_sales)
     if curated_all is None:  # nothing curated yet
         return _metrics(obs)
