@@ -77,9 +77,14 @@ def test_rerun_equals_single_run(spark, sf_dir):
     metrics = runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF)
     assert metrics["orders"] == {"n_input": 6000, "n_valid": 4480, "n_quarantined": 1520}
     once = runner.read_fact(spark, layout).drop("ingestion_timestamp").collect()
+    dims_once = [sorted(map(tuple, dimensions.read_latest(spark, getattr(layout, d)).collect()))
+                 for d in ("dim_products", "dim_customers", "dim_channels")]
     runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF)
     twice = runner.read_fact(spark, layout).drop("ingestion_timestamp").collect()
     assert sorted(map(tuple, once)) == sorted(map(tuple, twice))
+    dims_twice = [sorted(map(tuple, dimensions.read_latest(spark, getattr(layout, d)).collect()))
+                  for d in ("dim_products", "dim_customers", "dim_channels")]
+    assert dims_once == dims_twice
     assert len(once) == len({r.sale_id for r in once})
     assert runner.read_quarantine(spark, layout, "orders").count() == 6000 - 4480
     # the published query over the loaded star schema equals the flow's revenue
