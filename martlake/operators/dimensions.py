@@ -72,16 +72,17 @@ def assign_keys(new_members: DataFrame, natural_keys: list[str], key_col: str,
     """Dense keys start_after+1 .. start_after+n in natural-key order."""
     spark = new_members.sparkSession
     shared_root(spark)  # make sure a checkpoint folder is registered
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = (new_members.repartitionByRange(n, *natural_keys)
-              .sortWithinPartitions(*natural_keys)
-              .checkpoint(eager=True))
+    # Without an explicit count AQE may merge adjacent (small) range
+    # partitions, which keeps the order: few new members, few files.
+    spread = (new_members.repartitionByRange(num_partitions, *natural_keys) if num_partitions
+              else new_members.repartitionByRange(*natural_keys))
+    ranged = spread.sortWithinPartitions(*natural_keys).checkpoint(eager=True)
     # monotonically_increasing_id = (partition index << 33) + row index in it
     indexed = (ranged.withColumn("_pid", F.spark_partition_id())
                .withColumn("_row", F.monotonically_increasing_id()
                            - F.shiftleft(F.spark_partition_id().cast("bigint"), 33)))
-    # One row per partition: a size bound of n rows, so the window and the
-    # broadcast below are over partition counts, never over data.
+    # One row per partition: bounded by the partition count, so the window
+    # and the broadcast below are over partition counts, never over data.
     counts = indexed.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     offsets = counts.select(
         "_pid",

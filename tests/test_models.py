@@ -40,7 +40,7 @@ def test_pick_one_matches_model(spark, rows, largest):
 
 @settings(**SETTINGS)
 @given(keys=st.sets(st.integers(-1000, 1000), min_size=1, max_size=60),
-       parts=st.integers(1, 6), start=st.integers(0, 50))
+       parts=st.one_of(st.none(), st.integers(1, 6)), start=st.integers(0, 50))
 def test_assign_keys_matches_model(spark, keys, parts, start):
     df = spark.createDataFrame([(k,) for k in keys], "nk int")
     got = sorted((r.nk, r.sk) for r in dimensions.assign_keys(df, ["nk"], "sk", start, parts).collect())
