@@ -16,7 +16,7 @@ from martlake import contracts as C
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
+    return spark.read.parquet(f"{str(sf_dir).rstrip('/')}/{name}.parquet")
 
 
 def web_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
