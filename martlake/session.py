@@ -33,6 +33,12 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         # writes).  On a cluster keep the defaults, or prefer file size:
         # parallelismFirst=false with a 128m advisory partition size.
         builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
+        # Local inputs are single files of one row group, so a scan is one
+        # task; broadcasting a mid-sized table into it keeps the join, the
+        # quality split and the partial dedup in that one task.  A shuffle
+        # join (what a cluster does for these tables anyway) spreads the
+        # work over all cores.  Explicit bounded broadcasts are unaffected.
+        builder = builder.config("spark.sql.autoBroadcastJoinThreshold", "1m")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
