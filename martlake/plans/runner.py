@@ -116,15 +116,15 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
 
     # 2. curated sales: the range's date slices are replaced (emptied dates
     #    too); later steps start from the written table
-    # used by three jobs; spill-safe, and recomputable from the staged
+    # used by four jobs; spill-safe, and recomputable from the staged
     # Parquet if an executor is lost
     curated = flows.curated_sales(staged, fallback, web_refund_rule) \
         .withColumn("sale_date", S.sale_date("transaction_date")).persist(StorageLevel.MEMORY_AND_DISK)
     facts.replace_slices(curated, layout.curated_sales, start, end)
     arrived = merge_late_arrivals(spark, curated, layout.curated_sales, start, end)
-    curated.unpersist()
     curated_all = sources.read_parquet_or_none(spark, layout.curated_sales)
     if curated_all is None:  # nothing curated yet
+        curated.unpersist()
         return _metrics(obs)
 
     # 3. dimensions: new version from the current one
@@ -147,7 +147,9 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
         settled = refund_ops.settle(sales.drop("sale_date"), refunds)
         return facts.lookup_keys(settled, dp, dc, ch, as_of)
 
-    facts.replace_slices(fact_of(curated_all.filter(in_range), refunds), layout.fact_sales, start, end)
+    # the range's slices straight from this run's (persisted) curated rows
+    facts.replace_slices(fact_of(curated.filter(in_range), refunds), layout.fact_sales, start, end)
+    curated.unpersist()
     late = sorted(set(late_refund_dates(curated_all, refunds, start, end)) | set(arrived))
     if late:
         older = refunds
