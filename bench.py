@@ -4,7 +4,8 @@ Runs each query at $BENCH_SF_DIR (default /root/testdata/sf0.1) on
 local[$BENCH_CPUS] and prints one JSON line:
 {"metric": "total_wall_sec", "value": N, "unit": "sec", "queries": {...}, "sf": ...}
 Each query is executed to completion with the no-op sink (all rows
-computed, none collected).
+computed, none collected).  Set BENCH_EVENT_LOG=<scratch folder> to keep
+Spark's event log (stage and task times) for analysis.
 """
 
 from __future__ import annotations
@@ -27,7 +28,11 @@ def main() -> None:
     from martlake.session import build_session
     from martlake.plans.catalog import QUERIES
 
-    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus), app_name="martlake-bench")
+    extra = {}
+    if os.environ.get("BENCH_EVENT_LOG"):  # stage/task timings without the UI: a scratch folder
+        extra = {"spark.eventLog.enabled": "true", "spark.eventLog.dir": os.environ["BENCH_EVENT_LOG"]}
+    spark = build_session(f"local[{cpus}]", shuffle_partitions=max(8, 4 * cpus), app_name="martlake-bench",
+                          extra=extra)
     # JVM/JIT warm-up: one untimed pass of the same queries on the smallest tables
     warm = "/root/testdata/sf0.001"
     if os.path.isdir(warm) and os.environ.get("BENCH_WARMUP", "1") == "1":
