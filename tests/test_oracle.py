@@ -40,3 +40,9 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, sf_dir, name):
     finally:
         spark.conf.set("spark.sql.session.timeZone", old)
     assert info["match"], info
+
+
+def test_driver_contract_shape():
+    q, o = entry.queries(), entry.oracle_sql()
+    assert len(q) == 62 and set(o) <= set(q) and set(q) - set(o) == {"identity_murmur"}
+    assert all(callable(fn) for fn in q.values()) and all(isinstance(s, str) and s.strip() for s in o.values())
