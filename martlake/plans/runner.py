@@ -26,6 +26,7 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from martlake import contracts as C
 from martlake.operators import dimensions, facts, quality, unify
@@ -107,11 +108,12 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
 
     # 1. one parse + classification pass per transactional feed, written
     #    typed; the invalid partitions are the quarantine
-    obs = {"orders": sinks.write_staged(flows.classified_orders(feeds), layout.staged_orders, "orders", run),
-           "sales": sinks.write_staged(flows.classified_sales(feeds), layout.staged_sales, "sales", run)}
+    classified = {"orders": flows.classified_orders(feeds), "sales": flows.classified_sales(feeds)}
+    obs = {feed: sinks.write_staged(c, getattr(layout, f"staged_{feed}"), feed, run)
+           for feed, c in classified.items()}
     staged = flows.Feeds(
-        orders=_staged_valid(spark, layout, "orders", run),
-        sales=_staged_valid(spark, layout, "sales", run),
+        orders=_staged_valid(spark, layout, "orders", run, classified["orders"].schema),
+        sales=_staged_valid(spark, layout, "sales", run, classified["sales"].schema),
         refunds=feeds.refunds, products=feeds.products, customers=feeds.customers)
 
     # 2. curated sales: the range's date slices are replaced (emptied dates
@@ -186,10 +188,15 @@ def _metrics(obs: dict) -> dict[str, dict]:
     return {feed: observed(o, zero) for feed, o in obs.items()}
 
 
-def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run: str) -> DataFrame:
-    rows = spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(
-        (F.col("run") == run) & F.col("is_valid"))
-    return rows.drop("reasons", "run", "is_valid")
+def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run: str, schema: T.StructType) -> DataFrame:
+    """The valid rows this run staged, read with the known schema (so an
+    empty first run reads as an empty frame instead of failing inference)."""
+    full = T.StructType(schema.fields + [T.StructField("run", T.StringType()),
+                                         T.StructField("is_valid", T.BooleanType())])
+    path = getattr(layout, f"staged_{feed}")
+    rows = (spark.read.schema(full).parquet(path) if sources.path_exists(spark, path)
+            else sources.empty(spark, full))
+    return rows.filter((F.col("run") == run) & F.col("is_valid")).drop("reasons", "run", "is_valid")
 
 
 def late_refund_dates(curated_all: DataFrame, refunds: DataFrame, start: dt.date, end: dt.date) -> list[dt.date]:

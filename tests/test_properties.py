@@ -215,3 +215,10 @@ def test_late_arriving_sale_joins_its_event_day(spark):
         assert fact.filter("sale_date = DATE'2026-08-19'").count() == 8
         got = fact.filter("sale_id = 'MKT-LATE-1'").collect()
         assert len(got) == 1 and got[0].sale_date == dt.date(2026, 8, 19)
+
+
+def test_first_run_without_landed_data_is_a_no_op(spark):
+    layout = runner.Layout(scratch_path(spark, "empty_root"))
+    metrics = runner.main(["--root", layout.root, "--start", "2026-08-19"])
+    assert metrics == {"orders": {"n_input": 0, "n_valid": 0, "n_quarantined": 0},
+                       "sales": {"n_input": 0, "n_valid": 0, "n_quarantined": 0}}
