@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -38,7 +39,16 @@ def whole_text(col: str = "text"):
     return F.coalesce(F.col(col), F.lit(""))
 
 
+def importable(spark: SparkSession) -> None:
+    """Python workers on the driver's disk find this package wherever the driver started (a cluster has --py-files)."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = spark.sparkContext.environment
+    if root not in env.get("PYTHONPATH", "").split(os.pathsep):
+        env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     small_batches(df.sparkSession)
+    importable(df.sparkSession)
     return df.mapInArrow(fn, schema)

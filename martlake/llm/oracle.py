@@ -2,4 +2,42 @@
 
 from __future__ import annotations
 
-ORACLE: dict[str, str] = {}
+_PAGES = """SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages"""
+
+#: The 32 characters of a SHA-1 in base32, from five hexadecimal digits at a time.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (((('0x' || substr(hex, {5 * g + 1}, 5))::INT >> {s}) & 31) + 1)::INT, 1)"
+    for g in range(8) for s in (15, 10, 5, 0))
+
+_OP9_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
+
+ORACLE: dict[str, str] = {
+    "op1_warc": f"""
+WITH p AS ({_PAGES}),
+f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)
+SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS payload_digest,
+       CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
+FROM f
+""",
+    "op9_decontamination": f"""
+WITH d AS (SELECT doc_id, {_OP9_WORDS} AS w FROM documents),
+i AS (SELECT item_id, {_OP9_WORDS} AS w FROM benchmark),
+phrase AS (
+    SELECT DISTINCT item_id, least(len(w), 10) AS n, array_to_string(list_slice(w, s, s + least(len(w), 10) - 1), ' ') AS p
+    FROM (SELECT item_id, w, unnest(generate_series(1, greatest(1, len(w) - 9))) AS s FROM i WHERE len(w) > 0)),
+place AS (
+    SELECT doc_id, n, s, array_to_string(list_slice(w, s, s + n - 1), ' ') AS p
+    FROM (SELECT doc_id, w, n, unnest(generate_series(1, len(w) - n + 1)) AS s
+          FROM d, (SELECT DISTINCT n FROM phrase) WHERE len(w) >= n)),
+found AS (SELECT doc_id, item_id, s, n FROM place JOIN phrase USING (n, p)),
+hit AS (SELECT doc_id, count(DISTINCT pos) AS n_hit
+        FROM (SELECT doc_id, unnest(generate_series(s, s + n - 1)) AS pos FROM found) GROUP BY doc_id),
+item AS (SELECT doc_id, count(DISTINCT item_id) AS n_items, string_agg(DISTINCT item_id::VARCHAR, ',' ORDER BY item_id::VARCHAR) AS ids
+         FROM found GROUP BY doc_id)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit, coalesce(n_items, 0)::BIGINT AS n_items,
+       sha256(coalesce(ids, '')) AS items_sha256, n_hit IS NOT NULL AS contaminated
+FROM d LEFT JOIN hit USING (doc_id) LEFT JOIN item USING (doc_id)
+""",
+}

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from martlake.llm import warc
 from martlake.llm.common import table
+from martlake.llm.fmindex import find_passages
 from martlake.llm.huffman import read_digests, write_files
 from martlake.llm.packing import pack_documents
 from martlake.llm.tokencount import count_tokens
@@ -15,6 +17,14 @@ from martlake.llm.tokens import vocabulary_path
 from martlake.session import scratch_path
 
 
+def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "warc")
+    pages = table(spark, sf_dir, "pages")
+    warc.write_archive(pages.select(F.col("page_id").alias("id"), F.col("url").alias("uri"),
+                                    F.encode("html", "UTF-8").alias("payload")), folder)
+    return warc.read_digests(spark, folder).withColumnRenamed("id", "page_id")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
@@ -25,13 +35,27 @@ def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_digests(spark, folder)
 
 
+def op9_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = find_passages(table(spark, sf_dir, "documents").select("doc_id", "text"),
+                          table(spark, sf_dir, "benchmark"))
+    hit = F.aggregate(F.sequence(F.lit(1), F.size("spans"), F.lit(1)), F.lit(0).cast("long"),
+                      lambda n, k: n + F.element_at("spans", k) * F.when(k % 2 == 0, 1).otherwise(-1))
+    return found.select(
+        F.col("row.doc_id").alias("doc_id"), "n_words", F.when(F.size("spans") > 0, hit).otherwise(0).alias("n_hit"),
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", F.sort_array("items")), 256).alias("items_sha256"),
+        (F.size("spans") > 0).alias("contaminated"))
+
+
 def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     counts = count_tokens(table(spark, sf_dir, "documents"), vocabulary_path("word_bpe_49k.json"))
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc": op1_warc,
     "op4_packing": op4_packing,
     "op8_token_files": op8_token_files,
+    "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
 }
