@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import warc
+from martlake.llm import langid, warc
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
 from martlake.llm.huffman import read_digests, write_files
@@ -25,6 +25,14 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.read_digests(spark, folder).withColumnRenamed("id", "page_id")
 
 
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))))
+    found = langid.predict(docs.select("text", "doc_id"), model, F.col("doc_id"))
+    return found.select(F.col("row").alias("doc_id"), langid.held_out(F.col("row")).alias("held_out"), "lang_pred",
+                        "score", "rejected")
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
@@ -54,6 +62,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
+    "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
