@@ -11,6 +11,7 @@ from martlake.llm import langid, warc
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
 from martlake.llm.huffman import read_digests, write_files
+from martlake.llm.neardup import near_duplicates
 from martlake.llm.packing import pack_documents
 from martlake.llm.tokencount import count_tokens
 from martlake.llm.tokens import vocabulary_path
@@ -37,6 +38,10 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, share=85)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_files")
     write_files(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), folder)
@@ -64,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
+    "op6_near_duplicates": op6_near_duplicates,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
