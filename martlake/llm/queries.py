@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm import langid, warc
+from martlake.llm.ann import nearest
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
 from martlake.llm.huffman import read_digests, write_files
@@ -42,6 +43,10 @@ def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, share=85)
 
 
+def op7_nearest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"), F.col("vec_id") % 50 == 0)
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = scratch_path(spark, "token_files")
     write_files(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"), folder)
@@ -70,6 +75,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
     "op6_near_duplicates": op6_near_duplicates,
+    "op7_nearest": op7_nearest,
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
