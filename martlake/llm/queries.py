@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import langid, warc
+from martlake.llm import langid, pii, warc
 from martlake.llm.ann import nearest
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
@@ -39,6 +39,13 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
 
+def op5_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kinds = list(pii.PATTERNS)
+    return found.select("doc_id", *[F.size(k).cast("long").alias(f"n_{k}") for k in kinds],
+                        F.sha2(pii.joined(*kinds), 256).alias("base_sha256"), pii.joined(*kinds, "term").alias("spans"))
+
+
 def op6_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents").select("doc_id", "text"), k=3, share=85)
 
@@ -74,6 +81,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
     "op4_packing": op4_packing,
+    "op5_personal_data": op5_personal_data,
     "op6_near_duplicates": op6_near_duplicates,
     "op7_nearest": op7_nearest,
     "op8_token_files": op8_token_files,

@@ -20,7 +20,9 @@ SAFE = re.compile(f"[\\t\\n\\r\\x20-\\x7e{LETTERS}¡-§©«®°±¶·»¿"
 #: The published split patterns of the two vocabularies, with the classes restricted to SAFE texts.
 BYTE_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d| ?[{LETTERS}]+| ?[0-9]+| ?[^\\s0-9{LETTERS}]+|\\s+(?!\\S)|\\s+")
 WORD_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LETTERS}]+")
-CACHE_ENTRIES = 400_000
+#: Pre-tokens a worker remembers: the newest this many, and of those before them the ones that came again.
+CACHE_ENTRIES = 300_000
+JOINED = 1000
 
 
 def vocabulary_path(name: str) -> str:
@@ -45,21 +47,44 @@ class Encoder:
         self.dtype = np.dtype("<u4" if wide else "<u2")
         self.end = np.zeros(1, self.dtype).tobytes()
         self.specials = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        newline = self.tokenizer.encode("\n", add_special_tokens=False).ids
+        self.newline = newline[0] if len(newline) == 1 else None
         self.known: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
 
     def whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, self.dtype).tobytes()
 
+    def learn(self, pieces: list[str]) -> None:
+        """Ids of pre-tokens.  Those without white space inside go many to a text, a line each: a line break is a
+        pre-token of its own, and its id stands nowhere else."""
+        alone = [p for p in pieces if self.newline is None or p.isspace()]
+        for piece, enc in zip(alone, self.tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+            self.known[piece] = np.array(enc.ids, self.dtype).tobytes()
+        rest = [p for p in pieces if not p.isspace()] if self.newline is not None else []
+        parts = [rest[s:s + JOINED] for s in range(0, len(rest), JOINED)]
+        encoded = self.tokenizer.encode_batch_fast(["\n".join(p) for p in parts], add_special_tokens=False)
+        width = self.dtype.itemsize
+        for part, enc in zip(parts, encoded):
+            ids = np.array(enc.ids, self.dtype)
+            raw, ends = ids.tobytes(), (np.flatnonzero(ids == self.newline) * width).tolist() + [len(ids) * width]
+            start = 0
+            for piece, end in zip(part, ends):
+                self.known[piece] = raw[start:end]
+                start = end + width
+
     def ids(self, texts: list[str]) -> list[bytes]:
         cut = [BYTE_LEVEL.findall(t) if SAFE.fullmatch(t) and not any(s in t for s in self.specials) else None
                for t in texts]
-        if len(self.known) > CACHE_ENTRIES:
-            self.known.clear()
+        new = set().union(*(c for c in cut if c)).difference(self.known)
+        again = new & self.older.keys()
+        self.known.update((p, self.older[p]) for p in again)
+        self.learn(list(new - again))
         known = self.known
-        new = list(set().union(*(c for c in cut if c)).difference(known))
-        for piece, enc in zip(new, self.tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-            known[piece] = np.array(enc.ids, self.dtype).tobytes()
-        return [self.whole(t) if c is None else b"".join(map(known.__getitem__, c)) for t, c in zip(texts, cut)]
+        out = [self.whole(t) if c is None else b"".join(map(known.__getitem__, c)) for t, c in zip(texts, cut)]
+        if len(known) > CACHE_ENTRIES:
+            self.older, self.known = known, {}
+        return out
 
 
 _encoders: dict[str, Encoder] = {}
