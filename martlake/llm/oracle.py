@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from martlake.llm.licenses import CONTAINMENT, K, TEMPLATES, template_words, tier
+
 _PAGES = """SELECT page_id, encode(coalesce(html, '')) AS payload, sha1(coalesce(html, '')) AS hex FROM pages"""
 
 #: The 32 characters of a SHA-1 in base32, from five hexadecimal digits at a time.
@@ -12,7 +14,26 @@ _BASE32 = " || ".join(
 _OP9_WORDS = """regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
     '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')"""
 
+_TEMPLATES = ", ".join(f"({n}, '{name}', {tier(len(w))}, {w!r})"
+                       for n, (name, text) in enumerate(TEMPLATES) for w in [template_words(text)])
+
 ORACLE: dict[str, str] = {
+    "op3_licenses": rf"""
+WITH t AS (SELECT template, license, size, p.s AS sh FROM (VALUES {_TEMPLATES}) v(template, license, size, w),
+           LATERAL (SELECT DISTINCT array_to_string(list_slice(w, i, i + {K - 1}), ' ') AS s
+                    FROM generate_series(1, len(w) - {K - 1}) g(i)) p),
+n AS (SELECT template, count(*) AS n FROM t GROUP BY template),
+d AS (SELECT doc_id, regexp_extract_all(lower(coalesce(text, '')), '[\p{{L}}\p{{N}}]+') AS w FROM documents),
+p AS (SELECT doc_id, i - 1 AS pos, array_to_string(list_slice(w, i, i + {K - 1}), ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(generate_series(1, len(w) - {K - 1})) AS i FROM d WHERE len(w) >= {K})),
+hit AS (SELECT doc_id, template, license, size, pos, sh, unnest([pos // size, pos // size - 1]) AS j FROM p JOIN t USING (sh)),
+win AS (SELECT doc_id, license, size, j, template, count(DISTINCT sh) / any_value(n) AS share, min(pos) AS a, max(pos) + {K - 1} AS z
+        FROM hit JOIN n USING (template) WHERE j >= 0 GROUP BY ALL HAVING share >= {CONTAINMENT}),
+one AS (SELECT doc_id, license, size, j, max(share) AS share, min(a) AS a, max(z) AS z FROM win GROUP BY ALL)
+SELECT doc_id, license, max(share) AS containment, min(a)::BIGINT AS first_word, max(z)::BIGINT AS last_word,
+       count(*) AS n_windows
+FROM one GROUP BY doc_id, license
+""",
     "op1_warc": f"""
 WITH p AS ({_PAGES}),
 f AS (SELECT *, min(page_id) OVER (PARTITION BY payload) AS first_id FROM p)

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import langid, pii, warc
+from martlake.llm import langid, licenses, pii, warc
 from martlake.llm.ann import nearest
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
@@ -35,6 +35,10 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
                         "score", "rejected")
 
 
+def op3_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licenses.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"), vocabulary_path("byte_bpe_50k.json"))
 
@@ -80,6 +84,7 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
+    "op3_licenses": op3_licenses,
     "op4_packing": op4_packing,
     "op5_personal_data": op5_personal_data,
     "op6_near_duplicates": op6_near_duplicates,
