@@ -1,23 +1,68 @@
-"""The corpus pipeline: stages over ``documents``, each written as Parquet and reread by the next."""
+"""The corpus pipeline over ``documents``: language, near duplicates, benchmark passages, personal data, packing.
+
+Every stage but the last returns the columns of ``documents``; where a text changes, ``n_chars`` is its new length.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from martlake.llm.common import table
+from martlake.llm import langid, pii
+from martlake.llm.common import table, written
+from martlake.llm.fmindex import remove_passages
+from martlake.llm.neardup import near_duplicates
+from martlake.llm.packing import pack_documents
+from martlake.llm.tokens import vocabulary_path
 from martlake.session import scratch_path
 
+#: Near duplicates of the pipeline: five words, a Jaccard similarity of 0.8.
+SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY = 5, 80, 2
+
+
+def _sized(docs: DataFrame) -> DataFrame:
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) \
+        if "n_chars" in docs.columns else docs
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose language is told; a text without letters or far from every centroid goes."""
+    model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
+    kept = langid.predict(docs, model).where("NOT rejected")
+    return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
+
+
+def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, the one with the smallest doc_id; of rows with that id, one."""
+    found = near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY)
+    kept = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies")),
+                   "kept")
+    named = docs.join(kept.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    again = (docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id")
+             .agg(F.min_by(row, F.md5("text")).alias("row")).select("row.*"))
+    return named.select(*docs.columns).union(again.select(*docs.columns)).union(docs.where("doc_id IS NULL"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents without the words of benchmark passages."""
+    return _sized(remove_passages(docs, table(spark, sf_dir, "benchmark")))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents with personal data and disclosing terms replaced."""
+    return _sized(pii.sanitise(docs))
+
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One row per packed piece of the kept documents."""
-    from martlake.llm.packing import pack_documents
-    from martlake.llm.tokens import vocabulary_path
-
     return pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
 
 
-STAGES = [("packing", packing)]
+STAGES = [("language", language), ("near_duplicates", near_duplicate), ("decontamination", decontamination),
+          ("personal_data", personal_data), ("packing", packing)]
 
+#: Token ids of a public vocabulary can't be had in SQL; tests hold the stages against brute-force versions.
 ORACLE_SQL = None
 
 
