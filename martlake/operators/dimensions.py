@@ -20,9 +20,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
-from martlake.operators.broadcast import bounded_broadcast
 from martlake.operators.unify import first_by
-from martlake.session import shared_root
+from martlake.session import scratch_path, shared_root
 
 _IN = "_incoming"
 
@@ -110,20 +109,24 @@ def scd1_upsert(current: DataFrame | None, incoming: DataFrame, key_col: str,
     unmatched incoming rows are inserted with new keys; untouched rows stay.
 
     ``incoming`` is first reduced to one row per natural key (the least by
-    ``order_col``, ties by the other columns).
+    ``order_col``, ties by the other columns).  A row without a natural key
+    names no member and is left out (its feed quarantines it).
     """
     attrs = [c for c in incoming.columns if c not in natural_keys and c != key_col]
+    incoming = incoming.dropna(subset=natural_keys)
     src = first_by(incoming, natural_keys, order_col or attrs[0])
     if current is None:
         return assign_keys(src.select(*natural_keys, *attrs), natural_keys, key_col, 0)
     top = max_key(current, key_col)
+    # the incoming rows are reduced once and staged: both joins read the table
+    staged = scratch_path(current.sparkSession, "incoming")
+    src.select(*natural_keys, *attrs).write.parquet(staged)
+    src = current.sparkSession.read.schema(src.select(*natural_keys, *attrs).schema).parquet(staged)
     t = current.select(key_col, *natural_keys, *[F.col(a).alias(f"_t_{a}") for a in attrs])
-    s = src.select(*natural_keys, *attrs, F.lit(True).alias(_IN))
-    j = t.join(s, natural_keys, "full_outer")
-    matched_or_kept = j.filter(F.col(key_col).isNotNull()).select(
+    matched_or_kept = t.join(src.withColumn(_IN, F.lit(True)), natural_keys, "left").select(
         key_col, *natural_keys,
         *[F.when(F.col(_IN), F.col(a)).otherwise(F.col(f"_t_{a}")).alias(a) for a in attrs])
-    inserted = j.filter(F.col(key_col).isNull()).select(*natural_keys, *attrs)
+    inserted = src.join(current.select(*natural_keys), natural_keys, "left_anti").select(*natural_keys, *attrs)
     new_keys = assign_keys(inserted, natural_keys, key_col, top)
     return matched_or_kept.unionByName(new_keys)
 
@@ -144,7 +147,7 @@ def channels(spark: SparkSession, observed_sales: DataFrame, current: DataFrame
     aggregated map-side first; there are a handful of them."""
     base = current if current is not None else channel_seed(spark)
     seen = observed_sales.select("channel_name").filter(F.col("channel_name").isNotNull()).distinct()
-    new = seen.join(bounded_broadcast(base.select("channel_name")), "channel_name", "left_anti")
+    new = seen.join(F.broadcast(base.select("channel_name")), "channel_name", "left_anti")
     if new.isEmpty():  # the usual case: every channel is known
         return base
     keyed = assign_keys(new, ["channel_name"], "channel_key", max_key(base, "channel_key"))

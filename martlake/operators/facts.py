@@ -1,16 +1,14 @@
-"""Sales fact: surrogate-key lookup and idempotent replacement of date slices."""
+"""Sales fact: surrogate-key lookup."""
 
 from __future__ import annotations
 
 import datetime as dt
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators.broadcast import bounded_broadcast
-from martlake.observe import observed
 
 def customer_source(channel: str = "channel_name"):
     """Customers of the website are the operational DB's; marketplace
@@ -23,11 +21,14 @@ def lookup_keys(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFr
                 product_source: str = "channel_map") -> DataFrame:
     """Left-join settled sales to the three dimensions (unmatched -> NULL key).
 
+    Only the channel dimension (a row per marketplace) is broadcast by hint;
+    for products and customers adaptive execution decides by measured bytes.
+
     ``product_source='channel_map'`` takes each channel's catalogue from
     ``dim_channels.product_source``; ``'case'`` is the literal mapping
     Website -> MySQL, others -> 'Marketplace API'.
     """
-    ch = bounded_broadcast(dim_channels.select(
+    ch = F.broadcast(dim_channels.select(
         "channel_name", "channel_key", F.col("product_source").alias("_psrc")))
     s = sales.join(ch, "channel_name", "left")
     if product_source == "case":
@@ -36,10 +37,10 @@ def lookup_keys(sales: DataFrame, dim_products: DataFrame, dim_customers: DataFr
     else:
         psrc = F.col("_psrc")
     s = s.withColumn("_psrc", psrc).withColumn("_csrc", customer_source())
-    p = bounded_broadcast(dim_products.select(
-        F.col("product_id").alias("_p_id"), F.col("source_system").alias("_p_src"), "product_key"))
-    c = bounded_broadcast(dim_customers.select(
-        F.col("customer_id").alias("_c_id"), F.col("source_system").alias("_c_src"), "customer_key"))
+    p = dim_products.select(
+        F.col("product_id").alias("_p_id"), F.col("source_system").alias("_p_src"), "product_key")
+    c = dim_customers.select(
+        F.col("customer_id").alias("_c_id"), F.col("source_system").alias("_c_src"), "customer_key")
     s = s.join(p, (s.product_id == p._p_id) & (s._psrc == p._p_src), "left")
     s = s.join(c, (s.customer_id == c._c_id) & (s._csrc == c._c_src), "left")
     ingest = S.ntz(as_of) if as_of is not None else F.lit(None).cast("timestamp_ntz")
@@ -59,54 +60,3 @@ def orphans(fact: DataFrame) -> DataFrame:
         F.when(F.col("customer_key").isNull(), F.lit("customer")),
         F.when(F.col("channel_key").isNull(), F.lit("channel"))), lambda x: x.isNotNull())
     return fact.select("sale_id", missing.alias("missing")).filter(F.size("missing") > 0)
-
-
-# --------------------------------------------------------------------------
-# Slice replacement
-# --------------------------------------------------------------------------
-def replace_slices(fact: DataFrame, path: str, start: dt.date, end: dt.date) -> None:
-    """Make the ``sale_date`` slices in [start, end) of the table at ``path``
-    equal to ``fact`` (DELETE + INSERT per date, atomic per slice)."""
-    lo, hi = start.isoformat(), end.isoformat()
-    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
-    _replace(fact.filter(in_range), path, lambda day: lo <= day < hi)
-
-
-def replace_dates(fact: DataFrame, path: str, dates: list[dt.date]) -> None:
-    """The same for an explicit set of dates (slices touched by late refunds)."""
-    if not dates:
-        return
-    wanted = {d.isoformat() for d in dates}
-    _replace(fact.filter(F.col("sale_date").isin(list(dates))), path, lambda day: day in wanted)
-
-
-def _replace(rows: DataFrame, path: str, in_scope) -> None:
-    """Rows are written with dynamic partition overwrite, which replaces only
-    the dates present in ``rows``; dates in scope that now have no rows are
-    removed as well, so a rerun never leaves stale slices behind.  The
-    written dates are observed during the write (one pass; the set is
-    bounded by the number of days in scope).  The REBALANCE hint groups rows
-    by date before the write (few files per date) and lets AQE split a hot
-    date over several tasks and merge small ones.
-    """
-    spark = rows.sparkSession
-    obs = Observation("slice_dates")
-    rows = rows.observe(obs, F.collect_set("sale_date").alias("dates"))
-    (rows.hint("rebalance", "sale_date").write.mode("overwrite")
-         .option("partitionOverwriteMode", "dynamic")
-         .partitionBy("sale_date").parquet(path))
-    got = observed(obs, {})
-    if "dates" not in got and not rows.isEmpty():
-        raise RuntimeError("written dates were not observed; refusing to delete slices")
-    written = {d.isoformat() for d in (got.get("dates") or [])}
-    jvm = spark.sparkContext._jvm
-    root = jvm.org.apache.hadoop.fs.Path(path)
-    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
-    if not fs.exists(root):
-        return
-    for st in fs.listStatus(root):
-        name = st.getPath().getName()
-        if st.isDirectory() and name.startswith("sale_date="):
-            day = name.split("=", 1)[1]
-            if in_scope(day) and day not in written:
-                fs.delete(st.getPath(), True)

@@ -1,14 +1,17 @@
 """Rule-driven data-quality split.
 
-Every row gets ``reasons array<string>``: the codes of the rules it breaks,
-in rule order.  A rule whose predicate is NULL does not fire, so a row is
-valid exactly when the array is empty and quarantined otherwise; the split
-is total (valid + quarantined = input) under three-valued logic.
+A rule names a fault.  A rule whose predicate is NULL does not fire; a row
+is valid exactly when no rule fires, so the split is total (valid +
+quarantined = input) under three-valued logic.  Validity is a plain boolean
+conjunction (``holds``): it runs in generated code and its NOT NULL parts
+reach the scan.  The fired rules' codes (``reasons array<string>``, in rule
+order) are only computed for classified feeds.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 from typing import Callable
 
 from pyspark.sql import Column, DataFrame
@@ -25,8 +28,8 @@ class Rule:
     predicate: Callable[[], Column]  # built lazily: Columns need a live session
 
 
-def _null(c: str) -> Rule:
-    return Rule(f"null_{c}", lambda: F.col(c).isNull())
+def _null(c: str, code: str | None = None) -> Rule:
+    return Rule(code or f"null_{c}", lambda: F.col(c).isNull())
 
 
 def web_order_rules() -> list[Rule]:
@@ -41,7 +44,7 @@ def web_order_rules() -> list[Rule]:
 def mkt_sale_rules() -> list[Rule]:
     return [
         _null("transaction_id"), _null("product_id"),
-        Rule("null_email", lambda: F.col("customer_email").isNull()),
+        _null("customer_email", "null_email"),
         _null("quantity"),
         Rule("nonpositive_quantity", lambda: F.col("quantity") <= 0),
         Rule("bad_timestamp", lambda: F.col("transaction_date").isNull()),
@@ -55,7 +58,26 @@ def refund_rules() -> list[Rule]:
     ]
 
 
-RULES = {"orders": web_order_rules, "sales": mkt_sale_rules, "refunds": refund_rules}
+def product_rules() -> list[Rule]:
+    return [_null("product_id"), Rule("negative_price", lambda: F.col("price") < 0)]
+
+
+def customer_rules() -> list[Rule]:
+    return [_null("customer_id")]
+
+
+def holds(rules: list[Rule], parse_errors: str | None = None) -> Column:
+    """No rule fires (and no parse error was recorded)."""
+    ok = [~F.coalesce(r.predicate(), F.lit(False)) for r in rules]
+    if parse_errors is not None:
+        ok.append(F.size(parse_errors) == 0)
+    return reduce(lambda a, b: a & b, ok)
+
+
+def only_valid(df: DataFrame, rules: list[Rule], parse_errors: str | None = None) -> DataFrame:
+    """The valid rows of a feed that is not classified."""
+    out = df.filter(holds(rules, parse_errors))
+    return out.drop(parse_errors) if parse_errors else out
 
 
 def reasons(rules: list[Rule]) -> Column:
@@ -81,11 +103,6 @@ def quarantined(classified: DataFrame) -> DataFrame:
     return classified.filter(F.size(REASONS) > 0)
 
 
-def split(df: DataFrame, rules: list[Rule]) -> tuple[DataFrame, DataFrame]:
-    c = classify(df, rules)
-    return valid(c), quarantined(c)
-
-
 def reason_counts(classified: DataFrame, feed: str) -> DataFrame:
     """Rows per reason code (a row with two reasons counts for both)."""
     return (classified.select(F.explode(REASONS).alias("reason"))
@@ -93,10 +110,10 @@ def reason_counts(classified: DataFrame, feed: str) -> DataFrame:
             .select(F.lit(feed).alias("feed"), "reason", "n_rows"))
 
 
-def split_totals(classified: DataFrame, feed: str) -> DataFrame:
+def split_totals(df: DataFrame, feed: str, rules: list[Rule], parse_errors: str | None = None) -> DataFrame:
     """One pass: input, valid and quarantined counts of a feed."""
-    ok = F.size(REASONS) == 0
-    return classified.agg(
+    ok = holds(rules, parse_errors)
+    return df.agg(
         F.count(F.lit(1)).alias("n_input"),
         F.count_if(ok).alias("n_valid"),
         F.count_if(~ok).alias("n_quarantined"),

@@ -7,12 +7,18 @@ from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.operators.conform import RULE_REFUND
+from martlake.operators.unify import pick_one
+
+
+def dedup_refunds(refunds: DataFrame) -> DataFrame:
+    """One row per refund_id: the newest delivery, ties by the other columns."""
+    return pick_one(refunds, ["refund_id"], ["refund_date"], largest=True)
 
 
 def refund_totals(refunds: DataFrame) -> DataFrame:
-    """Refunded amount per original sale (partial + final aggregation, so a
-    sale refunded many times is combined map-side)."""
-    return (refunds.groupBy("original_transaction_id")
+    """Refunded amount per original sale, each refund_id once (partial +
+    final aggregation, so a sale refunded many times is combined map-side)."""
+    return (dedup_refunds(refunds).groupBy("original_transaction_id")
             .agg(F.sum("refund_amount").cast(C.MONEY).alias("_refunded")))
 
 

@@ -23,6 +23,7 @@ from martlake.operators import checks, conform, dimensions, facts, quality, refu
 from martlake.plans import flows, runner
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
+from martlake.sinks import slices
 from martlake.sources import extract, fixtures
 from martlake.sources import files as sources
 from martlake.sources.files import PARSE_ERRORS
@@ -71,29 +72,52 @@ def _feeds(spark: SparkSession, sf_dir: str) -> flows.Feeds:
 # ---------------------------------------------------------------------------
 @query("channel_revenue")
 def channel_revenue(spark, sf_dir):
-    settled = flows.settled_sales(_feeds(spark, sf_dir))
-    return flows.channel_revenue(settled, dimensions.channel_seed(spark))
+    f = _feeds(spark, sf_dir)
+    return flows.channel_revenue(flows.settled_sales(f), flows.channel_dim(spark, f))
 
 
 @query("channel_revenue_web_refunds")
 def channel_revenue_web_refunds(spark, sf_dir):
-    settled = flows.settled_sales(_feeds(spark, sf_dir), refund_rule=True)
-    return flows.channel_revenue(settled, dimensions.channel_seed(spark))
+    f = _feeds(spark, sf_dir)
+    return flows.channel_revenue(flows.settled_sales(f, refund_rule=True), flows.channel_dim(spark, f))
 
 
-@query("refund_settlement")
-def refund_settlement(spark, sf_dir):
-    s = flows.settled_sales(_feeds(spark, sf_dir))
+@query("fact_channel_revenue")
+def fact_channel_revenue(spark, sf_dir):
+    """The published query over the star schema, with a marketplace that the
+    seeded channels don't know."""
+    f = _feeds(spark, sf_dir)
+    f.sales = f.sales.withColumn("marketplace_name", F.when(F.col("product_id") % 10 == 3, F.lit("Meesho"))
+                                 .otherwise(F.col("marketplace_name")))
+    return flows.fact_channel_revenue(flows.fact_sales(spark, f, AS_OF, refund_rule=True), flows.channel_dim(spark, f))
+
+
+def _settlement(f: flows.Feeds) -> DataFrame:
+    s = flows.settled_sales(f)
     return out(s.select("sale_id", "channel_name", "sales_amount", "refund_amount",
                         (F.col("sales_amount") - F.col("refund_amount")).alias("net_amount")))
 
 
+@query("refund_settlement")
+def refund_settlement(spark, sf_dir):
+    return _settlement(_feeds(spark, sf_dir))
+
+
+@query("refund_settlement_redelivered")
+def refund_settlement_redelivered(spark, sf_dir):
+    """Every refund delivered again an hour later: charged once."""
+    f = _feeds(spark, sf_dir)
+    later = f.refunds.withColumn("refund_date", F.expr("refund_date + INTERVAL 1 HOUR"))
+    f.refunds = unify.union_all(f.refunds, later)
+    return _settlement(f)
+
+
 # ---------------------------------------------------------------------------
 # Quality split
 # ---------------------------------------------------------------------------
 @query("dq_valid_orders")
 def dq_valid_orders(spark, sf_dir):
-    return out(quality.valid(flows.classified_orders(_feeds(spark, sf_dir))))
+    return out(flows.valid_orders(_feeds(spark, sf_dir)))
 
 
 @query("dq_quarantine_orders")
@@ -103,7 +127,7 @@ def dq_quarantine_orders(spark, sf_dir):
 
 @query("dq_valid_sales")
 def dq_valid_sales(spark, sf_dir):
-    return out(quality.valid(flows.classified_sales(_feeds(spark, sf_dir))))
+    return out(flows.valid_sales(_feeds(spark, sf_dir)))
 
 
 @query("dq_quarantine_sales")
@@ -121,10 +145,21 @@ def dq_reason_counts(spark, sf_dir):
 @query("dq_split_totals")
 def dq_split_totals(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    return out(quality.split_totals(flows.classified_orders(f), "orders")
-               .unionByName(quality.split_totals(flows.classified_sales(f), "sales"))
-               .unionByName(quality.split_totals(
-                   quality.classify(f.refunds, quality.refund_rules()), "refunds")))
+    return out(quality.split_totals(f.orders, "orders", quality.web_order_rules())
+               .unionByName(quality.split_totals(f.sales, "sales", quality.mkt_sale_rules()))
+               .unionByName(quality.split_totals(f.refunds, "refunds", quality.refund_rules())))
+
+
+@query("dq_quarantine_refunds")
+def dq_quarantine_refunds(spark, sf_dir):
+    """Refunds with a negative amount (every second id) and without an
+    amount (every seventh) planted."""
+    f = _feeds(spark, sf_dir)
+    n = F.substring("refund_id", 9, 1 << 30).cast("bigint")
+    planted = f.refunds.withColumn("refund_amount", F.when(n % 7 == 0, F.lit(None)).when(n % 2 == 0, -F.col("refund_amount"))
+                                   .otherwise(F.col("refund_amount")).cast(C.MONEY))
+    c = quality.classify(planted, quality.refund_rules())
+    return out(quality.quarantined(c).select("refund_id", "refund_amount", "reasons"))
 
 
 # ---------------------------------------------------------------------------
@@ -133,13 +168,13 @@ def dq_split_totals(spark, sf_dir):
 @query("conform_orders")
 def conform_orders(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    return out(conform.web_sales(quality.valid(flows.classified_orders(f)), AS_OF))
+    return out(conform.web_sales(flows.valid_orders(f), AS_OF))
 
 
 @query("conform_sales")
 def conform_sales(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    return out(conform.marketplace_sales(quality.valid(flows.classified_sales(f))))
+    return out(conform.marketplace_sales(flows.valid_sales(f)))
 
 
 @query("conform_products")
@@ -187,13 +222,6 @@ def identity_md5(spark, sf_dir):
             .select("email", S.identity_md5("email").alias("customer_id"))
 
 
-@query("identity_murmur")
-def identity_murmur(spark, sf_dir):
-    s = fixtures.mkt_sales(spark, sf_dir).filter(F.col("customer_email").isNotNull())
-    return s.select(F.col("customer_email").alias("email")).distinct() \
-            .select("email", S.identity_murmur("email").alias("customer_id"))
-
-
 @query("derive_partitions")
 def derive_partitions(spark, sf_dir):
     d = flows.curated_sales(_feeds(spark, sf_dir))
@@ -224,7 +252,7 @@ def dedup_customer_id(spark, sf_dir):
 
 
 def _mkt_customers(spark, sf_dir) -> DataFrame:
-    return conform.marketplace_customers(quality.valid(flows.classified_sales(_feeds(spark, sf_dir))))
+    return conform.marketplace_customers(flows.valid_sales(_feeds(spark, sf_dir)))
 
 
 @query("dedup_customer_email")
@@ -295,7 +323,7 @@ def merge_products(spark, sf_dir):
 def merge_customers(spark, sf_dir):
     key, nat = C.DIM_CUSTOMERS_KEY
     f = _feeds(spark, sf_dir)
-    valid = quality.valid(flows.classified_sales(f))
+    valid = flows.valid_sales(f)
     web = conform.web_customers(f.customers)
     early = conform.marketplace_customers(valid.filter(
         F.col("transaction_date") < S.ntz(SECOND_HALF)))
@@ -337,7 +365,38 @@ def fact_defaults(spark, sf_dir):
 
 @query("contract_fk_fact")
 def contract_fk_fact(spark, sf_dir):
-    return out(facts.orphans(flows.fact_sales(spark, _feeds(spark, sf_dir), AS_OF)))
+    """Products of every seventh id and customers of every ninth are missing
+    from the dimensions."""
+    f = _feeds(spark, sf_dir)
+    dims = (flows.dim_products(f).filter(F.col("product_id") % 7 != 0),
+            flows.dim_customers(f).filter(F.col("customer_id") % 9 != 0))
+    return out(facts.orphans(flows.fact_sales(spark, f, AS_OF, dims=dims)))
+
+
+@query("contract_pk_fact")
+def contract_pk_fact(spark, sf_dir):
+    """Rows and distinct ids of the fact, where every sale is delivered twice."""
+    f = _feeds(spark, sf_dir)
+    f.sales = unify.union_all(f.sales, f.sales)
+    f.orders = unify.union_all(f.orders, f.orders)
+    return flows.fact_sales(spark, f, AS_OF).agg(F.count(F.lit(1)).alias("n_rows"),
+                                                 F.count_distinct("sale_id").alias("n_ids"))
+
+
+@query("contract_not_null_warehouse")
+def contract_not_null_warehouse(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    dp, dc = flows.dim_products(f), flows.dim_customers(f)
+    return checks.null_counts({"dim_products": dp, "dim_customers": dc,
+                               "fact_sales": flows.fact_sales(spark, f, AS_OF, dims=(dp, dc))}, C.NOT_NULL)
+
+
+@query("contract_varchar_warehouse")
+def contract_varchar_warehouse(spark, sf_dir):
+    f = _feeds(spark, sf_dir)
+    dp, dc = flows.dim_products(f), flows.dim_customers(f)
+    return checks.length_violations({"dim_products": dp, "dim_customers": dc,
+                                     "fact_sales": flows.fact_sales(spark, f, AS_OF, dims=(dp, dc))}, C.VARCHAR_LIMITS)
 
 
 @query("fact_slice_replace")
@@ -348,10 +407,11 @@ def fact_slice_replace(spark, sf_dir):
     curated = flows.curated_sales(f)
     no_refunds = refunds.settle(curated, sources.empty(spark, C.MKT_REFUNDS))
     ch = flows.channel_dim(spark, f)
-    facts.replace_slices(facts.lookup_keys(no_refunds, *dims, ch, AS_OF), path, *FULL_RANGE)
+    slices.replace(facts.lookup_keys(no_refunds, *dims, ch, AS_OF), path, "sale_date", slices.between(*FULL_RANGE))
     settled = refunds.settle(curated, flows.valid_refunds(f))
-    facts.replace_slices(facts.lookup_keys(settled, *dims, ch, AS_OF), path, *SLICE)
-    return out(spark.read.parquet(path).select("sale_id", "refund_amount", "sale_date"))
+    again = facts.lookup_keys(settled, *dims, ch, AS_OF).filter(slices.between(*SLICE)(F.col("sale_date")))
+    slices.replace(again, path, "sale_date", slices.between(*SLICE))
+    return out(slices.read(spark, path, "sale_date").select("sale_id", "refund_amount", "sale_date"))
 
 
 def _landed_run(spark, sf_dir, times: int) -> DataFrame:
@@ -378,8 +438,9 @@ def fact_rerun_idempotent(spark, sf_dir):
 @query("contract_fk_orders")
 def contract_fk_orders(spark, sf_dir):
     f = _feeds(spark, sf_dir)
-    return checks.fk_orphans(f.orders, "order_id", {"customer_id": (f.customers, "customer_id"),
-                                                     "product_id": (f.products, "product_id")})
+    customers, products = f.customers.filter("customer_id % 7 != 0"), f.products.filter("product_id % 11 != 0")
+    return checks.fk_orphans(f.orders, "order_id", {"customer_id": (customers, "customer_id"),
+                                                     "product_id": (products, "product_id")})
 
 
 @query("contract_unique_email")
@@ -412,12 +473,14 @@ def contract_varchar_length(spark, sf_dir):
 # ---------------------------------------------------------------------------
 @query("src_extract_customers")
 def src_extract_customers(spark, sf_dir):
-    return extract.full_extract(fixtures.web_customers(spark, sf_dir), extract.CUSTOMER_COLUMNS)
+    return out(extract.full_extract(fixtures.created(fixtures.web_customers(spark, sf_dir), "customer_id"),
+                                    extract.CUSTOMER_COLUMNS))
 
 
 @query("src_extract_products")
 def src_extract_products(spark, sf_dir):
-    return out(extract.full_extract(fixtures.web_products(spark, sf_dir), extract.PRODUCT_COLUMNS))
+    return out(extract.full_extract(fixtures.created(fixtures.web_products(spark, sf_dir), "product_id"),
+                                    extract.PRODUCT_COLUMNS))
 
 
 @query("src_extract_orders_day")
@@ -481,10 +544,7 @@ def src_ndjson_corrupt(spark, sf_dir):
     text = s.select(F.when(cut, F.substring(line, 1, 20)).otherwise(line).alias("value"))
     path = scratch_path(spark, "landing_sales_corrupt")
     text.write.mode("overwrite").text(path)
-    # text files get .txt names; read them as NDJSON
-    raw = (spark.read.schema(C.raw_of(C.MKT_SALES, corrupt=True)).option("mode", "PERMISSIVE")
-           .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN).json(path))
-    typed = sources.type_feed(raw, C.MKT_SALES)
+    typed = sources.read_ndjson_feed(spark, path, C.MKT_SALES, glob="*.txt")
     classified = quality.classify(typed, quality.mkt_sale_rules(), PARSE_ERRORS)
     return out(quality.reason_counts(classified, "sales"))
 

@@ -11,14 +11,11 @@ from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
-from typing import Callable
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.operators import conform, dimensions, facts, quality, refunds, unify
-from martlake.operators.broadcast import bounded_broadcast
 from martlake.sources import fixtures
 
 
@@ -32,8 +29,6 @@ class Feeds:
     # array<string> columns with parse errors of text feeds, if any
     orders_errors: str | None = None
     sales_errors: str | None = None
-    # refunds dated from a given day on, when ``refunds`` holds only recent ones
-    refunds_since: Callable[[dt.date], DataFrame] | None = None
 
 
 def feeds_from_tables(spark: SparkSession, sf_dir: str) -> Feeds:
@@ -48,13 +43,21 @@ def classified_sales(feeds: Feeds) -> DataFrame:
     return quality.classify(feeds.sales, quality.mkt_sale_rules(), feeds.sales_errors)
 
 
+def valid_orders(feeds: Feeds) -> DataFrame:
+    return quality.only_valid(feeds.orders, quality.web_order_rules(), feeds.orders_errors)
+
+
+def valid_sales(feeds: Feeds) -> DataFrame:
+    return quality.only_valid(feeds.sales, quality.mkt_sale_rules(), feeds.sales_errors)
+
+
 def valid_refunds(feeds: Feeds) -> DataFrame:
-    return quality.valid(quality.classify(feeds.refunds, quality.refund_rules()))
+    return quality.only_valid(feeds.refunds, quality.refund_rules())
 
 
 def unified_sales(feeds: Feeds, as_of: dt.datetime | None = None, refund_rule: bool = False) -> DataFrame:
-    web = conform.web_sales(quality.valid(classified_orders(feeds)), as_of, refund_rule)
-    mkt = conform.marketplace_sales(quality.valid(classified_sales(feeds)), refund_rule)
+    web = conform.web_sales(valid_orders(feeds), as_of, refund_rule)
+    mkt = conform.marketplace_sales(valid_sales(feeds), refund_rule)
     return unify.union_all(web, mkt)
 
 
@@ -68,7 +71,7 @@ def settled_sales(feeds: Feeds, as_of: dt.datetime | None = None, refund_rule: b
 
 def unified_customers(feeds: Feeds) -> DataFrame:
     web = conform.web_customers(feeds.customers)
-    mkt = conform.marketplace_customers(quality.valid(classified_sales(feeds)))
+    mkt = conform.marketplace_customers(valid_sales(feeds))
     return unify.union_all(web, mkt)
 
 
@@ -102,7 +105,7 @@ def fact_sales(spark: SparkSession, feeds: Feeds, as_of: dt.datetime | None = No
 def channel_dim(spark: SparkSession, feeds: Feeds) -> DataFrame:
     """Seeded channels plus marketplaces seen in the valid sales feed (the
     website channel is seeded); reads only the marketplace name column."""
-    mkt = quality.valid(classified_sales(feeds)).select(F.col("marketplace_name").alias("channel_name"))
+    mkt = valid_sales(feeds).select(F.col("marketplace_name").alias("channel_name"))
     return dimensions.channels(spark, mkt)
 
 
@@ -119,7 +122,7 @@ def channel_revenue(settled: DataFrame, dim_channels: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("refund_amount").alias("total_refunds"),
         F.sum(F.col("sales_amount") - F.col("refund_amount")).alias("net_revenue"))
-    named = per_channel.join(bounded_broadcast(dim_channels.select("channel_name")), "channel_name")
+    named = per_channel.join(F.broadcast(dim_channels.select("channel_name")), "channel_name")
     return named.select(
         "channel_name",
         F.col("total_orders").cast("bigint").alias("total_orders"),
@@ -138,7 +141,7 @@ def fact_channel_revenue(fact: DataFrame, dim_channels: DataFrame) -> DataFrame:
         F.sum("sales_amount").alias("gross_revenue"),
         F.sum("refund_amount").alias("total_refunds"),
         F.sum(F.col("sales_amount") - F.col("refund_amount")).alias("net_revenue"))
-    named = per_key.join(bounded_broadcast(dim_channels.select("channel_key", "channel_name")), "channel_key")
+    named = per_key.join(F.broadcast(dim_channels.select("channel_key", "channel_name")), "channel_key")
     return channel_revenue_shape(named)
 
 

@@ -9,6 +9,8 @@ surrogate keys are ROW_NUMBER() over the natural key.
 
 from __future__ import annotations
 
+from martlake.contracts import NOT_NULL, VARCHAR_LIMITS
+
 TS = "'%Y-%m-%d %H:%M:%S.%f'"
 
 
@@ -152,6 +154,7 @@ ORDERS_OUT = (f"order_id, customer_id, product_id, CAST(quantity AS BIGINT) AS q
               f"CAST(total_amount AS DOUBLE) AS total_amount, order_status, {ts('created_at')} AS created_at")
 MKT_OUT = (f"transaction_id, product_id, customer_email, customer_name, marketplace_name, CAST(quantity AS BIGINT) AS quantity, "
            f"CAST(amount AS DOUBLE) AS amount, {ts('transaction_date')} AS transaction_date")
+CREATED = ts("(TIMESTAMP '2024-01-01 00:00:00' + to_days(CAST({key} % 365 AS INT)))")
 SEC = "date_trunc('second', {c})"
 REVENUE = """SELECT s.channel_name, CAST(count(sale_id) AS BIGINT) AS total_orders,
   CAST(sum(quantity_sold) AS BIGINT) AS total_units_sold, CAST(sum(sales_amount) AS DOUBLE) AS gross_revenue,
@@ -188,15 +191,25 @@ cte("inc_c", _customer_pick("""(SELECT customer_id, first_name, last_name, email
 cte("k1p", """SELECT row_number() OVER (ORDER BY product_id, source_system) AS product_key, *
 FROM cp WHERE category <> 'PROMO'""", "cp")
 
+_SETTLEMENT = sql("""SELECT sale_id, channel_name, CAST(sales_amount AS DOUBLE) AS sales_amount,
+  CAST(refund_amount AS DOUBLE) AS refund_amount, CAST(sales_amount - refund_amount AS DOUBLE) AS net_amount
+FROM st""", "st")
+
 ORACLE: dict[str, str] = {
     "channel_revenue": sql(REVENUE.format(src="st"), "st", "ch"),
     "channel_revenue_web_refunds": sql(REVENUE.format(src="str"), "str", "ch"),
-    "refund_settlement": sql("""SELECT sale_id, channel_name, CAST(sales_amount AS DOUBLE) AS sales_amount,
-  CAST(refund_amount AS DOUBLE) AS refund_amount, CAST(sales_amount - refund_amount AS DOUBLE) AS net_amount
-FROM st""", "st"),
+    "fact_channel_revenue": sql(REVENUE.format(src="(SELECT * REPLACE (CASE WHEN channel_name <> 'Website' AND product_id % 10 = 3 "
+                                               "THEN 'Meesho' ELSE channel_name END AS channel_name) FROM str)")
+                                .replace("JOIN ch ON s.channel_name = ch.channel_name ", ""), "str"),
+    **{name: _SETTLEMENT for name in ("refund_settlement", "refund_settlement_redelivered")},
     "dq_valid_orders": sql(f"SELECT {ORDERS_OUT} FROM wo_v", "wo_v"),
     "dq_quarantine_orders": sql(f"SELECT {ORDERS_OUT}, reasons FROM wo_c WHERE reasons <> ''", "wo_c"),
     "dq_valid_sales": sql(f"SELECT {MKT_OUT} FROM ms_v", "ms_v"),
+    "dq_quarantine_refunds": sql("""SELECT refund_id, CAST(amount AS DOUBLE) AS refund_amount,
+  concat_ws(',', CASE WHEN amount IS NULL THEN 'null_refund_amount' END, CASE WHEN amount < 0 THEN 'negative_refund' END) AS reasons
+FROM (SELECT refund_id, CASE WHEN n % 7 = 0 THEN NULL WHEN n % 2 = 0 THEN -refund_amount ELSE refund_amount END AS amount
+      FROM (SELECT *, CAST(substr(refund_id, 9) AS BIGINT) AS n FROM mkt_refunds))
+WHERE amount IS NULL OR amount < 0""", "mkt_refunds"),
     "dq_quarantine_sales": sql(f"SELECT {MKT_OUT}, reasons FROM ms_c WHERE reasons <> ''", "ms_c"),
     "dq_reason_counts": sql("""SELECT feed, reason, CAST(count(*) AS BIGINT) AS n_rows FROM (
   SELECT 'orders' AS feed, unnest(string_split(reasons, ',')) AS reason FROM wo_c WHERE reasons <> ''
@@ -261,9 +274,21 @@ FROM (SELECT DISTINCT channel_name FROM u WHERE channel_name NOT IN (SELECT chan
     "fact_key_lookup": sql("SELECT " + FACT_OUT.format(t=ts("transaction_date")) + " FROM fk", "fk"),
     "fact_defaults": sql("SELECT sale_id, CAST(refund_amount AS DOUBLE) AS refund_amount, "
                          "'2026-08-19 00:00:00.000000' AS ingestion_timestamp FROM st", "st"),
-    "contract_fk_fact": sql("""SELECT sale_id, concat_ws(',', CASE WHEN product_key IS NULL THEN 'product' END,
-  CASE WHEN customer_key IS NULL THEN 'customer' END, CASE WHEN channel_key IS NULL THEN 'channel' END) AS missing
-FROM fk WHERE product_key IS NULL OR customer_key IS NULL OR channel_key IS NULL""", "fk"),
+    "contract_fk_fact": sql("""SELECT sale_id, concat_ws(',', CASE WHEN p THEN 'product' END, CASE WHEN c THEN 'customer' END,
+  CASE WHEN channel_key IS NULL THEN 'channel' END) AS missing
+FROM (SELECT fk.*, coalesce(dp.product_id % 7 = 0, true) AS p, coalesce(dcu.customer_id % 9 = 0, true) AS c
+      FROM fk LEFT JOIN dp USING (product_key) LEFT JOIN dcu USING (customer_key))
+WHERE p OR c OR channel_key IS NULL""", "fk", "dp", "dcu"),
+    "contract_pk_fact": sql("SELECT count(*) AS n_rows, count(DISTINCT sale_id) AS n_ids FROM fk", "fk"),
+    "contract_not_null_warehouse": sql("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, count(*) FILTER (WHERE {c} IS NULL) AS n_null FROM {src}"
+        for t, src in (("dim_products", "dp"), ("dim_customers", "dcu"), ("fact_sales", "fk")) for c in NOT_NULL[t]),
+        "dp", "dcu", "fk"),
+    "contract_varchar_warehouse": sql("\nUNION ALL ".join(
+        f"SELECT '{t}' AS table_name, '{c}' AS column_name, CAST({n} AS BIGINT) AS max_allowed, "
+        f"CAST(max(length({c})) AS BIGINT) AS max_length, count(*) FILTER (WHERE length({c}) > {n}) AS n_over FROM {src}"
+        for t, src in (("dim_products", "dp"), ("dim_customers", "dcu"), ("fact_sales", "fk"))
+        for c, n in VARCHAR_LIMITS[t].items()), "dp", "dcu", "fk"),
     "fact_slice_replace": sql(f"""SELECT sale_id, CAST(CASE WHEN transaction_date >= TIMESTAMP '2024-01-08'
   AND transaction_date < TIMESTAMP '2024-01-15' THEN refund_amount ELSE 0 END AS DOUBLE) AS refund_amount,
   {day('transaction_date')} AS sale_date FROM st""", "st"),
@@ -271,10 +296,10 @@ FROM fk WHERE product_key IS NULL OR customer_key IS NULL OR channel_key IS NULL
     "fact_rerun_idempotent": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk",
                                  "fk"),
     "contract_fk_orders": sql("""SELECT order_id, 'customer_id' AS fk_column FROM web_orders
-WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM web_customers)
+WHERE customer_id IS NOT NULL AND customer_id NOT IN (SELECT customer_id FROM web_customers WHERE customer_id % 7 <> 0)
 UNION ALL
 SELECT order_id, 'product_id' FROM web_orders
-WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM web_products)""",
+WHERE product_id IS NOT NULL AND product_id NOT IN (SELECT product_id FROM web_products WHERE product_id % 11 <> 0)""",
                               "web_orders", "web_customers", "web_products"),
     "contract_unique_email": sql("""SELECT email, CAST(count(DISTINCT (customer_id, source_system)) AS BIGINT) AS n_rows
 FROM uc GROUP BY email HAVING count(DISTINCT (customer_id, source_system)) > 1""", "uc"),
@@ -307,10 +332,12 @@ UNION ALL SELECT 'customers', 'phone', 20, max(length(phone)), count(*) FILTER (
 UNION ALL SELECT 'products', 'product_name', 100, max(length(product_name)), count(*) FILTER (WHERE length(product_name) > 100) FROM web_products
 UNION ALL SELECT 'products', 'category', 50, max(length(category)), count(*) FILTER (WHERE length(category) > 50) FROM web_products""",
                                    "web_orders", "web_customers", "web_products"),
-    "src_extract_customers": sql("SELECT customer_id, first_name, last_name, email, phone FROM web_customers",
+    "src_extract_customers": sql("SELECT customer_id, first_name, last_name, email, phone, "
+                                 + CREATED.format(key="customer_id") + " AS created_at FROM web_customers",
                                  "web_customers"),
-    "src_extract_products": sql("SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price "
-                                "FROM web_products", "web_products"),
+    "src_extract_products": sql("SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, "
+                                + CREATED.format(key="product_id") + " AS created_at FROM web_products",
+                                "web_products"),
     "src_extract_orders_day": sql(f"""SELECT {ORDERS_OUT} FROM web_orders
 WHERE created_at >= TIMESTAMP '1996-01-01' AND created_at < TIMESTAMP '1997-01-01'""", "web_orders"),
     "src_csv_orders": sql(f"SELECT {ORDERS_OUT.replace(ts('created_at'), ts(SEC.format(c='created_at')))} FROM web_orders",

@@ -1,21 +1,23 @@
-"""One load run over a date range: landing -> curated -> warehouse.
+"""One load run over a date range: landing -> staged -> curated -> warehouse.
 
 ``land`` writes the operational feeds into the landing zone (CSV for the
 database extracts, NDJSON for marketplace feeds).  ``run_range`` then, for
-transactions in [start, end):
-
-1. reads the landing feeds by contract, classifies them and writes them
-   typed, partitioned by validity (the invalid part is the quarantine);
-2. conforms, unions and de-duplicates the sales (read back from the staged
-   Parquet, so each text feed is parsed once) and writes curated sales
-   partitioned by sale_date;
+the landing days in [start, end):
+
+1. reads the landing feeds by contract, classifies them and replaces their
+   slices of the staged tables, by landing day (rows that landed without a
+   day are one slice); the invalid rows are the quarantine;
+2. rebuilds every event date that is in the range or that the landed rows
+   touch (late arrivals, other deliveries of the same sale, refunds) from
+   *all* staged rows of that date, whichever run landed them; of the
+   deliveries of one sale only the newest counts, whatever its date;
 3. upserts the product and customer dimensions (a new version each);
-4. settles refunds, looks up surrogate keys and replaces the fact's date
-   slices in the range (emptied dates included), plus the older slices whose
-   sales received a refund that landed in the range.
+4. settles refunds (each refund_id once, whatever its date) and replaces the
+   fact's slices of those dates.
 
-A full rebuild is just a wide range.  Running the same range twice yields
-the same tables (asserted in the tests).
+So the tables only depend on what has landed, not on which ranges were run,
+in which order or how often (asserted in the tests).  A full rebuild is just
+a wide range.
 """
 
 from __future__ import annotations
@@ -23,20 +25,21 @@ from __future__ import annotations
 import datetime as dt
 from dataclasses import dataclass
 
-from pyspark import StorageLevel
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake import contracts as C
-from martlake.operators import dimensions, facts, quality, unify
+from martlake.functions import scalars as S
+from martlake.operators import conform, dimensions, facts, quality, unify
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
-from martlake.functions import scalars as S
-from martlake.observe import observed
 from martlake.sinks import files as sinks
+from martlake.sinks import slices
 from martlake.sources import files as sources
-from martlake.sources.files import PARSE_ERRORS
+from martlake.sources.files import LANDING_DAY, PARSE_ERRORS
+
+EVENT_DATE = "event_date"
 
 
 @dataclass(frozen=True)
@@ -60,163 +63,150 @@ def land(feeds: flows.Feeds, layout: Layout) -> None:
                                layout.landing_refunds, ["year", "month", "day"])
 
 
-def landed_feeds(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date) -> flows.Feeds:
-    """The landing feeds of [start, end), read from their day folders only.
-    A row whose event lies outside the range (it arrived late) is kept; the
-    run merges it into its event date's slices.
-
-    An order whose time is missing belongs to the day folder it was landed
-    in (the extract is per day), so it takes that day and is loaded once.
-    A row in the folder of undated rows is quarantined (``undated`` for
-    orders, ``bad_timestamp`` for sales)."""
-    raw_orders = sources.read_dated_feed(spark, layout.landing_orders, C.ORDERS, "csv", start, end)
-    day = sources.LANDING_DAY
-    orders = (raw_orders
-              .withColumn(PARSE_ERRORS, F.concat(F.col(PARSE_ERRORS), F.filter(F.array(
-                  F.when(F.col("created_at").isNull() & F.col(day).isNull()
-                         & ~F.array_contains(F.col(PARSE_ERRORS), "bad_created_at"), F.lit("undated"))),
-                  lambda x: x.isNotNull())))
-              .withColumn("created_at", F.coalesce("created_at", F.col(day).cast("timestamp_ntz")))
-              .drop(day))
-    sales = sources.read_dated_ndjson_feed(spark, layout.landing_sales, C.MKT_SALES, start, end)
-    # refunds from the range start on: a refund never precedes its sale
-
-    def refunds_since(first: dt.date) -> DataFrame:
-        return sources.read_dated_ndjson_feed(spark, layout.landing_refunds, C.MKT_REFUNDS, first).drop(PARSE_ERRORS)
-
-    refunds = refunds_since(start)
-    products = sources.read_csv_feed(spark, layout.landing_products, C.PRODUCTS).drop(PARSE_ERRORS)
-    customers = sources.read_csv_feed(spark, layout.landing_customers, C.CUSTOMERS).drop(PARSE_ERRORS)
-    return flows.Feeds(orders=orders, sales=sales, refunds=refunds, products=products,
-                       customers=customers, orders_errors=PARSE_ERRORS, sales_errors=PARSE_ERRORS,
-                       refunds_since=refunds_since)
+# feed -> (contract, format, rules, event time)
+DATED = {
+    "orders": (C.ORDERS, "csv", quality.web_order_rules, "created_at"),
+    "sales": (C.MKT_SALES, "json", quality.mkt_sale_rules, "transaction_date"),
+    "refunds": (C.MKT_REFUNDS, "json", quality.refund_rules, "refund_date"),
+}
+WHOLE = {"products": (C.PRODUCTS, quality.product_rules), "customers": (C.CUSTOMERS, quality.customer_rules)}
 
 
-def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
-              as_of: dt.datetime, web_refund_rule: bool = True,
-              feeds: flows.Feeds | None = None) -> dict[str, dict]:
-    """Load [start, end).  Returns the split counts observed while staging.
-
-    ``as_of`` is the ingestion time.  For feeds passed in directly it is also
-    the time of an order that has none (clamped into the range, so every row
-    of the run belongs to the slices the run replaces); landed orders take
-    their landing day instead.
-    """
-    feeds = feeds or landed_feeds(spark, layout, start, end)
-    run = f"{start.isoformat()}_{end.isoformat()}"
-    fallback = as_of if start <= as_of.date() < end else dt.datetime.combine(start, dt.time())
-
-    # 1. one parse + classification pass per transactional feed, written
-    #    typed; the invalid partitions are the quarantine
-    classified = {"orders": flows.classified_orders(feeds), "sales": flows.classified_sales(feeds)}
-    obs = {feed: sinks.write_staged(c, getattr(layout, f"staged_{feed}"), feed, run)
-           for feed, c in classified.items()}
-    staged = flows.Feeds(
-        orders=_staged_valid(spark, layout, "orders", run, classified["orders"].schema),
-        sales=_staged_valid(spark, layout, "sales", run, classified["sales"].schema),
-        refunds=feeds.refunds, products=feeds.products, customers=feeds.customers)
-
-    # 2. curated sales: the range's date slices are replaced (emptied dates
-    #    too); later steps start from the written table
-    # used by four jobs; spill-safe, and recomputable from the staged
-    # Parquet if an executor is lost
-    curated = flows.curated_sales(staged, fallback, web_refund_rule) \
-        .withColumn("sale_date", S.sale_date("transaction_date")).persist(StorageLevel.MEMORY_AND_DISK)
-    facts.replace_slices(curated, layout.curated_sales, start, end)
-    arrived = merge_late_arrivals(spark, curated, layout.curated_sales, start, end)
-    curated_all = sources.read_parquet_or_none(spark, layout.curated_sales)
-    if curated_all is None:  # nothing curated yet
-        curated.unpersist()
-        return _metrics(obs)
+def staged_schema(feed: str) -> T.StructType:
+    return T.StructType(DATED[feed][0].fields + [
+        T.StructField(LANDING_DAY, T.DateType()), T.StructField(EVENT_DATE, T.DateType()),
+        T.StructField(quality.REASONS, T.ArrayType(T.StringType())), T.StructField("is_valid", T.BooleanType())])
 
-    # 3. dimensions: new version from the current one
-    dp = flows.dim_products(staged, dimensions.read_latest(spark, layout.dim_products))
-    dimensions.write_version(dp, layout.dim_products)
-    dc = flows.dim_customers(staged, dimensions.read_latest(spark, layout.dim_customers))
-    dimensions.write_version(dc, layout.dim_customers)
-    dp = dimensions.read_latest(spark, layout.dim_products)
-    dc = dimensions.read_latest(spark, layout.dim_customers)
-    in_range = (F.col("sale_date") >= F.lit(start)) & (F.col("sale_date") < F.lit(end))
-    # this run's marketplaces, from the small staged table (the website is seeded)
-    ch = dimensions.upsert_channels(
-        spark, layout.dim_channels, staged.sales.select(F.col("marketplace_name").alias("channel_name")))
-
-    # 4. fact slices of the range, then older slices touched by refunds
-    #    that landed in this range (settled with all their refunds)
-    refunds = flows.valid_refunds(feeds)
-
-    def fact_of(sales: DataFrame, refunds: DataFrame) -> DataFrame:
-        settled = refund_ops.settle(sales.drop("sale_date"), refunds)
-        return facts.lookup_keys(settled, dp, dc, ch, as_of)
-
-    # the range's slices straight from this run's (persisted) curated rows
-    facts.replace_slices(fact_of(curated.filter(in_range), refunds), layout.fact_sales, start, end)
-    curated.unpersist()
-    late = sorted(set(late_refund_dates(curated_all, refunds, start, end)) | set(arrived))
-    if late:
-        older = refunds
-        if feeds.refunds_since is not None:
-            older = quality.valid(quality.classify(feeds.refunds_since(min(late)), quality.refund_rules()))
-        facts.replace_dates(fact_of(curated_all.filter(F.col("sale_date").isin(late)), older),
-                            layout.fact_sales, late)
-    return _metrics(obs)
-
-
-def merge_late_arrivals(spark: SparkSession, curated: DataFrame, path: str,
-                        start: dt.date, end: dt.date) -> list[dt.date]:
-    """Sales of this run whose event date lies outside [start, end) join the
-    curated slices of their dates: existing rows and late rows are
-    de-duplicated together (the same total order) and those slices replaced.
-    Rerunning gives the same slices.  Returns the merged dates (at most one
-    per calendar day)."""
-    outside = curated.filter((F.col("sale_date") < F.lit(start)) | (F.col("sale_date") >= F.lit(end)))
-    dates = sorted(r[0] for r in outside.select("sale_date").distinct().toLocalIterator())
-    if not dates:
-        return []
-    late = outside.filter(F.col("sale_date").isin(dates))
-    existing = sources.read_parquet_or_none(spark, path)
-    if existing is not None:
-        old = existing.filter(F.col("sale_date").isin(dates)).select(*late.columns)
-        late = unify.union_all(old, late)
-    merged = unify.dedup_sales(late.drop("sale_date")).withColumn("sale_date", S.sale_date("transaction_date"))
-    facts.replace_dates(merged, path, dates)
-    return dates
-
-
-def _metrics(obs: dict) -> dict[str, dict]:
-    zero = {"n_input": 0, "n_valid": 0, "n_quarantined": 0}
-    return {feed: observed(o, zero) for feed, o in obs.items()}
-
-
-def _staged_valid(spark: SparkSession, layout: Layout, feed: str, run: str, schema: T.StructType) -> DataFrame:
-    """The valid rows this run staged, read with the known schema (so an
-    empty first run reads as an empty frame instead of failing inference)."""
-    full = T.StructType(schema.fields + [T.StructField("run", T.StringType()),
-                                         T.StructField("is_valid", T.BooleanType())])
+
+def landed(spark: SparkSession, layout: Layout, feed: str, start: dt.date, end: dt.date) -> DataFrame:
+    """The classified rows of a dated landing feed of [start, end), and those
+    that landed without a day.
+
+    An order whose time is missing or unreadable belongs to the day folder it
+    landed in (the extract is per day), so it takes that day; without a day
+    it is quarantined as ``undated`` (sales as ``bad_timestamp``)."""
+    contract, fmt, rules, event = DATED[feed]
+    raw = sources.read_dated_feed(spark, getattr(layout, f"landing_{feed}"), contract, fmt, start, end)
+    if feed == "orders":
+        undated = F.col(event).isNull() & F.col(LANDING_DAY).isNull()
+        errors = F.array_remove(F.col(PARSE_ERRORS), f"bad_{event}")
+        raw = (raw.withColumn(PARSE_ERRORS, F.when(undated, F.array_append(errors, F.lit("undated"))).otherwise(errors))
+               .withColumn(event, F.coalesce(event, F.col(LANDING_DAY).cast("timestamp_ntz"))))
+    classified = quality.classify(raw, rules(), PARSE_ERRORS)
+    return (classified.withColumn(EVENT_DATE, F.to_date(event))
+            .withColumn("is_valid", F.size(quality.REASONS) == 0).select(*staged_schema(feed).fieldNames()))
+
+
+def staged(spark: SparkSession, layout: Layout, feed: str, days=None) -> DataFrame:
+    """Staged rows, of all landing days or of those ``days`` chooses."""
+    return slices.read(spark, getattr(layout, f"staged_{feed}"), LANDING_DAY, staged_schema(feed), days)
+
+
+def staged_valid(spark: SparkSession, layout: Layout, feed: str, days=None) -> DataFrame:
+    return staged(spark, layout, feed, days).filter("is_valid")
+
+
+def all_sales(spark: SparkSession, layout: Layout, web_refund_rule: bool, days=None) -> DataFrame:
+    """Every valid delivery of every sale, conformed, with its landing-independent sale_date."""
+    web = conform.web_sales(staged_valid(spark, layout, "orders", days), None, web_refund_rule)
+    mkt = conform.marketplace_sales(staged_valid(spark, layout, "sales", days), web_refund_rule)
+    return unify.union_all(web, mkt).withColumn("sale_date", S.sale_date("transaction_date"))
+
+
+def whole_extract(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
+    """A full extract, classified and staged (the rows with reasons are its
+    quarantine); its valid rows."""
+    contract, rules = WHOLE[feed]
+    raw = sources.read_csv_feed(spark, getattr(layout, f"landing_{feed}"), contract)
     path = getattr(layout, f"staged_{feed}")
-    rows = (spark.read.schema(full).parquet(path) if sources.path_exists(spark, path)
-            else sources.empty(spark, full))
-    return rows.filter((F.col("run") == run) & F.col("is_valid")).drop("reasons", "run", "is_valid")
+    dimensions.write_version(quality.classify(raw, rules(), PARSE_ERRORS), path)
+    return quality.valid(dimensions.read_latest(spark, path))
 
 
-def late_refund_dates(curated_all: DataFrame, refunds: DataFrame, start: dt.date, end: dt.date) -> list[dt.date]:
-    """Sale dates before the range whose sales got a refund dated inside it.
+def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
+              as_of: dt.datetime, web_refund_rule: bool = True) -> dict[str, dict]:
+    """Load the landing days [start, end).  ``as_of`` is the ingestion time.
+    Returns the range's split counts per feed."""
+    in_range = slices.between(start, end)
 
-    Only (sale_id, sale_date) of the curated table are read; the result has
-    at most one row per calendar day before the range.
-    """
-    recent = refunds.filter((F.col("refund_date") >= S.ntz(start)) & (F.col("refund_date") < S.ntz(end)))
-    hit = curated_all.select("sale_id", "sale_date").filter(F.col("sale_date") < F.lit(start)) \
-        .join(recent.select(F.col("original_transaction_id").alias("sale_id")).distinct(), "sale_id", "left_semi")
-    return sorted(r[0] for r in hit.select("sale_date").distinct().toLocalIterator())
+    def restaged(day: Column) -> Column:  # the range's landing days and the slice without a day
+        return in_range(day) | day.isNull()
+
+    # 1. each text feed is parsed once, into its slices of the staged table
+    for feed in DATED:
+        slices.replace(landed(spark, layout, feed, start, end), getattr(layout, f"staged_{feed}"), LANDING_DAY, restaged)
+
+    # 2. curated sales: the dates this run touches, from everything staged
+    mine = all_sales(spark, layout, web_refund_rule, restaged)
+    everything = all_sales(spark, layout, web_refund_rule)
+    late = touched_dates(everything, mine, staged_valid(spark, layout, "refunds", restaged), start, end)
 
+    def touched(day: Column) -> Column:
+        return in_range(day) | day.isin(late) if late else in_range(day)
 
-def read_fact(spark: SparkSession, layout: Layout) -> DataFrame:
-    return spark.read.parquet(layout.fact_sales)
+    curated = newest_deliveries(everything, touched)
+    slices.replace(curated, layout.curated_sales, "sale_date", touched)
+    curated = slices.read(spark, layout.curated_sales, "sale_date", curated.schema, touched)
+
+    # 3. dimensions: new version from the current one
+    feeds = flows.Feeds(orders=None, refunds=None, products=whole_extract(spark, layout, "products"),
+                        customers=whole_extract(spark, layout, "customers"),
+                        sales=staged_valid(spark, layout, "sales", restaged).select(*C.MKT_SALES.fieldNames()))
+    dims = {}
+    for name, build in (("products", flows.dim_products), ("customers", flows.dim_customers)):
+        path = getattr(layout, f"dim_{name}")
+        dimensions.write_version(build(feeds, dimensions.read_latest(spark, path)), path)
+        dims[name] = dimensions.read_latest(spark, path)
+    channels = dimensions.upsert_channels(
+        spark, layout.dim_channels, feeds.sales.select(F.col("marketplace_name").alias("channel_name")))
+
+    # 4. fact slices of the same dates, settled with all refunds there are
+    refunds = staged_valid(spark, layout, "refunds").select(*C.MKT_REFUNDS.fieldNames())
+    settled = refund_ops.settle(curated.drop("sale_date"), refunds)
+    fact = facts.lookup_keys(settled, dims["products"], dims["customers"], channels, as_of)
+    slices.replace(fact, layout.fact_sales, "sale_date", touched)
+    return {feed: split_counts(spark, layout, feed, in_range) for feed in DATED}
+
+
+def touched_dates(everything: DataFrame, mine: DataFrame, refunds: DataFrame, start: dt.date,
+                  end: dt.date) -> list[dt.date]:
+    """Event dates outside [start, end) that the run's rows touch: their own
+    dates, the dates of other deliveries of their sales, and the dates of
+    sales that their refunds name.  Of the staged history only sale_id and
+    sale_date are read; the result has at most one date per calendar day."""
+    ids = unify.union_all(mine.select("sale_id"), refunds.select(F.col("original_transaction_id").alias("sale_id")))
+    outside = everything.select("sale_id", "sale_date").filter(~slices.between(start, end)(F.col("sale_date")))
+    dates = outside.join(ids.distinct(), "sale_id", "left_semi").select("sale_date").distinct()
+    return sorted(r[0] for r in dates.collect())
+
+
+def newest_deliveries(everything: DataFrame, touched) -> DataFrame:
+    """One row per sale of the touched dates, without the sales of which a
+    newer delivery stands on another date (so that one decides by its time;
+    of the other dates only sale_id and time are read)."""
+    own = unify.dedup_sales(everything.filter(touched(F.col("sale_date"))).drop("sale_date")).withColumn(
+        "sale_date", S.sale_date("transaction_date"))
+    elsewhere = (everything.filter(~touched(F.col("sale_date"))).groupBy("sale_id")
+                 .agg(F.max("transaction_date").alias("_other")))
+    return (own.join(elsewhere, "sale_id", "left")
+            .filter(F.col("_other").isNull() | (F.col("_other") < F.col("transaction_date"))).select(*own.columns))
+
+
+def split_counts(spark: SparkSession, layout: Layout, feed: str, days) -> dict:
+    ok = F.count_if("is_valid")
+    return staged(spark, layout, feed, days).agg(
+        F.count(F.lit(1)).alias("n_input"), ok.alias("n_valid"),
+        (F.count(F.lit(1)) - ok).alias("n_quarantined")).first().asDict()
+
+
+def read_fact(spark: SparkSession, layout: Layout, dates=None) -> DataFrame:
+    return slices.read(spark, layout.fact_sales, "sale_date", where=dates)
 
 
 def read_quarantine(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
-    return spark.read.parquet(getattr(layout, f"staged_{feed}")).filter(~F.col("is_valid"))
+    if feed in WHOLE:
+        return quality.quarantined(dimensions.read_latest(spark, getattr(layout, f"staged_{feed}")))
+    return staged(spark, layout, feed).filter(~F.col("is_valid"))
 
 
 def main(argv: list[str] | None = None) -> dict:

@@ -2,9 +2,9 @@
 
 Tables written by jobs (landing zones, curated data, dimension versions,
 checkpoints) live below the folder the cluster names in
-``spark.checkpoint.dir``.  That folder is shared storage on a cluster; a
-local temporary folder is only used when the setting is absent (tests on a
-laptop).
+``spark.checkpoint.dir``.  That folder is shared storage on a cluster; where
+the setting is absent, a local session (tests on a laptop) takes a temporary
+folder and any other raises.
 """
 
 from __future__ import annotations
@@ -27,18 +27,6 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.sources.partitionOverwriteMode", "dynamic")
     )
-    if master.startswith("local"):
-        # Small local inputs: let AQE keep several tasks instead of merging
-        # everything below 1 MB into one (which serialises partitioned
-        # writes).  On a cluster keep the defaults, or prefer file size:
-        # parallelismFirst=false with a 128m advisory partition size.
-        builder = builder.config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "64k")
-        # Local inputs are single files of one row group, so a scan is one
-        # task; broadcasting a mid-sized table into it keeps the join, the
-        # quality split and the partial dedup in that one task.  A shuffle
-        # join (what a cluster does for these tables anyway) spreads the
-        # work over all cores.  Explicit bounded broadcasts are unaffected.
-        builder = builder.config("spark.sql.autoBroadcastJoinThreshold", "1m")
     for key, value in (extra or {}).items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
@@ -49,13 +37,15 @@ def build_session(master: str = "local[*]", shuffle_partitions: int = 8,
 def shared_root(spark: SparkSession) -> str:
     """The shared folder for written tables and checkpoints.
 
-    Reads ``spark.checkpoint.dir`` from the session.  Only when it is unset
-    (a local test session) a fresh local folder is made and registered.
+    Reads ``spark.checkpoint.dir`` from the session.  Only in a local
+    session without it a fresh local folder is made and registered.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
         root = spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         root = tempfile.mkdtemp(prefix="martlake-ckpt-")
         spark.sparkContext.setCheckpointDir(root)
     elif spark.sparkContext.getCheckpointDir() is None:

@@ -1,4 +1,4 @@
-"""Sinks: landing CSV/NDJSON, quarantine, curated Parquet.
+"""Sinks: landing CSV/NDJSON, curated Parquet (replaceable slices: slices.py).
 
 Every write is an overwrite of exactly the partitions it produces (dynamic
 partition overwrite), so rerunning a job for the same dates gives the same
@@ -8,11 +8,10 @@ files instead of adding duplicates.
 from __future__ import annotations
 
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
-from martlake.operators import quality
 
 _DYNAMIC = {"partitionOverwriteMode": "dynamic"}
 
@@ -54,23 +53,6 @@ def with_dated_keys(df: DataFrame, ts_col: str) -> DataFrame:
               .withColumn("day", F.date_format(ts_col, "dd")))
 
 
-def write_staged(classified: DataFrame, path: str, feed: str, run: str) -> Observation:
-    """Write a classified feed once, typed, partitioned by run and validity
-    (one table per feed: the feeds' schemas differ).  The ``is_valid=false``
-    partitions are the quarantine (with their reason codes); later steps read
-    ``is_valid=true`` as Parquet, so a text feed is parsed only once per run.
-    A rerun of the same run replaces its partitions.  Split counts are
-    observed during the write (no extra job)."""
-    obs = Observation(f"split_{feed}")
-    ok = F.size(quality.REASONS) == 0
-    staged = (classified.withColumn("run", F.lit(run))
-              .withColumn("is_valid", ok)
-              .observe(obs, F.count(F.lit(1)).alias("n_input"), F.count_if(ok).alias("n_valid"),
-                       F.count_if(~ok).alias("n_quarantined")))
-    _writer(staged, ["run", "is_valid"]).parquet(path)
-    return obs
-
-
 def write_partitioned_parquet(df: DataFrame, path: str, partition_by: list[str]) -> None:
     _writer(df, partition_by).parquet(path)
 

@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 
 from martlake.functions import scalars as S
 
-CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone"]
-PRODUCT_COLUMNS = ["product_id", "product_name", "category", "price"]
+CUSTOMER_COLUMNS = ["customer_id", "first_name", "last_name", "email", "phone", "created_at"]
+PRODUCT_COLUMNS = ["product_id", "product_name", "category", "price", "created_at"]
 ORDER_COLUMNS = ["order_id", "customer_id", "product_id", "quantity", "total_amount",
                  "order_status", "created_at"]
 

@@ -71,16 +71,23 @@ def _empty_typed(spark: SparkSession, typed: T.StructType) -> DataFrame:
 
 def read_csv_feed(spark: SparkSession, path: str, typed: T.StructType) -> DataFrame:
     """A CSV landing folder (header row, 'yyyy-MM-dd HH:mm:ss' times, empty
-    field = NULL) typed by its contract; empty fallback if absent."""
+    field = NULL) typed by its contract; empty fallback if absent.  A
+    malformed line becomes reason ``corrupt_record``."""
     if not path_exists(spark, path):
         return _empty_typed(spark, typed)
-    raw = (spark.read.schema(C.raw_of(typed)).option("header", True)
-           .option("mode", "PERMISSIVE").option("pathGlobFilter", "*.csv").csv(path))
-    return type_feed(raw, typed)
+    return type_feed(_csv(spark, typed).csv(path), typed)
+
+
+def _csv(spark: SparkSession, typed: T.StructType):
+    """A line with more or fewer fields than the contract keeps its text in
+    ``_corrupt_record`` (all fields are read: a pruned line can't be told)."""
+    return (spark.read.schema(C.raw_of(typed, corrupt=True)).option("header", True)
+            .option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
+            .option("columnPruning", False).option("pathGlobFilter", "*.csv"))
 
 
 def read_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
-                     recursive: bool = True) -> DataFrame:
+                     recursive: bool = True, glob: str = "*.json") -> DataFrame:
     """An NDJSON landing folder, all depths below it; a malformed line keeps
     its text in ``_corrupt_record`` and becomes reason ``corrupt_record``."""
     if not path_exists(spark, path):
@@ -89,13 +96,11 @@ def read_ndjson_feed(spark: SparkSession, path: str, typed: T.StructType,
            .option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
            .option("recursiveFileLookup", recursive)
-           .option("pathGlobFilter", "*.json").json(path))
+           .option("pathGlobFilter", glob).json(path))
     return type_feed(raw, typed)
 
 
 LANDING_DAY = "_landing_day"
-HIVE_DEFAULT = "__HIVE_DEFAULT_PARTITION__"  # folder of rows whose key was NULL
-ENUMERATE_MAX_DAYS = 62
 
 
 def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: str = "json",
@@ -106,29 +111,17 @@ def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: st
     quarantines.  ``_landing_day`` carries each row's folder date (NULL for
     the undated folder).
 
-    A short closed range (up to ``ENUMERATE_MAX_DAYS``) passes its existing
-    day folders explicitly, so only those are listed; otherwise the tree is
-    listed and a predicate on the partition columns skips the other days'
-    files (``PartitionFilters``).  Either way a run reads its own days, not
-    the landing history."""
+    The day is a predicate on the partition columns, for every range and
+    whether or not the folder names are zero-padded: the other days' files
+    are skipped (``PartitionFilters``)."""
     empty_out = _empty_typed(spark, typed).withColumn(LANDING_DAY, F.lit(None).cast("date"))
     if not path_exists(spark, path):
         return empty_out
-    paths = [path]
-    if start is not None and end is not None and (end - start).days <= ENUMERATE_MAX_DAYS:
-        days = [start + dt.timedelta(days=i) for i in range((end - start).days)]
-        paths = [p for p in [f"{path}/year={d:%Y}/month={d:%m}/day={d:%d}" for d in days]
-                 + [f"{path}/year={HIVE_DEFAULT}"] if path_exists(spark, p)]
-        if not paths:
-            return empty_out
-    reader = spark.read.option("mode", "PERMISSIVE").option("basePath", path)
     if fmt == "json":
-        reader = (reader.schema(C.raw_of(typed, corrupt=True))
-                  .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
-                  .option("pathGlobFilter", "*.json"))
-        raw = reader.json(paths)
+        raw = (spark.read.schema(C.raw_of(typed, corrupt=True)).option("mode", "PERMISSIVE")
+               .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN).option("pathGlobFilter", "*.json").json(path))
     else:
-        raw = reader.schema(C.raw_of(typed)).option("header", True).option("pathGlobFilter", "*.csv").csv(paths)
+        raw = _csv(spark, typed).csv(path)
     day = F.make_date("year", "month", "day")
     keep = F.lit(True)
     if start is not None:

@@ -89,6 +89,11 @@ def web_customers(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.when(ck % 10 == 0, F.lit(None).cast("string")).otherwise(F.concat(F.lit("98"), ck)).alias("phone"))
 
 
+def created(table: DataFrame, key: str) -> DataFrame:
+    """The operational table's ``created_at``: a day of 2024 by the key."""
+    return table.withColumn("created_at", F.expr(f"TIMESTAMP_NTZ'2024-01-01 00:00:00' + make_dt_interval({key} % 365)"))
+
+
 FEEDS = {
     "orders": web_orders,
     "sales": mkt_sales,

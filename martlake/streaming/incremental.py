@@ -3,15 +3,17 @@
 A Structured Streaming file source with ``Trigger.AvailableNow`` reads only
 the files landed since the previous run (the checkpoint remembers which
 were seen), processes them in bounded micro-batches and stops.  Each
-micro-batch (bounded by ``maxFilesPerTrigger``) is classified once
-(persisted for its two writes), conformed and written by ``foreachBatch``
-into folders named by its epoch id with overwrite: valid rows to the
+micro-batch (bounded by ``maxFilesPerTrigger``) is classified and staged
+once, conformed and written by ``foreachBatch`` into folders named by the
+stream's id and its epoch with overwrite: valid rows to the
 curated table, rows with reasons to the quarantine.  A batch retried after
 a failure replaces its own output: exactly-once at the table level.
 """
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -34,15 +36,17 @@ def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curate
               .json(f"{landing.rstrip('/')}/*"))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
-        typed = type_feed(batch, C.MKT_SALES)
-        classified = quality.classify(typed, quality.mkt_sale_rules(), PARSE_ERRORS).persist()
-        try:
-            sales = conform.marketplace_sales(quality.valid(classified))
-            (sales.withColumn("sale_date", F.to_date("transaction_date"))
-             .write.mode("overwrite").parquet(f"{curated.rstrip('/')}/epoch={epoch_id}"))
-            quality.quarantined(classified).write.mode("overwrite").parquet(f"{quarantine}/epoch={epoch_id}")
-        finally:
-            classified.unpersist()
+        # the stream's own id names its folder: another checkpoint starts at epoch 0 again
+        stream_id = json.loads(spark.read.text(f"{checkpoint}/metadata").first()[0])["id"]
+        here = f"stream={stream_id}/epoch={epoch_id}"
+        classified = quality.classify(type_feed(batch, C.MKT_SALES), quality.mkt_sale_rules(), PARSE_ERRORS)
+        staged = f"{quarantine}/staged/{here}"
+        classified.write.mode("overwrite").parquet(staged)
+        rows = spark.read.schema(classified.schema).parquet(staged)
+        sales = conform.marketplace_sales(quality.valid(rows))
+        (sales.withColumn("sale_date", F.to_date("transaction_date"))
+         .write.mode("overwrite").parquet(f"{curated.rstrip('/')}/{here}"))
+        quality.quarantined(rows).write.mode("overwrite").parquet(f"{quarantine}/{here}")
 
     q = (stream.writeStream.foreachBatch(per_batch)
          .option("checkpointLocation", checkpoint)
