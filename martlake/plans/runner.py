@@ -132,6 +132,11 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     def restaged(day: Column) -> Column:  # the range's landing days and the slice without a day
         return in_range(day) | day.isNull()
 
+    # what those landing days held before: rows that are gone or moved touch their dates too (slices.replace
+    # deletes no file, so these frames read the old folders)
+    gone = all_sales(spark, layout, web_refund_rule, restaged)
+    gone_refunds = staged_valid(spark, layout, "refunds", restaged)
+
     # 1. each text feed is parsed once, into its slices of the staged table
     for feed in DATED:
         slices.replace(landed(spark, layout, feed, start, end), getattr(layout, f"staged_{feed}"), LANDING_DAY, restaged)
@@ -139,7 +144,8 @@ def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
     # 2. curated sales: the dates this run touches, from everything staged
     mine = all_sales(spark, layout, web_refund_rule, restaged)
     everything = all_sales(spark, layout, web_refund_rule)
-    late = touched_dates(everything, mine, staged_valid(spark, layout, "refunds", restaged), start, end)
+    late = touched_dates(everything, unify.union_all(mine, gone), unify.union_all(
+        staged_valid(spark, layout, "refunds", restaged), gone_refunds), start, end)
 
     def touched(day: Column) -> Column:
         return in_range(day) | day.isin(late) if late else in_range(day)
@@ -176,7 +182,9 @@ def touched_dates(everything: DataFrame, mine: DataFrame, refunds: DataFrame, st
     sale_date are read; the result has at most one date per calendar day."""
     ids = unify.union_all(mine.select("sale_id"), refunds.select(F.col("original_transaction_id").alias("sale_id")))
     outside = everything.select("sale_id", "sale_date").filter(~slices.between(start, end)(F.col("sale_date")))
-    dates = outside.join(ids.distinct(), "sale_id", "left_semi").select("sale_date").distinct()
+    dates = unify.union_all(outside.join(ids.distinct(), "sale_id", "left_semi"),
+                            mine.select("sale_id", "sale_date").filter(~slices.between(start, end)(F.col("sale_date")))
+                            ).select("sale_date").distinct()
     return sorted(r[0] for r in dates.collect())
 
 

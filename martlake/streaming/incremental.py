@@ -54,6 +54,12 @@ def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curate
     q.awaitTermination()
 
 
+def read_quarantine(spark: SparkSession, curated: str) -> DataFrame:
+    """The rows with reasons of every batch so far."""
+    return spark.read.option("basePath", f"{curated.rstrip('/')}_quarantine").parquet(
+        f"{curated.rstrip('/')}_quarantine/stream=*")
+
+
 def read_curated(spark: SparkSession, curated: str) -> DataFrame:
     """All batches so far, one row per sale (the newest version wins)."""
     df = spark.read.parquet(curated).select(*C.SALES_COLUMNS)

@@ -13,12 +13,21 @@ def _plan(df) -> str:
 
 
 def test_no_python_udf_in_any_registered_plan(spark, sf_dir):
-    for name in ["channel_revenue", "dedup_sales", "fact_key_lookup", "dq_reason_counts",
-                 "dedup_customer_id", "scalar_name_split", "identity_md5"]:
+    for name in QUERIES:
+        if name.startswith(("load_", "fact_", "merge_", "src_", "snk_", "stage_", "incremental", "contract_", "dim_keys")):
+            continue  # these write and read back; their steps are the other queries'
         p = _plan(QUERIES[name](spark, sf_dir))
         assert "PythonUDF" not in p and "BatchEvalPython" not in p and "ArrowEvalPython" not in p, name
 
 
+def test_validity_is_generated_code_and_reaches_the_scan(spark, sf_dir):
+    f = flows.feeds_from_tables(spark, sf_dir)
+    for df, column in ((flows.valid_orders(f), "o_custkey"), (flows.valid_sales(f), "event_id")):
+        plan = df._jdf.queryExecution().executedPlan()
+        final = plan.initialPlan() if "Adaptive" in plan.nodeName() else plan
+        assert "size(" not in final.toString() and f"IsNotNull({column})" in final.toString()
+
+
 def test_scans_read_only_needed_columns(spark, sf_dir):
     p = QUERIES["channel_revenue"](spark, sf_dir)._jdf.queryExecution().executedPlan().toString()
     assert "l_tax" not in p and "l_shipdate" not in p and "o_totalprice" not in p and "props" not in p

@@ -2,16 +2,20 @@
 idempotent reruns, batch = incremental."""
 
 import datetime as dt
+import json
+import os
 
 from pyspark.sql import functions as F
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators import dimensions, facts, quality, unify
+from martlake.operators import dimensions, quality, unify
 from martlake.plans import flows, runner
 from martlake.plans.catalog import AS_OF, FULL_RANGE, QUERIES
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
+from martlake.sinks import slices
+from martlake.sources import files as sources
 from martlake.sources import fixtures
 from martlake.streaming import incremental
 
@@ -97,11 +101,18 @@ def test_replace_slices_clears_emptied_dates(spark):
     rows = [("a", dt.date(2024, 1, 1)), ("b", dt.date(2024, 1, 2)), ("c", dt.date(2024, 1, 3))]
     df = spark.createDataFrame(rows, "sale_id string, sale_date date")
     path = scratch_path(spark, "fact")
-    facts.replace_slices(df, path, dt.date(2024, 1, 1), dt.date(2024, 1, 4))
+    slices.replace(df, path, "sale_date", slices.between(dt.date(2024, 1, 1), dt.date(2024, 1, 4)))
     # the new slice of 2 and 3 only has a row for the 3rd: the 2nd must go
-    facts.replace_slices(df.filter("sale_id = 'c'"), path, dt.date(2024, 1, 2), dt.date(2024, 1, 4))
-    got = sorted((r.sale_id, r.sale_date) for r in spark.read.parquet(path).collect())
+    slices.replace(df.filter("sale_id = 'c'"), path, "sale_date", slices.between(dt.date(2024, 1, 2), dt.date(2024, 1, 4)))
+    got = sorted((r.sale_id, r.sale_date) for r in slices.read(spark, path, "sale_date").collect())
     assert got == [("a", dt.date(2024, 1, 1)), ("c", dt.date(2024, 1, 3))]
+    # rows without a date are one slice, replaced in place; a date's reader opens its folder only
+    undated = df.withColumn("sale_date", F.lit(None).cast("date")).limit(1)
+    for _ in range(3):
+        slices.replace(undated, path, "sale_date", lambda day: day.isNull())
+    assert slices.read(spark, path, "sale_date").count() == 3
+    one = slices.read(spark, path, "sale_date", where=lambda day: day == dt.date(2024, 1, 1))
+    assert [r.sale_id for r in one.collect()] == ["a"] and sum("/data/" in f for f in one.inputFiles()) == 1
 
 
 def test_batch_equals_incremental(spark, sf_dir):
@@ -125,7 +136,11 @@ def test_incremental_picks_up_only_new_files(spark, sf_dir):
     total = quality.valid(c).count()
     assert spark.read.parquet(f"{root}/cur").count() == total > n1
     # nothing is dropped: the rest is in the quarantine with its reasons
-    assert spark.read.parquet(f"{root}/cur_quarantine").count() == quality.quarantined(c).count() > 0
+    assert incremental.read_quarantine(spark, f"{root}/cur").count() == quality.quarantined(c).count() > 0
+    # another checkpoint starts at epoch 0 again and overwrites nothing
+    incremental.run_available_now(spark, f"{root}/landing", f"{root}/ck2", f"{root}/cur")
+    assert spark.read.parquet(f"{root}/cur").count() == 2 * total
+    assert incremental.read_curated(spark, f"{root}/cur").count() == total
 
 
 def test_late_refund_updates_its_sales_older_slice(spark):
@@ -169,7 +184,7 @@ def test_order_without_time_takes_its_landing_day_once(spark):
     assert len(got) == 1 and got[0].sale_date == dt.date(2026, 8, 19)
     assert fact.count() == 26 and fact.filter("sale_id = 'MYSQL-ORDER-2002'").count() == 0
     q = runner.read_quarantine(spark, layout, "orders").filter("order_id = 2002").collect()
-    assert q and list(q[0].reasons) == ["undated"]
+    assert len(q) == 1 and list(q[0].reasons) == ["undated"]  # once, after four runs
 
 
 def test_channel_keys_stable_across_runs(spark):
@@ -215,10 +230,71 @@ def test_late_arriving_sale_joins_its_event_day(spark):
         assert fact.filter("sale_date = DATE'2026-08-19'").count() == 8
         got = fact.filter("sale_id = 'MKT-LATE-1'").collect()
         assert len(got) == 1 and got[0].sale_date == dt.date(2026, 8, 19)
+    # nor does a rerun of its event day lose it
+    runner.main(["--root", layout.root, "--start", "2026-08-19"])
+    assert runner.read_fact(spark, layout).filter("sale_id = 'MKT-LATE-1'").count() == 1
+    # the same sale delivered again with a later time moves to that day, and older ranges don't bring it back
+    moved = late.withColumn("transaction_date", F.lit("2026-08-22 10:00:00").cast("timestamp_ntz"))
+    sinks.write_ndjson_landing(day22.unionByName(moved), layout.landing_sales, ["year", "month", "day"])
+    sinks.write_ndjson_landing(late.withColumn("day", F.lit("23")), layout.landing_sales, ["year", "month", "day"])
+    for day in (22, 23, 19):
+        runner.main(["--root", layout.root, "--start", dt.date(2026, 8, day).isoformat()])
+        fact = runner.read_fact(spark, layout)
+        assert fact.count() == 27 == fact.select("sale_id").distinct().count()
+        assert fact.filter("sale_id = 'MKT-LATE-1'").first().sale_date == dt.date(2026, 8, 22)
 
 
 def test_first_run_without_landed_data_is_a_no_op(spark):
     layout = runner.Layout(scratch_path(spark, "empty_root"))
     metrics = runner.main(["--root", layout.root, "--start", "2026-08-19"])
-    assert metrics == {"orders": {"n_input": 0, "n_valid": 0, "n_quarantined": 0},
-                       "sales": {"n_input": 0, "n_valid": 0, "n_quarantined": 0}}
+    none = {"n_input": 0, "n_valid": 0, "n_quarantined": 0}
+    assert metrics == {"orders": none, "sales": none, "refunds": none}
+
+
+def test_dirty_feeds_are_quarantined_and_harm_nothing(spark):
+    """A refund delivered twice is charged once, also when dated before its
+    sale's range; unreadable refunds and products are kept with reasons; the
+    dimensions stay as they are over three runs."""
+    from decimal import Decimal
+    from seed import feeds as seed_feeds
+    layout = runner.Layout(scratch_path(spark, "dirty"))
+    runner.land(seed_feeds(spark), layout)
+    sale = "MKT-SALE-FLP-2026-08-19-102"
+
+    def drop(folder, name, *lines):
+        os.makedirs(f"{layout.root}/{folder}", exist_ok=True)
+        with open(f"{layout.root}/{folder}/{name}", "w") as fh:
+            fh.write("\n".join(lines) + "\n")
+
+    def refund(key, amount, time):
+        return json.dumps({"refund_id": key, "original_transaction_id": sale, "refund_amount": amount,
+                           "customer_email": "x@y.z", "refund_date": time})
+
+    drop("landing_refunds/year=2026/month=8/day=19", "part-a.json", refund("R-1", "50.00", "2026-08-18 09:00:00"),
+         refund("R-2", "12,50", "2026-08-19 09:00:00"), '{"refund_id": "R-3", "orig')
+    drop("landing_refunds/year=2026/month=8/day=20", "part-b.json", refund("R-1", "50.00", "2026-08-20 09:00:00"))
+    drop("landing_products", "part-c.csv", "product_id,product_name,category,price", "x9,Lamp,Home,12.00",
+         "2,Lamp, big,Home,12.00", "1,Mouse,Home,abc")
+    before = None
+    for day in (19, 20, 19):
+        runner.main(["--root", layout.root, "--start", dt.date(2026, 8, day).isoformat()])
+        products = sorted(map(tuple, dimensions.read_latest(spark, layout.dim_products).collect()))
+        assert before in (None, products) and len(products) == 5
+        before = products
+    fact = {r.sale_id: r.refund_amount for r in runner.read_fact(spark, layout).collect()}
+    assert fact[sale] == Decimal("50.00")
+    bad = {r.refund_id: list(r.reasons) for r in runner.read_quarantine(spark, layout, "refunds").collect()}
+    assert bad["R-2"] == ["bad_refund_amount", "null_refund_amount"] and bad[None][0] == "corrupt_record"
+    reasons = sorted(r.reasons[0] for r in runner.read_quarantine(spark, layout, "products").collect())
+    assert reasons == ["bad_price", "bad_product_id", "corrupt_record"]
+
+
+def test_day_folders_without_padding_are_read_by_any_range(spark):
+    path = scratch_path(spark, "unpadded")
+    os.makedirs(f"{path}/year=2026/month=8/day=9")
+    with open(f"{path}/year=2026/month=8/day=9/a.json", "w") as fh:
+        fh.write(json.dumps({"transaction_id": "T1", "transaction_date": "2026-08-09 10:00:00"}) + "\n")
+    for end in (dt.date(2026, 8, 10), dt.date(2026, 11, 7)):
+        got = sources.read_dated_ndjson_feed(spark, path, C.MKT_SALES, dt.date(2026, 8, 9), end)
+        assert [r.transaction_id for r in got.collect()] == ["T1"]
+    assert sources.read_dated_ndjson_feed(spark, path, C.MKT_SALES, dt.date(2026, 8, 10), dt.date(2026, 8, 11)).count() == 0

@@ -7,7 +7,6 @@ import os
 from pyspark.sql import functions as F
 
 from martlake.operators import unify
-from martlake.operators.broadcast import bounded_broadcast
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
 
@@ -68,10 +67,10 @@ def test_hot_customer_lookup_uses_skew_join_when_not_broadcast(spark):
     with conf(spark, **{"spark.sql.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.autoBroadcastJoinThreshold": "-1",
                         "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "8k",
-                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.5",
+                        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "1k",
                         "spark.sql.adaptive.advisoryPartitionSizeInBytes": "8k"}):
-        d = bounded_broadcast(dim, max_rows=0)  # over the bound: shuffle join
-        j = sales.join(d, ["customer_id", "source_system"], "left")
+        j = sales.join(dim, ["customer_id", "source_system"], "left")
         assert len(j.collect()) == 30000  # runs this plan, so AQE finalises it
         plan = j._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin(skew=true)" in plan and "AQEShuffleRead skewed" in plan
