@@ -53,20 +53,20 @@ def _line(name: str, value: Column) -> Column:
 
 def write_archive(rows: DataFrame, folder: str, min_bytes: int = 0, date: str = "2026-01-01T00:00:00Z") -> None:
     """``rows``: id long, uri string, payload binary."""
-    staged = written(rows.select(
-        F.monotonically_increasing_id().alias("row_id"), F.col("id").cast("long").alias("id"), "uri",
-        F.coalesce("payload", F.lit(b"")).alias("payload")).withColumn("digest", F.sha2("payload", 256)), "warc-staged")
+    rows = rows.select(F.col("id").cast("long").alias("id"), "uri", F.coalesce("payload", F.lit(b"")).alias("payload"))
+    rows = rows.withColumn("digest", F.sha2("payload", 256))
+    # equal payloads meet in their map task first, so a payload of very many records is shuffled once a task
+    (rows.groupBy("digest").agg(F.min("payload").alias("payload"))
+     .write.option("compression", "zstd").parquet(f"{folder}/payloads"))
+    size = F.octet_length("payload")
+    facts = written(rows.select(F.monotonically_increasing_id().alias("row_id"), "id", "uri", "digest", size.alias("n"),
+                                sha1_base32(F.col("payload")).alias("sha1")), "warc-facts")
 
     of = F.struct(F.col("id").isNull().alias("no_id"), "id", "uri", "row_id")
-    first = written(staged.groupBy("digest").agg(F.min(of).alias("first"))
+    first = written(facts.groupBy("digest").agg(F.min(of).alias("first"))
                     .select("digest", F.col("first.row_id").alias("first_row"), F.col("first.id").alias("first_id")),
                     "warc-first")
 
-    (staged.join(first.select(F.col("first_row").alias("row_id")), "row_id", "left_semi")
-     .select("digest", "payload").write.parquet(f"{folder}/payloads"))
-
-    size = F.octet_length("payload")
-    facts = staged.select("row_id", "id", "uri", "digest", size.alias("n"), sha1_base32(F.col("payload")).alias("sha1"))
     joined = facts.join(first, "digest")
     revisit = (F.col("row_id") != F.col("first_row")) & (F.col("n") >= min_bytes)
     uri = F.regexp_replace(F.regexp_replace("uri", "\r", "%0D"), "\n", "%0A")
