@@ -41,6 +41,21 @@ SELECT page_id, octet_length(payload)::BIGINT AS payload_bytes, {_BASE32} AS pay
        CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
        CASE WHEN page_id = first_id THEN NULL ELSE first_id END AS refers_to
 FROM f
+""",
+    "op6_near_duplicates": r"""
+WITH RECURSIVE d AS (
+    SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                      '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + least(len(w), 3) - 1), ' ') AS sh
+      FROM (SELECT doc_id, w, unnest(generate_series(1, greatest(1, len(w) - 2))) AS i FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT x.doc_id AS a, y.doc_id AS b, count(*) AS c FROM s x JOIN s y USING (sh) WHERE x.doc_id <> y.doc_id GROUP BY ALL),
+e AS (SELECT a, b FROM p JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)),
+r(doc_id, other) AS (SELECT a, b FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON r.other = e.a),
+m AS (SELECT doc_id, min(other) AS least_id FROM r GROUP BY doc_id)
+SELECT doc_id, coalesce(n, 0)::BIGINT AS n_shingles, least(doc_id, least_id) AS component_id,
+       doc_id = least(doc_id, least_id) AS kept
+FROM d LEFT JOIN n USING (doc_id) LEFT JOIN m USING (doc_id)
 """,
     "op9_decontamination": f"""
 WITH d AS (SELECT doc_id, {_OP9_WORDS} AS w FROM documents),
