@@ -44,15 +44,6 @@ NOT_NULL = {
     "dim_customers": ["customer_key", "customer_id", "source_system"],
     "fact_sales": ["sale_id", "quantity_sold", "sales_amount", "transaction_date"],
 }
-PRIMARY_KEYS = {
-    "customers": ["customer_id"],
-    "products": ["product_id"],
-    "orders": ["order_id"],
-    "dim_products": ["product_key"],
-    "dim_customers": ["customer_key"],
-    "dim_channels": ["channel_key"],
-    "fact_sales": ["sale_id"],
-}
 # Default product catalogue of each channel: the catalogue is shared.
 DEFAULT_PRODUCT_SOURCE = "MySQL"
 # ---------------------------------------------------------------------------

@@ -51,10 +51,6 @@ def try_int(c: str | Column) -> Column:
     return F.trim(col(c)).try_cast("int")
 
 
-def try_money(c: str | Column) -> Column:
-    return F.trim(col(c)).try_cast(C.MONEY)
-
-
 def web_sale_id(order_id: str | Column) -> Column:
     return F.concat(F.lit(C.WEB_SALE_PREFIX), col(order_id).cast("string"))
 

@@ -640,8 +640,7 @@ def snk_sales_partitioned(spark, sf_dir):
 # ---------------------------------------------------------------------------
 # Incremental
 # ---------------------------------------------------------------------------
-@query("incremental_sales")
-def incremental_sales(spark, sf_dir):
+def _incremental_sales(spark, sf_dir) -> DataFrame:
     root = scratch_path(spark, "incremental")
     s = fixtures.mkt_sales(spark, sf_dir).withColumn("dt", F.to_date("transaction_date"))
     cut = S.ntz(SECOND_HALF)
@@ -650,4 +649,20 @@ def incremental_sales(spark, sf_dir):
     incremental.run_available_now(spark, landing, f"{root}/checkpoint", f"{root}/curated")
     sinks.write_ndjson_landing(s.filter(F.col("transaction_date") >= cut), landing, ["dt"])
     incremental.run_available_now(spark, landing, f"{root}/checkpoint", f"{root}/curated")
-    return out(incremental.read_curated(spark, f"{root}/curated"))
+    return incremental.read_curated(spark, f"{root}/curated")
+
+
+@query("incremental_sales")
+def incremental_sales(spark, sf_dir):
+    return out(_incremental_sales(spark, sf_dir))
+
+
+@query("incremental_fact")
+def incremental_fact(spark, sf_dir):
+    """The picked-up marketplace sales go through the batch functions into
+    dimensions and fact, and give the batch load's fact."""
+    f = _feeds(spark, sf_dir)
+    settled = refunds.settle(incremental.with_web_sales(_incremental_sales(spark, sf_dir), flows.valid_orders(f)),
+                             flows.valid_refunds(f))
+    return out(facts.lookup_keys(settled, flows.dim_products(f), flows.dim_customers(f), flows.channel_dim(spark, f),
+                                 AS_OF).select(*_FACT_OUT))

@@ -293,6 +293,7 @@ WHERE p OR c OR channel_key IS NULL""", "fk", "dp", "dcu"),
   AND transaction_date < TIMESTAMP '2024-01-15' THEN refund_amount ELSE 0 END AS DOUBLE) AS refund_amount,
   {day('transaction_date')} AS sale_date FROM st""", "st"),
     "load_range_run": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk", "fk"),
+    "incremental_fact": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk", "fk"),
     "fact_rerun_idempotent": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk",
                                  "fk"),
     "contract_fk_orders": sql("""SELECT order_id, 'customer_id' AS fk_column FROM web_orders

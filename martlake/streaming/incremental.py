@@ -64,3 +64,10 @@ def read_curated(spark: SparkSession, curated: str) -> DataFrame:
     """All batches so far, one row per sale (the newest version wins)."""
     df = spark.read.parquet(curated).select(*C.SALES_COLUMNS)
     return unify.dedup_sales(df)
+
+
+def with_web_sales(curated: DataFrame, valid_orders: DataFrame) -> DataFrame:
+    """The batch load's curated sales: picked-up marketplace sales and the
+    website's orders, one row per sale."""
+    none = curated.withColumn(conform.RULE_REFUND, F.lit(0).cast(C.MONEY))
+    return unify.dedup_sales(unify.union_all(conform.web_sales(valid_orders, None, True), none))

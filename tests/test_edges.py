@@ -171,3 +171,24 @@ def test_dated_landing_reads_only_the_range_and_undated_rows(spark):
     assert dated and all(dt.datetime(2024, 1, 8) <= t < dt.datetime(2024, 1, 15) for t in dated)
     assert len(dated) == s.filter("transaction_date >= TIMESTAMP_NTZ'2024-01-08 00:00:00' AND "
                                   "transaction_date < TIMESTAMP_NTZ'2024-01-15 00:00:00'").count()
+
+
+def test_jdbc_options_prefer_explicit_values(monkeypatch):
+    from martlake.sources import extract
+    monkeypatch.setenv("JDBC_URL", "jdbc:x:y")
+    monkeypatch.setenv("JDBC_PASSWORD", "secret")
+    opts = extract.jdbc_options(user="me", fetchsize="5")
+    assert opts == {"url": "jdbc:x:y", "user": "me", "password": "secret", "fetchsize": "5"}
+    monkeypatch.delenv("JDBC_URL")
+    assert extract.jdbc_options()["url"] == ""
+
+
+def test_a_cluster_session_without_a_shared_folder_raises():
+    from types import SimpleNamespace
+
+    import pytest
+    from martlake.session import shared_root
+    spark = SimpleNamespace(conf=SimpleNamespace(get=lambda *a: None),
+                            sparkContext=SimpleNamespace(getCheckpointDir=lambda: None, master="spark://host:7077"))
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        shared_root(spark)
