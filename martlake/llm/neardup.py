@@ -3,7 +3,7 @@
 A document's set holds its distinct word shingles.  Two small collections of ``halves`` keys, each key made of
 ``rows`` minhashes, are computed a set; a table's key is a pair with one key of either collection, so that
 ``halves`` ** 2 tables cost 2 * ``halves`` * ``rows`` minhashes.  Sets of similarity s meet in a table with the
-probability (1 - (1 - s ** rows) ** halves) ** 2; ``halves`` is the least number for which that is ``RECALL`` at the
+probability (1 - (1 - s ** rows) ** halves) ** 2; ``halves`` is the least number for which that is ``recall`` at the
 threshold.
 
 Equal sets are one node.  In each table's bucket every node is compared with the smallest one on the full sets; the
@@ -30,11 +30,11 @@ from martlake.llm.common import map_arrow, written
 from martlake.llm.components import components
 from martlake.llm.shingles import minhashes, mix, overlap, shingle_sets
 
-RECALL = 0.999
+RECALL = 0.9998
 QUERY_BLOCK, NODE_BLOCK, SMALL_GROUP = 256, 2048, 64
 
 
-def halves_for(threshold: float, rows: int, recall: float = RECALL) -> int:
+def halves_for(threshold: float, rows: int, recall: float) -> int:
     m = 1
     while (1 - (1 - threshold ** rows) ** m) ** 2 < recall:
         m += 1
@@ -167,9 +167,9 @@ def _rest(members: DataFrame, classes: DataFrame, sets: DataFrame, share: int) -
     return rows.groupBy("small", "name", "q", "d").applyInArrow(_compare_block(share), "a long, b long")
 
 
-def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3) -> DataFrame:
+def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3, recall: float = RECALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; linked: 100 * intersection >= share * union."""
-    halves = halves_for(share / 100, rows)
+    halves = halves_for(share / 100, rows, recall)
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     sketch, schema = _sketch(k, rows, halves)
     sketches = written(map_arrow(docs, sketch, schema), "sketches")
