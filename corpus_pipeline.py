@@ -17,7 +17,7 @@ from martlake.llm.tokens import vocabulary_path
 from martlake.session import scratch_path
 
 #: Near duplicates of the pipeline: five words, a Jaccard similarity of 0.8.
-SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY = 5, 80, 2
+SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY, RECALL = 5, 80, 2, 0.999
 
 
 def _sized(docs: DataFrame) -> DataFrame:
@@ -34,14 +34,14 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group, the one with the smallest doc_id; of rows with that id, one."""
-    found = near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY)
+    found = near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY, RECALL)
     kept = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies")),
                    "kept")
     named = docs.join(kept.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
-    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    columns = [F.col(f"`{c}`") for c in docs.columns]
     again = (docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min_by(row, F.md5("text")).alias("row")).select("row.*"))
-    return named.select(*docs.columns).union(again.select(*docs.columns)).union(docs.where("doc_id IS NULL"))
+             .agg(F.min_by(F.struct(*columns), F.md5("text")).alias("row")).select("row.*"))
+    return named.select(*columns).union(again.select(*columns)).union(docs.where("doc_id IS NULL"))
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
