@@ -31,7 +31,7 @@ from martlake.llm.common import map_arrow
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
-SHARD_WORDS = 1 << 21
+SHARD_WORDS = 1 << 20
 SAMPLE = 8
 
 WORD = re.compile(r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+")

@@ -23,6 +23,7 @@ WORD_LEVEL = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{LETTERS}]+|[0-9]|[^\\s0-9{LE
 #: Pre-tokens a worker remembers: the newest this many, and of those before them the ones that came again.
 CACHE_ENTRIES = 300_000
 JOINED = 1000
+PART_CHARS = 1_000_000
 
 
 def vocabulary_path(name: str) -> str:
@@ -74,6 +75,17 @@ class Encoder:
                 start = end + width
 
     def ids(self, texts: list[str]) -> list[bytes]:
+        """In parts, so that only a part's pre-tokens are in memory at a time."""
+        out, part, chars = [], [], 0
+        for text in texts:
+            part.append(text)
+            chars += len(text)
+            if chars >= PART_CHARS:
+                out += self._ids(part)
+                part, chars = [], 0
+        return out + self._ids(part)
+
+    def _ids(self, texts: list[str]) -> list[bytes]:
         cut = [BYTE_LEVEL.findall(t) if SAFE.fullmatch(t) and not any(s in t for s in self.specials) else None
                for t in texts]
         new = set().union(*(c for c in cut if c)).difference(self.known)
