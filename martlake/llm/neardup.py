@@ -30,7 +30,7 @@ from martlake.llm.common import map_arrow, written
 from martlake.llm.components import components
 from martlake.llm.shingles import minhashes, mix, overlap, shingle_sets
 
-RECALL = 0.9998
+RECALL = 0.999
 QUERY_BLOCK, NODE_BLOCK, SMALL_GROUP = 256, 2048, 64
 
 
@@ -41,7 +41,7 @@ def halves_for(threshold: float, rows: int, recall: float) -> int:
     return m
 
 
-def _parts(batch: pa.RecordBatch, chars: int = 4_000_000) -> Iterator[tuple[list, list]]:
+def _parts(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list, list]]:
     """doc_ids and texts of a batch, in parts of about that many characters."""
     ids, texts, n = [], [], 0
     for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
@@ -184,7 +184,8 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3,
     members = written(buckets.join(shared, "key"), "members")
 
     wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    sets = written(map_arrow(docs.join(wanted, "doc_id", "left_semi"), _sets(k), "node long, shingles binary"), "sets")
+    # wanted ids grow with the corpus: a shuffle join at every size
+    sets = written(map_arrow(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), _sets(k), "node long, shingles binary"), "sets")
     pairs = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
     left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
     right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))

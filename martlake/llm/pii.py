@@ -205,6 +205,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
         *[marked(k) for k in PATTERNS], F.coalesce(marked("term"), none)).alias("marks"))
     rest = [F.col(f"`{c}`") for c in docs.columns]
     rows = docs.select(F.struct(*rest).alias("row"), "text", F.md5(whole_text()).alias("key"))
-    out = rows.join(written(marks, "pii-marks"), "key", "left").select("row", F.when(
+    # marks grow with the corpus: a shuffle join at every size
+    out = rows.join(written(marks, "pii-marks").hint("merge"), "key", "left").select("row", F.when(
         F.col("marks").isNotNull(), _replaced(F.col("text"), F.col("marks"))).otherwise(F.col("text")).alias("text"))
     return out.select(*[F.col("text") if c == "text" else F.col(f"row.`{c}`").alias(c) for c in docs.columns])
