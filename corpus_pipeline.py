@@ -37,7 +37,8 @@ def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     found = near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY, RECALL)
     kept = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies")),
                    "kept")
-    named = docs.join(kept.where("copies = 1").select("doc_id"), "doc_id", "left_semi")
+    # kept ids grow with the corpus: a shuffle join at every size
+    named = docs.join(kept.where("copies = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
     columns = [F.col(f"`{c}`") for c in docs.columns]
     again = (docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id")
              .agg(F.min_by(F.struct(*columns), F.md5("text")).alias("row")).select("row.*"))
