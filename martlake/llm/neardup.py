@@ -30,7 +30,7 @@ from martlake.llm.common import map_arrow, written
 from martlake.llm.components import components
 from martlake.llm.shingles import minhashes, mix, overlap, shingle_sets
 
-RECALL = 0.999
+RECALL = 0.9998
 QUERY_BLOCK, NODE_BLOCK, SMALL_GROUP = 256, 2048, 64
 
 

@@ -66,6 +66,12 @@ def test_near_duplicates_of_awkward_rows(docs):
     assert [x[1] for x in of[7]] == [6, 6] and of[10][0][1:] == (9, False)
 
 
+def test_near_duplicates_recall_of_op6():
+    from martlake.llm import neardup
+    halves = neardup.halves_for(0.85, 3, neardup.RECALL)
+    assert halves == 10 and 1 - (1 - (1 - 0.85 ** 3) ** halves) ** 2 < 0.0002
+
+
 def test_near_duplicates_of_nothing(none):
     assert near_duplicates(none).count() == 0
 
