@@ -9,7 +9,8 @@ information as a share of the information in e,
 
 which is 1 if t stands only where e stands.  Terms of at least ``GENERALISE`` that stand near the entity in
 ``SUPPORT`` different contexts become spans too (kind ``term``); copies of one context count once.  Sanitised texts
-have a base span replaced by its kind, a term by ``[TERM]``, or by nothing from ``REMOVE`` on.
+have a base span replaced by its kind, a term by ``[TERM]``, or by nothing from ``REMOVE`` on; spans that overlap are
+replaced as one, from the first start to the greatest end.
 
 Only DataFrame functions are used.  The patterns never go back over a run of characters twice, so long runs cost
 linear time: a match of the plain pattern starts where such a run starts, or where the match before it ended.
@@ -175,12 +176,13 @@ def joined(*kinds: str) -> Column:
 
 
 def _replaced(text: Column, found: Column) -> Column:
-    """The text with its spans replaced; of overlapping ones the first, and then the longest, counts."""
+    """The text with its spans replaced; overlapping ones are one span, named by the first and then the longest."""
     kind = "struct<at:int,out:string>"
 
     def step(acc: Column, x: Column) -> Column:
         kept = F.substring(text, acc["at"] + 1, x["start"] - acc["at"])
-        return F.when(x["start"] < acc["at"], acc).otherwise(
+        joined_on = F.struct(F.greatest(acc["at"], x["end"]).alias("at"), acc["out"].alias("out")).cast(kind)
+        return F.when(x["start"] < acc["at"], joined_on).otherwise(
             F.struct(x["end"].alias("at"), F.concat(acc["out"], kept, x["by"]).alias("out")).cast(kind))
 
     def end(acc: Column) -> Column:

@@ -136,6 +136,14 @@ def test_terms_that_disclose_an_entity(spark, docs):
     assert pairs(same, "doc_id", "text") == pairs(docs, "doc_id", "text")
 
 
+def test_overlapping_kinds_leave_nothing(spark):
+    card = next(c for c in (f"1 4111 1111 1111 11{k:02}" for k in range(100)) if brute.luhn(c.replace(" ", "")))
+    texts = ["+1 5551234567bob@x.com", f"10.0.0.{card} end", "call +1 5551234567 or a@b.com now"]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    clean = {r.doc_id: r.text for r in pii.sanitise(df).collect()}
+    assert clean == {0: "[PHONE]", 1: "[IP] end", 2: "call [PHONE] or [EMAIL] now"}
+
+
 def test_licences(spark, docs, none):
     apache = licenses.TEMPLATES[1][1]
     words = apache.split()
