@@ -1,16 +1,20 @@
 """Personal data: fixed patterns, and terms that disclose a protected entity.
 
 Base spans are e-mail addresses, IP addresses, card numbers and phone numbers.  Each one found is a protected entity
-(its kind and normal form).  A term is a word of three letters or more within ``CONTEXT`` characters of an entity.
+(its kind and normal form).  A term is a word of three letters or more anywhere in a text that holds the entity.
 Document counts over the whole corpus estimate how strongly the term t reveals the entity e: their pointwise mutual
 information as a share of the information in e,
 
-    log(n(t near e) * N / (n(t) * n(e))) / log(N / n(e)),
+    log(n(t and e) * N / (n(t) * n(e))) / log(N / n(e)),
 
-which is 1 if t stands only where e stands.  Terms of at least ``GENERALISE`` that stand near the entity in
-``SUPPORT`` different contexts become spans too (kind ``term``); copies of one context count once.  Sanitised texts
-have a base span replaced by its kind, a term by ``[TERM]``, or by nothing from ``REMOVE`` on; spans that overlap are
-replaced as one, from the first start to the greatest end.
+which is 1 if t stands only where e stands.  A text with entities counts once, however many copies it has; of other
+texts every row counts.  A term discloses the entity if the share still is ``GENERALISE`` with Wilson's lower bound of
+n(t and e) / n(t), at ``Z`` standard deviations, in place of the plain one: a single text can be enough, but only
+where log(N / n(e)) is large against what one text leaves open (log(1 + Z ** 2), so from N = 1024 texts on); the
+fewer the texts, the more of them it takes.  Every occurrence of a disclosing term in a text that holds the entity
+becomes a span (kind ``term``).  Sanitised texts have a base span replaced by its kind, a term by ``[TERM]``, or by
+nothing if its plain share is ``REMOVE`` or more; spans that overlap are replaced as one, from the first start to the
+greatest end.
 
 Only DataFrame functions are used.  The patterns never go back over a run of characters twice, so long runs cost
 linear time: a match of the plain pattern starts where such a run starts, or where the match before it ended.
@@ -38,9 +42,7 @@ PATTERNS = {
 }
 TERM = r"(?<![\p{L}\p{N}_.%+@-])\p{L}{3,}+(?![\p{N}_]|[A-Za-z0-9._%+-]*+@)"
 WORD = r"\p{L}{3,}+"
-CONTEXT, SUPPORT, GENERALISE, REMOVE = 64, 3, 0.9, 0.97
-
-OCCURRENCES = "array<struct<entity:string,term:string,context:bigint,start:int,end:int>>"
+GENERALISE, REMOVE, Z = 0.9, 0.97, 1.0
 
 
 def _let(value: Column, body) -> Column:
@@ -48,26 +50,24 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _found(text: Column, pattern: str) -> Column:
-    """Matches in order: start, end, match, and the texts before and after it up to the next match."""
-    kind = "array<struct<start:int,end:int,match:string,before:string,after:string>>"
+def _found(text: Column, pattern: Column) -> Column:
+    """Matches in order: start, end, match."""
+    kind = "array<struct<start:int,end:int,match:string>>"
 
     def steps(parts: Column) -> Column:
-        rows = F.arrays_zip(F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("match"), parts.alias("before"),
-                            F.slice(parts, 2, F.size(parts)).alias("after"))
+        rows = F.arrays_zip(F.regexp_extract_all(text, pattern, F.lit(0)).alias("match"), parts.alias("before"))
 
         def step(acc: Column, x: Column) -> Column:
             start = acc["at"] + F.length(x["before"])
             end = start + F.coalesce(F.length(x["match"]), F.lit(0))
-            row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"),
-                           x["before"].alias("before"), x["after"].alias("after"))
+            row = F.struct(start.alias("start"), end.alias("end"), x["match"].alias("match"))
             out = F.when(x["match"].isNull(), acc["out"]).otherwise(F.concat(acc["out"], F.array(row)))
             return F.struct(end.alias("at"), out.alias("out"))
 
         start = F.struct(F.lit(0).alias("at"), F.array().cast(kind).alias("out"))
         return F.aggregate(rows, start, step, lambda acc: acc["out"])
 
-    return F.when(text.rlike(pattern), _let(F.split(text, pattern, -1), steps)).otherwise(F.array().cast(kind))
+    return F.when(F.rlike(text, pattern), _let(F.split(text, pattern, -1), steps)).otherwise(F.array().cast(kind))
 
 
 def _digits(match: Column) -> Column:
@@ -90,26 +90,6 @@ def _entity(kind: str, match: Column) -> Column:
     return F.concat(F.lit(f"{kind}:"), name)
 
 
-def _near(kind: str, spans: Column) -> Column:
-    """Terms near each span: OCCURRENCES."""
-
-    def side(x: Column, before: bool) -> Column:
-        whole = x["before"] if before else x["after"]
-        text = F.right(whole, F.lit(CONTEXT)) if before else F.left(whole, F.lit(CONTEXT))
-        cut = F.length(whole) > CONTEXT
-
-        def terms(t: Column) -> Column:
-            at = x["start"] - F.length(t) if before else x["end"]
-            inside = (lambda m: ~cut | (m["start"] > 0)) if before else (lambda m: ~cut | (m["end"] < CONTEXT))
-            return F.transform(F.filter(_found(t, TERM), inside), lambda m: F.struct(
-                _entity(kind, x["match"]).alias("entity"), F.lower(m["match"]).alias("term"),
-                F.xxhash64(t).alias("context"), (at + m["start"]).alias("start"), (at + m["end"]).alias("end")))
-
-        return _let(text, terms)
-
-    return F.flatten(F.transform(spans, lambda x: F.concat(side(x, True), side(x, False)))).cast(OCCURRENCES)
-
-
 def _spans(kind: str) -> Column:
     return F.transform(kind, lambda x: F.struct(x["start"].alias("start"), x["end"].alias("end")))
 
@@ -122,40 +102,65 @@ def _entities(kind: str) -> Column:
     return F.transform(kind, lambda x: _entity(kind, x["match"]))
 
 
+def _lower(words: Column) -> Column:
+    return F.array_distinct(F.transform(F.array_distinct(words), F.lower))
+
+
 def _base(docs: DataFrame) -> DataFrame:
-    """The id columns of ``docs``, the text's key, base spans by kind, entities and the terms near them."""
+    """The id columns of ``docs``, the text's key, base spans by kind and entities; where there are any, the text."""
     rows = docs.withColumn("text", whole_text())
     for kind, pattern in PATTERNS.items():
-        rows = rows.withColumn(kind, _kept(kind, _found(F.col("text"), pattern)))
-    entities = F.concat(*[_entities(k) for k in PATTERNS])
+        rows = rows.withColumn(kind, _kept(kind, _found(F.col("text"), F.lit(pattern))))
+    entities = F.array_distinct(F.concat(*[_entities(k) for k in PATTERNS]))
     return rows.select("doc_id", F.md5("text").alias("key"), *[_spans(k).alias(k) for k in PATTERNS],
-                       F.array_distinct(entities).alias("entities"),
-                       F.concat(*[_near(k, F.col(k)) for k in PATTERNS]).alias("near"))
-
-
-def _disclosing(docs: DataFrame, base: DataFrame) -> DataFrame:
-    """entity, term, share: the terms that disclose an entity."""
-    near = base.select(F.explode("near").alias("o"))
-    support = (near.select("o.entity", "o.term", "o.context").distinct().groupBy("entity", "term").count()
-               .where(F.col("count") >= SUPPORT).select("entity", "term"))
-    pair = (base.select(F.explode(F.array_distinct(F.transform("near", lambda o: F.struct(o["entity"].alias("entity"), o["term"].alias("term")))))
-                        .alias("o")).groupBy("o.entity", "o.term").agg(F.count("*").alias("n_pair")))
-    entity = base.select(F.explode("entities").alias("entity")).groupBy("entity").agg(F.count("*").alias("n_entity"))
-    words = F.array_distinct(F.regexp_extract_all(F.lower(whole_text()), F.lit(WORD), F.lit(0)))
-    term = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_term"))
-    n = F.lit(base.count())
-    share = (F.log(F.col("n_pair") * n / (F.col("n_term") * F.col("n_entity"))) / F.log(n / F.col("n_entity")))
-    return (support.join(pair, ["entity", "term"]).join(entity.where(F.col("n_entity") < n), "entity").join(term, "term")
-            .select("entity", "term", share.alias("share")).where(F.col("share") >= GENERALISE))
+                       entities.alias("entities"), F.when(F.size(entities) > 0, F.col("text")).alias("text"))
+
+
+def _low(both: Column, n: Column) -> Column:
+    """Wilson's lower bound of both / n."""
+    p, z2 = both / n, Z * Z
+    return (p + z2 / (2 * n) - Z * F.sqrt(p * (1 - p) / n + z2 / (4 * n * n))) / (1 + z2 / n)
+
+
+def _disclosing(docs: DataFrame, held: DataFrame, n: int) -> DataFrame:
+    """key, term, share: the terms of each text that disclose an entity in it."""
+    entity = written(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
+        F.count("*").alias("n_entity")).where(F.col("n_entity") < n), "pii-entities")
+    most = entity.agg(F.max("n_entity")).first()[0] or 0
+    terms = held.select("key", "copies", F.explode(_lower(F.col("forms"))).alias("term"))
+    again = terms.groupBy("term").agg(F.sum(F.col("copies") - 1).alias("again"))
+    words = _lower(F.regexp_extract_all(whole_text(), F.lit(WORD), F.lit(0)))
+    rows = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_rows"))
+    # n(t and e) <= n(e): terms of more texts than this can't reach the bound with any entity
+    limit = 1.0001 * most ** GENERALISE * n ** (1 - GENERALISE)
+    rare = again.join(rows, "term").select("term", (F.col("n_rows") - F.col("again")).alias("n_term")).where(
+        F.col("n_term") <= limit)
+    pairs = written(terms.select("key", "term").join(rare, "term").join(
+        held.select("key", F.explode("entities").alias("entity")), "key"), "pii-pairs")
+    both = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n_term").alias("n_term"))
+    whole = F.log(F.lit(n) / F.col("n_entity"))
+    share, low = (1 + F.log(p) / whole for p in (F.col("both") / F.col("n_term"), _low(F.col("both"), F.col("n_term"))))
+    found = both.join(entity, "entity").where(low >= GENERALISE).select("entity", "term", share.alias("share"))
+    return pairs.join(found, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
 
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Base spans of every row of ``docs`` (doc_id, text), and term spans (start, end, share) of texts by key."""
-    base = written(_base(docs.select("doc_id", "text")), "pii-base")
-    terms = written(_disclosing(docs, base), "pii-terms")
-    found = (base.select("key", F.explode("near").alias("o")).select("key", "o.entity", "o.term", "o.start", "o.end")
-             .join(terms, ["entity", "term"]).groupBy("key", "start", "end").agg(F.max("share").alias("share")))
-    by_text = found.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end", "share"))).alias("term"))
+    docs = docs.select("doc_id", "text")
+    base = written(_base(docs), "pii-base")
+    held = written(base.where(F.size("entities") > 0).groupBy("key").agg(
+        F.count("*").alias("copies"), F.first("entities").alias("entities"), F.first("text").alias("text")).withColumn(
+        "forms", F.array_distinct(F.regexp_extract_all("text", F.lit(TERM), F.lit(0)))), "pii-held")
+    n = base.count() - (held.agg(F.sum(F.col("copies") - 1)).first()[0] or 0)
+    shares = _disclosing(docs, held, n).groupBy("key").agg(
+        F.map_from_entries(F.collect_list(F.struct("term", "share"))).alias("shares"))
+    # whole words again, of the disclosing ones only
+    named = F.filter("forms", lambda f: F.map_contains_key("shares", F.lower(f)))
+    start, end = TERM.split(WORD)
+    pattern = F.concat(F.lit(f"{start}(?:"), F.array_join(named, "|"), F.lit(rf")(?!\p{{L}}){end}"))
+    at = F.transform(_found(F.col("text"), F.col("pattern")), lambda m: F.struct(
+        m["start"].alias("start"), m["end"].alias("end"), F.col("shares")[F.lower(m["match"])].alias("share")))
+    by_text = held.join(shares, "key").withColumn("pattern", pattern).select("key", at.alias("term"))
     return base, written(by_text, "pii-spans")
 
 

@@ -136,6 +136,18 @@ def test_terms_that_disclose_an_entity(spark, docs):
     assert pairs(same, "doc_id", "text") == pairs(docs, "doc_id", "text")
 
 
+def test_terms_of_an_entity_that_occurs_once(spark):
+    words = [f"w{chr(97 + k % 26)}{chr(97 + k // 26 % 26)}x" for k in range(300)]
+    rows = [(k, " ".join(words[(k * 7 + j) % 300] for j in range(12))) for k in range(1500)]
+    far = "wabx " * 60
+    rows += [(2000, f"Zorbaxel. {far} boss@corp.com {far} ZORBAXEL, Zorbaxels"), (2001, f"{far} twice@corp.com Quuxword"),
+             (2002, f"Quuxword {far} twice@corp.com wbbx"), (2003, "Zorbaxels wabx")]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    texts = dict(rows)
+    found = {r.doc_id: [texts[r.doc_id][x.start:x.end] for x in r.term] for r in pii.spans(df).collect() if r.term}
+    assert found == {2000: ["Zorbaxel", "ZORBAXEL"], 2001: ["Quuxword"], 2002: ["Quuxword"]}
+
+
 def test_overlapping_kinds_leave_nothing(spark):
     card = next(c for c in (f"1 4111 1111 1111 11{k:02}" for k in range(100)) if brute.luhn(c.replace(" ", "")))
     texts = ["+1 5551234567bob@x.com", f"10.0.0.{card} end", "call +1 5551234567 or a@b.com now"]
