@@ -8,8 +8,9 @@ the rest the task builds a suffix array, the Burrows-Wheeler transform with a wa
 suffix positions; all phrases are searched backwards at once, occurrences are located by steps back to a sampled
 position, and overlapping or touching occurrences are merged into spans.
 
-The benchmark is a stated query set: it goes to the tasks in blocks of at most about ``BLOCK_BYTES`` of text, and
-every block meets every document.
+The benchmark is a stated query set: it goes to the tasks in blocks of about ``BLOCK_BYTES`` of text (copies of one
+text fall in one block), and every block meets every document.  All blocks are on the driver at once and in one plan,
+so the whole benchmark must fit the driver and each Python worker.
 
 Defined results: a null or empty text has no words and no spans; a null or empty item has no phrase; items with a
 null id are searched and reported under the empty string; repeated items count once; repeated documents are
