@@ -7,13 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from martlake.llm import langid, licenses, pii, warc
+from martlake.llm import langid, licenses, merkle, pii, warc
 from martlake.llm.ann import nearest
+from martlake.llm.audit import audit
 from martlake.llm.common import table
 from martlake.llm.fmindex import find_passages
 from martlake.llm.huffman import read_digests, write_files
 from martlake.llm.neardup import near_duplicates
 from martlake.llm.packing import pack_documents
+from martlake.llm.setjoin import jaccard_join
 from martlake.llm.tokencount import count_tokens
 from martlake.llm.tokens import vocabulary_path
 from martlake.session import scratch_path
@@ -81,6 +83,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > 2048)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder = scratch_path(spark, "manifest")
+    docs = table(spark, sf_dir, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars", "text"]
+    leaf = merkle.leaf_digest([F.col(c) for c in fields])
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    tampered = merkle.leaf_digest([*(F.col(c) for c in fields[:-1]), lowered])
+    chosen = F.crc32(F.col("doc_id").cast("string")) % 3 == 0
+    merkle.write_manifest(docs.select(F.col("lang").alias("part"), F.col("doc_id").cast("long").alias("doc_id"),
+                                      leaf.alias("leaf"), F.when(chosen, tampered).otherwise(leaf).alias("presented")), folder)
+    return merkle.verify(spark, folder)
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join(table(spark, sf_dir, "documents").select("doc_id", "text"), k=4, share=85)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc": op1_warc,
     "op2_language_id": op2_language_id,
@@ -92,4 +115,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_token_files": op8_token_files,
     "op9_decontamination": op9_decontamination,
     "op10_token_counts": op10_token_counts,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_filter_audit": op12_filter_audit,
+    "op13_ngram_join": op13_ngram_join,
 }
