@@ -31,7 +31,11 @@ def settle(sales: DataFrame, refunds: DataFrame) -> DataFrame:
     on the same key by their aggregations, so the sort-merge join reuses
     that partitioning (or AQE broadcasts the totals when they are small).
     """
-    totals = refund_totals(refunds)
+    return settle_totals(sales, refund_totals(refunds))
+
+
+def settle_totals(sales: DataFrame, totals: DataFrame) -> DataFrame:
+    """The same with totals at hand (original_transaction_id, _refunded)."""
     joined = sales.join(totals, sales.sale_id == totals.original_transaction_id, "left")
     refund = F.coalesce(F.col("_refunded"), F.lit(0).cast(C.MONEY))
     if RULE_REFUND in sales.columns:

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators import checks, conform, dimensions, facts, quality, refunds, unify
+from martlake.operators import checks, conform, dimensions, facts, key_index, quality, refunds, unify
 from martlake.plans import flows, runner
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
@@ -427,6 +427,53 @@ def load_range_run(spark, sf_dir):
     return _landed_run(spark, sf_dir, 1)
 
 
+@query("load_by_parts")
+def load_by_parts(spark, sf_dir):
+    """The landing zone loaded in several runs, the newest days first: late arrivals, refunds of sales that another
+    run loads and redelivered sales find their dates through the indexes.  The same fact as one load's."""
+    layout = runner.Layout(scratch_path(spark, "lakehouse"))
+    runner.land(_feeds(spark, sf_dir), layout)
+    cuts = [FULL_RANGE[0], dt.date(1995, 6, 17), dt.date(2024, 1, 9), SECOND_HALF, FULL_RANGE[1]]
+    for start, end in reversed(list(zip(cuts, cuts[1:]))):
+        runner.run_range(spark, layout, start, end, as_of=AS_OF, web_refund_rule=True)
+    return out(runner.read_fact(spark, layout).select(*_FACT_OUT))
+
+
+@query("refund_totals_merged")
+def refund_totals_merged(spark, sf_dir):
+    """Totals kept by merging three days of refund deliveries: first as they came; then a third delivered again,
+    later and 1 dearer; then every fifth of the first ones withdrawn and the day loaded again."""
+    path = scratch_path(spark, "refund_index")
+    feed = flows.valid_refunds(_feeds(spark, sf_dir))
+    n = F.substring("refund_id", 9, 1 << 30).cast("bigint")
+
+    def day(k: int, rows: DataFrame) -> None:
+        landed = rows.withColumn("landing_day", F.lit(dt.date(2024, 1, k)))
+        key_index.update_refunds(landed, path, feed.select("refund_id"), lambda d: d == F.lit(dt.date(2024, 1, k)))
+
+    day(1, feed)
+    day(2, feed.filter(n % 3 == 0).withColumn("refund_date", F.expr("refund_date + INTERVAL 1 HOUR"))
+        .withColumn("refund_amount", (F.col("refund_amount") + 1).cast(C.MONEY)))
+    day(1, feed.filter(n % 5 != 0))
+    totals = key_index.refund_totals(spark, path)
+    return out(totals.select(F.col("original_transaction_id").alias("sale_id"), F.col("_refunded").alias("refunded")))
+
+
+@query("dq_split_observed")
+def dq_split_observed(spark, sf_dir):
+    """The split's counts, observed while the classified feeds are written."""
+    f = _feeds(spark, sf_dir)
+    ok = F.size(quality.REASONS) == 0
+    counts = {"n_input": F.count(F.lit(1)), "n_valid": F.count_if(ok), "n_quarantined": F.count_if(~ok)}
+    rows = []
+    for feed, df in (("orders", flows.classified_orders(f)), ("sales", flows.classified_sales(f)),
+                     ("refunds", quality.classify(f.refunds, quality.refund_rules()))):
+        seen = slices.replace(df.withColumn("day", F.lit(None).cast("date")), scratch_path(spark, f"staged_{feed}"), "day",
+                              lambda d: d.isNull(), counts)
+        rows.append((feed, *(seen[c] for c in counts)))
+    return spark.createDataFrame(rows, "feed string, n_input long, n_valid long, n_quarantined long")
+
+
 @query("fact_rerun_idempotent")
 def fact_rerun_idempotent(spark, sf_dir):
     return _landed_run(spark, sf_dir, 2)
@@ -659,10 +706,15 @@ def incremental_sales(spark, sf_dir):
 
 @query("incremental_fact")
 def incremental_fact(spark, sf_dir):
-    """The picked-up marketplace sales go through the batch functions into
-    dimensions and fact, and give the batch load's fact."""
+    """Everything but the marketplace sales is loaded in one run; a stream picks the sales up in two parts and
+    brings the fact up to date itself, which gives the batch load's fact."""
+    layout = runner.Layout(scratch_path(spark, "lakehouse"))
     f = _feeds(spark, sf_dir)
-    settled = refunds.settle(incremental.with_web_sales(_incremental_sales(spark, sf_dir), flows.valid_orders(f)),
-                             flows.valid_refunds(f))
-    return out(facts.lookup_keys(settled, flows.dim_products(f), flows.dim_customers(f), flows.channel_dim(spark, f),
-                                 AS_OF).select(*_FACT_OUT))
+    sales, f.sales = f.sales, f.sales.limit(0)
+    runner.land(f, layout)
+    runner.run_range(spark, layout, *FULL_RANGE, as_of=AS_OF, web_refund_rule=True)
+    cut = S.ntz(SECOND_HALF)
+    for part in (sales.filter(F.col("transaction_date") < cut), sales.filter(F.col("transaction_date") >= cut)):
+        runner.land_sales(part, layout)
+        incremental.run_into_fact(spark, layout, f"{layout.root}/checkpoint", AS_OF)
+    return out(runner.read_fact(spark, layout).select(*_FACT_OUT))

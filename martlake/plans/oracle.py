@@ -216,14 +216,15 @@ WHERE amount IS NULL OR amount < 0""", "mkt_refunds"),
   UNION ALL
   SELECT 'sales' AS feed, unnest(string_split(reasons, ',')) AS reason FROM ms_c WHERE reasons <> '')
 GROUP BY feed, reason""", "wo_c", "ms_c"),
-    "dq_split_totals": sql(f"""SELECT 'orders' AS feed, CAST(count(*) AS BIGINT) AS n_input,
+    **{name: sql(f"""SELECT 'orders' AS feed, CAST(count(*) AS BIGINT) AS n_input,
   CAST(count(*) FILTER (WHERE reasons = '') AS BIGINT) AS n_valid,
   CAST(count(*) FILTER (WHERE reasons <> '') AS BIGINT) AS n_quarantined FROM wo_c
 UNION ALL
 SELECT 'sales', count(*), count(*) FILTER (WHERE reasons = ''), count(*) FILTER (WHERE reasons <> '') FROM ms_c
 UNION ALL
 SELECT 'refunds', count(*), count(*) FILTER (WHERE {REFUND_OK}),
-  count(*) FILTER (WHERE NOT coalesce({REFUND_OK}, false)) FROM mkt_refunds""", "wo_c", "ms_c", "mkt_refunds"),
+  count(*) FILTER (WHERE NOT coalesce({REFUND_OK}, false)) FROM mkt_refunds""", "wo_c", "ms_c", "mkt_refunds")
+       for name in ("dq_split_totals", "dq_split_observed")},
     "conform_orders": sql(f"SELECT {SALES_OUT} FROM web_s", "web_s"),
     "conform_sales": sql(f"SELECT {SALES_OUT} FROM mkt_s", "mkt_s"),
     "conform_products": sql("SELECT product_id, product_name, category, CAST(price AS DOUBLE) AS price, source_system FROM cp",
@@ -293,6 +294,11 @@ WHERE p OR c OR channel_key IS NULL""", "fk", "dp", "dcu"),
   AND transaction_date < TIMESTAMP '2024-01-15' THEN refund_amount ELSE 0 END AS DOUBLE) AS refund_amount,
   {day('transaction_date')} AS sale_date FROM st""", "st"),
     "load_range_run": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk", "fk"),
+    "load_by_parts": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk", "fk"),
+    "refund_totals_merged": sql(f"""SELECT original_transaction_id AS sale_id,
+  CAST(sum(CASE WHEN n % 3 = 0 THEN refund_amount + 1 ELSE refund_amount END) AS DOUBLE) AS refunded
+FROM (SELECT *, CAST(substr(refund_id, 9) AS BIGINT) AS n FROM mkt_refunds)
+WHERE {REFUND_OK} AND (n % 3 = 0 OR n % 5 <> 0) GROUP BY original_transaction_id""", "mkt_refunds"),
     "incremental_fact": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk", "fk"),
     "fact_rerun_idempotent": sql("SELECT " + FACT_OUT.format(t=ts(SEC.format(c="transaction_date"))) + " FROM fk",
                                  "fk"),

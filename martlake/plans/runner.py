@@ -1,4 +1,4 @@
-"""One load run over a date range: landing -> staged -> curated -> warehouse.
+"""One load run over date ranges: landing -> staged -> curated -> warehouse.
 
 ``land`` writes the operational feeds into the landing zone (CSV for the
 database extracts, NDJSON for marketplace feeds).  ``run_range`` then, for
@@ -6,24 +6,33 @@ the landing days in [start, end):
 
 1. reads the landing feeds by contract, classifies them and replaces their
    slices of the staged tables, by landing day (rows that landed without a
-   day are one slice); the invalid rows are the quarantine;
-2. rebuilds every event date that is in the range or that the landed rows
-   touch (late arrivals, other deliveries of the same sale, refunds) from
-   *all* staged rows of that date, whichever run landed them; of the
-   deliveries of one sale only the newest counts, whatever its date;
-3. upserts the product and customer dimensions (a new version each);
-4. settles refunds (each refund_id once, whatever its date) and replaces the
+   day are one slice); the invalid rows are the quarantine, and the split's
+   counts are observed on the writes;
+2. updates the indexes of sales and refunds (``operators.key_index``) and
+   asks them which event dates the landed rows touch (late arrivals, other
+   deliveries of the same sale, refunds);
+3. rebuilds every event date that is in the range or touched, from the
+   staged rows of the landing days that hold it, whichever run landed them;
+   of the deliveries of one sale only the newest counts, whatever its date;
+4. upserts the product and customer dimensions (a new version each);
+5. settles refunds (each refund_id once, whatever its date) and replaces the
    fact's slices of those dates.
 
 So the tables only depend on what has landed, not on which ranges were run,
-in which order or how often (asserted in the tests).  A full rebuild is just
-a wide range.
+in which order or how often (asserted in the tests), and a run reads staged
+rows of the dates it rebuilds and the indexes' buckets of its ids, not the
+history.  A full rebuild is just a wide range.
+
+A run first notes its ranges and what its landing days held before; the note
+is taken back when it ends.  A run that finds such a note (its
+predecessor broke off) loads those days too, whatever its own range.
 """
 
 from __future__ import annotations
 
 import datetime as dt
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,7 +40,7 @@ from pyspark.sql import types as T
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators import conform, dimensions, facts, quality, unify
+from martlake.operators import conform, dimensions, facts, key_index, quality, unify
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
 from martlake.sinks import files as sinks
@@ -57,12 +66,16 @@ def land(feeds: flows.Feeds, layout: Layout) -> None:
                             ["year", "month", "day"])
     sinks.write_csv_landing(feeds.products, layout.landing_products)
     sinks.write_csv_landing(feeds.customers, layout.landing_customers)
-    sinks.write_ndjson_landing(sinks.with_dated_keys(feeds.sales, "transaction_date"),
-                               layout.landing_sales, ["year", "month", "day"])
+    land_sales(feeds.sales, layout)
     sinks.write_ndjson_landing(sinks.with_dated_keys(feeds.refunds, "refund_date"),
                                layout.landing_refunds, ["year", "month", "day"])
 
 
+def land_sales(sales: DataFrame, layout: Layout) -> None:
+    sinks.write_ndjson_landing(sinks.with_dated_keys(sales, "transaction_date"), layout.landing_sales,
+                               ["year", "month", "day"])
+
+
 # feed -> (contract, format, rules, event time)
 DATED = {
     "orders": (C.ORDERS, "csv", quality.web_order_rules, "created_at"),
@@ -78,15 +91,15 @@ def staged_schema(feed: str) -> T.StructType:
         T.StructField(quality.REASONS, T.ArrayType(T.StringType())), T.StructField("is_valid", T.BooleanType())])
 
 
-def landed(spark: SparkSession, layout: Layout, feed: str, start: dt.date, end: dt.date) -> DataFrame:
-    """The classified rows of a dated landing feed of [start, end), and those
-    that landed without a day.
+def landed(spark: SparkSession, layout: Layout, feed: str, days) -> DataFrame:
+    """The classified rows of a dated landing feed of the landing ``days`` (a
+    predicate on the date), and those that landed without a day.
 
     An order whose time is missing or unreadable belongs to the day folder it
     landed in (the extract is per day), so it takes that day; without a day
     it is quarantined as ``undated`` (sales as ``bad_timestamp``)."""
     contract, fmt, rules, event = DATED[feed]
-    raw = sources.read_dated_feed(spark, getattr(layout, f"landing_{feed}"), contract, fmt, start, end)
+    raw = sources.read_dated_feed(spark, getattr(layout, f"landing_{feed}"), contract, fmt, days=days)
     if feed == "orders":
         undated = F.col(event).isNull() & F.col(LANDING_DAY).isNull()
         errors = F.array_remove(F.col(PARSE_ERRORS), f"bad_{event}")
@@ -106,13 +119,29 @@ def staged_valid(spark: SparkSession, layout: Layout, feed: str, days=None) -> D
     return staged(spark, layout, feed, days).filter("is_valid")
 
 
-def all_sales(spark: SparkSession, layout: Layout, web_refund_rule: bool, days=None) -> DataFrame:
-    """Every valid delivery of every sale, conformed, with its landing-independent sale_date."""
-    web = conform.web_sales(staged_valid(spark, layout, "orders", days), None, web_refund_rule)
-    mkt = conform.marketplace_sales(staged_valid(spark, layout, "sales", days), web_refund_rule)
+def all_sales(spark: SparkSession, layout: Layout, web_refund_rule: bool, days, dates) -> DataFrame:
+    """Every valid delivery for the event ``dates`` that landed on ``days`` (predicates), conformed, with its
+    landing-independent sale_date."""
+    def rows(feed: str) -> DataFrame:
+        return staged_valid(spark, layout, feed, days).filter(F.coalesce(dates(F.col(EVENT_DATE)), F.lit(False)))
+
+    web = conform.web_sales(rows("orders"), None, web_refund_rule)
+    mkt = conform.marketplace_sales(rows("sales"), web_refund_rule)
     return unify.union_all(web, mkt).withColumn("sale_date", S.sale_date("transaction_date"))
 
 
+def deliveries(spark: SparkSession, layout: Layout, days) -> DataFrame:
+    """sale_id, sale_date, newest (time), landing_day of the valid staged rows of the landing ``days``."""
+    web, mkt = (staged_valid(spark, layout, feed, days) for feed in ("orders", "sales"))
+    rest = [F.col(EVENT_DATE).alias("sale_date"), F.col("_at").alias("newest"), F.col(LANDING_DAY).alias("landing_day")]
+    return (web.withColumn("_at", F.col("created_at")).select(S.web_sale_id("order_id").alias("sale_id"), *rest)
+            .unionByName(mkt.withColumn("_at", F.col("transaction_date")).select(F.col("transaction_id").alias("sale_id"), *rest)))
+
+
+def landed_refunds(spark: SparkSession, layout: Layout, days) -> DataFrame:
+    return staged_valid(spark, layout, "refunds", days).withColumnRenamed(LANDING_DAY, "landing_day")
+
+
 def whole_extract(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
     """A full extract, classified and staged (the rows with reasons are its
     quarantine); its valid rows."""
@@ -123,88 +152,143 @@ def whole_extract(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
     return quality.valid(dimensions.read_latest(spark, path))
 
 
+Range = tuple[dt.date, dt.date]
+#: What a run notes before it replaces anything: its ranges, and the sales, dates and refunds its days held.
+NOTE = "sale_id string, sale_date date, refund_id string, start date, end date"
+
+
+def any_of(ranges: list[Range]):
+    """In one of the ranges [start, end)."""
+    return lambda day: reduce(lambda a, b: a | b, (slices.between(*r)(day) for r in ranges))
+
+
 def run_range(spark: SparkSession, layout: Layout, start: dt.date, end: dt.date,
               as_of: dt.datetime, web_refund_rule: bool = True) -> dict[str, dict]:
     """Load the landing days [start, end).  ``as_of`` is the ingestion time.
     Returns the range's split counts per feed."""
-    in_range = slices.between(start, end)
-
-    def restaged(day: Column) -> Column:  # the range's landing days and the slice without a day
-        return in_range(day) | day.isNull()
-
-    # what those landing days held before: rows that are gone or moved touch their dates too (slices.replace
-    # deletes no file, so these frames read the old folders)
-    gone = all_sales(spark, layout, web_refund_rule, restaged)
-    gone_refunds = staged_valid(spark, layout, "refunds", restaged)
+    return run_ranges(spark, layout, [(start, end)], as_of, web_refund_rule)
+
+
+def run_ranges(spark: SparkSession, layout: Layout, ranges: list[Range], as_of: dt.datetime, web_refund_rule: bool = True,
+               changed: DataFrame | None = None) -> dict[str, dict]:
+    """Load the landing days of the ranges.
+
+    ``changed`` (sale_id) says that of the sales on those days only these
+    were added or delivered anew (a stream's batch knows): then only the
+    event dates of these are rebuilt, and neither refunds nor the full
+    extracts are read again (unless the run before this one broke off)."""
+    before = dimensions.read_latest(spark, layout.unfinished, NOTE)
+    broken = [tuple(r) for r in before.filter("start IS NOT NULL").select("start", "end").distinct().collect()]
+    loaded = any_of([*ranges, *broken])
+    if broken:
+        changed = None
+
+    def restaged(day: Column) -> Column:  # the ranges' landing days and the slice without a day
+        return loaded(day) | day.isNull()
+
+    # what those landing days held before: rows that are gone or moved touch their dates too
+    marks = spark.createDataFrame([(None, None, None, *r) for r in ranges], NOTE)
+    note = before.unionByName(marks)
+    if changed is None:
+        note = (note.unionByName(deliveries(spark, layout, restaged).select("sale_id", "sale_date").distinct(), allowMissingColumns=True)
+                .unionByName(landed_refunds(spark, layout, restaged).select(
+                    F.col("original_transaction_id").alias("sale_id"), "refund_id"), allowMissingColumns=True))
+    dimensions.write_version(note, layout.unfinished)
+    gone = dimensions.read_latest(spark, layout.unfinished)
 
     # 1. each text feed is parsed once, into its slices of the staged table
-    for feed in DATED:
-        slices.replace(landed(spark, layout, feed, start, end), getattr(layout, f"staged_{feed}"), LANDING_DAY, restaged)
-
-    # 2. curated sales: the dates this run touches, from everything staged
-    mine = all_sales(spark, layout, web_refund_rule, restaged)
-    everything = all_sales(spark, layout, web_refund_rule)
-    late = touched_dates(everything, unify.union_all(mine, gone), unify.union_all(
-        staged_valid(spark, layout, "refunds", restaged), gone_refunds), start, end)
-
-    def touched(day: Column) -> Column:
-        return in_range(day) | day.isin(late) if late else in_range(day)
-
-    curated = newest_deliveries(everything, touched)
+    own, ok = F.coalesce(any_of(ranges)(F.col(LANDING_DAY)), F.lit(False)), F.col("is_valid")
+    counts = {"n_input": F.count_if(own), "n_valid": F.count_if(own & ok), "n_quarantined": F.count_if(own & ~ok)}
+    split = {feed: slices.replace(landed(spark, layout, feed, loaded), getattr(layout, f"staged_{feed}"), LANDING_DAY,
+                                  restaged, counts) for feed in DATED}
+
+    # 2. the indexes, and the dates this run touches
+    mine, refunds = deliveries(spark, layout, restaged), landed_refunds(spark, layout, restaged)
+    ids = (mine if changed is None else changed).select("sale_id").unionByName(
+        gone.filter("sale_date IS NOT NULL").select("sale_id"))
+    key_index.update_sales(mine, layout.sale_index, ids, restaged)
+    pairs = mine.select(F.col("landing_day").alias(LANDING_DAY), "sale_date").distinct()
+    slices.replace(pairs, layout.landed_dates, LANDING_DAY, restaged)
+    named = ids.unionByName(gone.select("sale_id"))
+    if changed is None:
+        refund_ids = refunds.select("refund_id").unionByName(gone.select("refund_id")).filter("refund_id IS NOT NULL")
+        resettled = key_index.update_refunds(
+            refunds, layout.refund_index, refund_ids, restaged, lambda sales: dimensions.write_version(gone.unionByName(
+                sales.withColumnRenamed("original_transaction_id", "sale_id"), allowMissingColumns=True), layout.unfinished))
+        named = named.unionByName(refunds.select(F.col("original_transaction_id").alias("sale_id"))).unionByName(
+            resettled.select(F.col("original_transaction_id").alias("sale_id")))
+    touched = touched_dates(spark, layout, named.filter("sale_id IS NOT NULL"), gone, None if changed is not None else loaded)
+
+    # 3. curated sales of those dates, from the landing days that hold them
+    curated = newest_deliveries(all_sales(spark, layout, web_refund_rule, days_holding(spark, layout, touched), touched),
+                                key_index.moved_sales(spark, layout.sale_index))
     slices.replace(curated, layout.curated_sales, "sale_date", touched)
     curated = slices.read(spark, layout.curated_sales, "sale_date", curated.schema, touched)
 
-    # 3. dimensions: new version from the current one
-    feeds = flows.Feeds(orders=None, refunds=None, products=whole_extract(spark, layout, "products"),
-                        customers=whole_extract(spark, layout, "customers"),
-                        sales=staged_valid(spark, layout, "sales", restaged).select(*C.MKT_SALES.fieldNames()))
-    dims = {}
-    for name, build in (("products", flows.dim_products), ("customers", flows.dim_customers)):
-        path = getattr(layout, f"dim_{name}")
-        dimensions.write_version(build(feeds, dimensions.read_latest(spark, path)), path)
-        dims[name] = dimensions.read_latest(spark, path)
+    # 4. dimensions: new version from the current one
+    sales = staged_valid(spark, layout, "sales", restaged).select(*C.MKT_SALES.fieldNames())
+    dims = upsert_dimensions(spark, layout, sales, with_extracts=changed is None)
     channels = dimensions.upsert_channels(
-        spark, layout.dim_channels, feeds.sales.select(F.col("marketplace_name").alias("channel_name")))
+        spark, layout.dim_channels, sales.select(F.col("marketplace_name").alias("channel_name")))
 
-    # 4. fact slices of the same dates, settled with all refunds there are
-    refunds = staged_valid(spark, layout, "refunds").select(*C.MKT_REFUNDS.fieldNames())
-    settled = refund_ops.settle(curated.drop("sale_date"), refunds)
+    # 5. fact slices of the same dates, settled with all refunds there are
+    totals = key_index.refund_totals(spark, layout.refund_index, curated.select("sale_id"))
+    settled = refund_ops.settle_totals(curated.drop("sale_date"), totals)
     fact = facts.lookup_keys(settled, dims["products"], dims["customers"], channels, as_of)
     slices.replace(fact, layout.fact_sales, "sale_date", touched)
-    return {feed: split_counts(spark, layout, feed, in_range) for feed in DATED}
-
-
-def touched_dates(everything: DataFrame, mine: DataFrame, refunds: DataFrame, start: dt.date,
-                  end: dt.date) -> list[dt.date]:
-    """Event dates outside [start, end) that the run's rows touch: their own
-    dates, the dates of other deliveries of their sales, and the dates of
-    sales that their refunds name.  Of the staged history only sale_id and
-    sale_date are read; the result has at most one date per calendar day."""
-    ids = unify.union_all(mine.select("sale_id"), refunds.select(F.col("original_transaction_id").alias("sale_id")))
-    outside = everything.select("sale_id", "sale_date").filter(~slices.between(start, end)(F.col("sale_date")))
-    dates = unify.union_all(outside.join(ids.distinct(), "sale_id", "left_semi"),
-                            mine.select("sale_id", "sale_date").filter(~slices.between(start, end)(F.col("sale_date")))
-                            ).select("sale_date").distinct()
-    return sorted(r[0] for r in dates.collect())
-
-
-def newest_deliveries(everything: DataFrame, touched) -> DataFrame:
-    """One row per sale of the touched dates, without the sales of which a
-    newer delivery stands on another date (so that one decides by its time;
-    of the other dates only sale_id and time are read)."""
-    own = unify.dedup_sales(everything.filter(touched(F.col("sale_date"))).drop("sale_date")).withColumn(
-        "sale_date", S.sale_date("transaction_date"))
-    elsewhere = (everything.filter(~touched(F.col("sale_date"))).groupBy("sale_id")
-                 .agg(F.max("transaction_date").alias("_other")))
-    return (own.join(elsewhere, "sale_id", "left")
-            .filter(F.col("_other").isNull() | (F.col("_other") < F.col("transaction_date"))).select(*own.columns))
-
-
-def split_counts(spark: SparkSession, layout: Layout, feed: str, days) -> dict:
-    ok = F.count_if("is_valid")
-    return staged(spark, layout, feed, days).agg(
-        F.count(F.lit(1)).alias("n_input"), ok.alias("n_valid"),
-        (F.count(F.lit(1)) - ok).alias("n_quarantined")).first().asDict()
+    dimensions.write_version(spark.createDataFrame([], NOTE), layout.unfinished)
+    return split
+
+
+def upsert_dimensions(spark: SparkSession, layout: Layout, sales: DataFrame, with_extracts: bool) -> dict[str, DataFrame]:
+    """Products and customers: from the full extracts and the sales, or (when there is a version already) from the
+    sales alone."""
+    paths = {name: getattr(layout, f"dim_{name}") for name in ("products", "customers")}
+    if with_extracts or dimensions.read_latest(spark, paths["products"]) is None:
+        feeds = flows.Feeds(orders=None, refunds=None, products=whole_extract(spark, layout, "products"),
+                            customers=whole_extract(spark, layout, "customers"), sales=sales)
+        build = {"products": flows.dim_products, "customers": flows.dim_customers}
+    else:
+        feeds = flows.Feeds(orders=None, refunds=None, products=None, customers=sources.empty(spark, C.CUSTOMERS), sales=sales)
+        build = {"customers": flows.dim_customers}
+    for name, fn in build.items():
+        dimensions.write_version(fn(feeds, dimensions.read_latest(spark, paths[name])), paths[name])
+    return {name: dimensions.read_latest(spark, path) for name, path in paths.items()}
+
+
+def touched_dates(spark: SparkSession, layout: Layout, ids: DataFrame, gone: DataFrame, loaded):
+    """A predicate on the event date: in the range (``loaded``), or a date of one of the sales ``ids`` in the index,
+    or one that a landing day held before.  There is at most one date per calendar day to collect."""
+    held = key_index.sale_entries(spark, layout.sale_index, ids).select("sale_date").unionByName(
+        gone.select("sale_date")).filter("sale_date IS NOT NULL")
+    if loaded is not None:
+        held = held.filter(~loaded(F.col("sale_date")))
+    dates = sorted(r[0] for r in held.distinct().collect())
+
+    def touched(day: Column) -> Column:
+        some = day.isin(dates) if dates else F.lit(False)
+        return some if loaded is None else loaded(day) | some
+
+    return touched
+
+
+def days_holding(spark: SparkSession, layout: Layout, touched):
+    """A predicate on the landing day: it landed deliveries for a touched date (at most one a calendar day)."""
+    schema = T.StructType([T.StructField(LANDING_DAY, T.DateType()), T.StructField("sale_date", T.DateType())])
+    found = slices.read(spark, layout.landed_dates, LANDING_DAY, schema).filter(touched(F.col("sale_date")))
+    days = [r[0] for r in found.select(LANDING_DAY).distinct().collect()]
+    named = [d for d in days if d is not None]
+    return lambda day: (day.isin(named) if named else F.lit(False)) | (day.isNull() if None in days else F.lit(False))
+
+
+def newest_deliveries(deliveries: DataFrame, moved: DataFrame) -> DataFrame:
+    """One row per sale of the dates at hand, without the sales of which a
+    newer delivery stands on another date (``moved``: the newest time of each
+    sale that stands on several)."""
+    own = unify.dedup_sales(deliveries.drop("sale_date")).withColumn("sale_date", S.sale_date("transaction_date"))
+    newest = moved.select("sale_id", F.col("newest").alias("_newest"))
+    return (own.join(newest, "sale_id", "left")
+            .filter(F.col("_newest").isNull() | (F.col("_newest") <= F.col("transaction_date"))).select(*own.columns))
 
 
 def read_fact(spark: SparkSession, layout: Layout, dates=None) -> DataFrame:

@@ -1,4 +1,4 @@
-"""Tables whose date slices are replaced.
+"""Tables whose slices (dates, or other values of a column) are replaced.
 
 Rows are written once, as plain Parquet sorted by the date, into a folder of
 their own below ``<path>/data``; a manifest says which folder holds each
@@ -14,40 +14,48 @@ from __future__ import annotations
 import uuid
 from typing import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from martlake.operators.dimensions import read_latest, write_version
 
-MANIFEST = "day date, folder string"
 _DAY, _FOLDER = "_slice_day", "_slice_folder"
 
 
-def _manifest(spark: SparkSession, path: str) -> DataFrame:
-    found = read_latest(spark, f"{path}/manifest")
-    return found if found is not None else spark.createDataFrame([], MANIFEST)
-
-
-def replace(rows: DataFrame, path: str, column: str, scope: Callable[[Column], Column]) -> None:
+def replace(rows: DataFrame, path: str, column: str, scope: Callable[[Column], Column],
+            metrics: dict[str, Column] | None = None) -> dict:
     """Make the slices whose date is in ``scope`` equal to ``rows`` (which
     holds no other dates).  A date in scope without rows is emptied; NULL is
-    a slice like any other."""
+    a slice like any other.
+
+    ``metrics`` (name -> aggregate) are observed on the rows as they are
+    written and returned.  They are taken in the writing stage itself, whose
+    tasks count once however often they are tried again."""
     spark = rows.sparkSession
     folder = uuid.uuid4().hex
-    (rows.hint("rebalance", column).sortWithinPartitions(column)
-     .write.parquet(f"{path}/data/{folder}"))
+    out = rows.hint("rebalance", column).sortWithinPartitions(column)
+    observed = Observation() if metrics else None
+    if observed is not None:
+        out = out.observe(observed, *[c.alias(name) for name, c in metrics.items()])
+    out.write.parquet(f"{path}/data/{folder}")
     written = (spark.read.schema(rows.schema).parquet(f"{path}/data/{folder}")
                .select(F.col(column).alias("day")).distinct().withColumn("folder", F.lit(folder)))
-    kept = _manifest(spark, path).filter(~F.coalesce(scope(F.col("day")), F.lit(False)))
-    write_version(kept.unionByName(written).coalesce(1), f"{path}/manifest")  # a row per date
+    manifest = read_latest(spark, f"{path}/manifest")
+    if manifest is not None:
+        kept = manifest.filter(~F.coalesce(scope(F.col("day")), F.lit(False)))
+        written = kept.unionByName(written)
+    write_version(written.coalesce(1), f"{path}/manifest")  # a row per date
+    return observed.get if observed is not None else {}
 
 
 def read(spark: SparkSession, path: str, column: str, schema: T.StructType | None = None,
          where: Callable[[Column], Column] | None = None) -> DataFrame | None:
     """The current rows (of the dates chosen by ``where``); None, or no rows
     of ``schema``, when there are none."""
-    manifest = _manifest(spark, path)
+    manifest = read_latest(spark, f"{path}/manifest")
+    if manifest is None:
+        return None if schema is None else spark.createDataFrame([], schema)
     if where is not None:
         manifest = manifest.filter(F.coalesce(where(F.col("day")), F.lit(False)))
     folders = [r[0] for r in manifest.select("folder").distinct().collect()]  # at most one per date

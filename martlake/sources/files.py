@@ -104,10 +104,10 @@ LANDING_DAY = "_landing_day"
 
 
 def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: str = "json",
-                    start: dt.date | None = None, end: dt.date | None = None) -> DataFrame:
+                    start: dt.date | None = None, end: dt.date | None = None, days=None) -> DataFrame:
     """A landing folder keyed ``year=YYYY/month=MM/day=DD`` (NDJSON or CSV),
-    reading only the day folders in [start, end) (either bound may be open)
-    plus the folder of rows that had no date, which the quality split
+    reading only the day folders in [start, end) (either bound may be open),
+    or those that ``days`` chooses (a predicate on the date), plus the folder of rows that had no date, which the quality split
     quarantines.  ``_landing_day`` carries each row's folder date (NULL for
     the undated folder).
 
@@ -122,12 +122,16 @@ def read_dated_feed(spark: SparkSession, path: str, typed: T.StructType, fmt: st
                .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN).option("pathGlobFilter", "*.json").json(path))
     else:
         raw = _csv(spark, typed).csv(path)
+    if "year" not in raw.columns:  # nothing has landed below it
+        return empty_out
     day = F.make_date("year", "month", "day")
     keep = F.lit(True)
     if start is not None:
         keep = keep & (day >= F.lit(start))
     if end is not None:
         keep = keep & (day < F.lit(end))
+    if days is not None:
+        keep = keep & days(day)
     raw = raw.filter(F.col("year").isNull() | keep).withColumn(LANDING_DAY, day).drop("year", "month", "day")
     return type_feed(raw, typed)
 
