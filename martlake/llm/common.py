@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import ctypes
 import os
+import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -47,8 +49,37 @@ def importable(spark: SparkSession) -> None:
         env["PYTHONPATH"] = os.pathsep.join(x for x in (root, env.get("PYTHONPATH")) if x)
 
 
+#: In a Python worker: the step it works for, and what that step keeps between its tasks.
+_kept: dict = {"step": None}
+
+
+def keep(name: str, make: Callable):
+    """What ``make`` gives, made once a worker and step; it goes when the worker turns to another step."""
+    if name not in _kept:
+        _kept[name] = make()
+    return _kept[name]
+
+
+def _turn_to(step: str) -> None:
+    """Workers serve one operator after the other: drop what the last one kept, and give its memory back."""
+    if _kept["step"] != step:
+        had = len(_kept) > 1
+        _kept.clear()
+        _kept["step"] = step
+        if had:
+            pa.default_memory_pool().release_unused()
+            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+                libc.malloc_trim(0)
+
+
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
               schema: str) -> DataFrame:
     small_batches(df.sparkSession)
     importable(df.sparkSession)
-    return df.mapInArrow(fn, schema)
+    step = uuid.uuid4().hex
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        _turn_to(step)
+        yield from fn(batches)
+
+    return df.mapInArrow(run, schema)

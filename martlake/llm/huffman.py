@@ -26,16 +26,19 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from martlake.llm.common import map_arrow, whole_text, written
-from martlake.llm.tokens import encoder
+from martlake.llm.tokens import encoder, id_width
 
+#: The longest code, where the vocabulary that occurs has that many ids or fewer; else as many bits as these need.
 MAX_BITS = 16
 EVERY = 512
 BLOCK_TOKENS = 1 << 20
 
 
 def code_lengths(counts: np.ndarray, max_bits: int = MAX_BITS) -> np.ndarray:
-    """Optimal code lengths of at most ``max_bits`` for positive counts (package-merge)."""
+    """Optimal code lengths of at most ``max_bits`` (or as many as that number of ids needs) for positive counts
+    (package-merge)."""
     n = len(counts)
+    max_bits = max(max_bits, (n - 1).bit_length())
     if n <= 1:
         return np.ones(n, np.uint8)
     order = np.argsort(counts, kind="stable")
@@ -121,11 +124,11 @@ def _encode_texts(path: str):
     return run
 
 
-def _count(path: str):
+def _count(width: np.dtype):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        enc, total = encoder(path), np.zeros(1, np.int64)
+        total = np.zeros(1, np.int64)
         for b in batches:
-            c = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), enc.dtype))
+            c = np.bincount(np.frombuffer(b"".join(b.column(0).to_pylist()), width))
             if len(c) > len(total):
                 total = np.pad(total, (0, len(c) - len(total)))
             total[:len(c)] += c
@@ -139,19 +142,19 @@ BLOCKS = ("file_no int, block_no int, first long, doc_ids array<long>, doc_token
           "checkpoints array<long>, payload binary")
 
 
-def _write_blocks(path: str, ids: np.ndarray, lengths: np.ndarray, block_tokens: int):
+def _write_blocks(width: np.dtype, ids: np.ndarray, lengths: np.ndarray, block_tokens: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
-        enc, code, file_no = encoder(path), Code(ids, lengths), TaskContext.get().partitionId()
+        code, file_no = Code(ids, lengths), TaskContext.get().partitionId()
         docs, raw, held, block_no, first = [], [], 0, 0, 0
         schema = pa.schema([("file_no", pa.int32()), ("block_no", pa.int32()), ("first", pa.int64()),
                             ("doc_ids", pa.list_(pa.int64())), ("doc_tokens", pa.list_(pa.int64())),
                             ("n_tokens", pa.int64()), ("checkpoints", pa.list_(pa.int64())), ("payload", pa.binary())])
 
         def block() -> pa.RecordBatch:
-            payload, at = code.encode(np.frombuffer(b"".join(raw), enc.dtype).astype(np.int64))
-            tokens = [len(r) // enc.dtype.itemsize for r in raw]
+            payload, at = code.encode(np.frombuffer(b"".join(raw), width).astype(np.int64))
+            tokens = [len(r) // width.itemsize for r in raw]
             return pa.RecordBatch.from_pylist([{
                 "file_no": file_no, "block_no": block_no, "first": first, "doc_ids": docs, "doc_tokens": tokens,
                 "n_tokens": held, "checkpoints": at.tolist(), "payload": payload}], schema)
@@ -160,7 +163,7 @@ def _write_blocks(path: str, ids: np.ndarray, lengths: np.ndarray, block_tokens:
             for doc, r in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
                 docs.append(doc)
                 raw.append(r)
-                held += len(r) // enc.dtype.itemsize
+                held += len(r) // width.itemsize
                 if held >= block_tokens:
                     yield block()
                     block_no, first = block_no + 1, first + held
@@ -194,12 +197,12 @@ def _code(spark: SparkSession, folder: str) -> tuple[np.ndarray, np.ndarray]:
 
 def write_files(docs: DataFrame, path: str, folder: str, block_tokens: int = BLOCK_TOKENS) -> None:
     """Encode every document and write the three tables below ``folder``."""
-    spark = docs.sparkSession
+    spark, width = docs.sparkSession, id_width(path)
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.monotonically_increasing_id().alias("row_id"),
                        whole_text().alias("text"))
     staged = written(map_arrow(rows, _encode_texts(path), "doc_id long, row_id long, ids binary"), "ids")
 
-    counts = (map_arrow(staged.select("ids"), _count(path), "id long, n long")
+    counts = (map_arrow(staged.select("ids"), _count(width), "id long, n long")
               .groupBy("id").agg(F.sum("n").alias("n")).collect())  # bounded by the vocabulary
     ids = np.array([r["id"] for r in counts], np.int64)
     lengths = code_lengths(np.array([r["n"] for r in counts], np.int64))
@@ -209,7 +212,7 @@ def write_files(docs: DataFrame, path: str, folder: str, block_tokens: int = BLO
     files = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ordered = (staged.repartitionByRange(files, F.col("doc_id").asc_nulls_first(), "row_id")
                .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), "row_id").select("doc_id", "ids"))
-    map_arrow(ordered, _write_blocks(path, ids, lengths, block_tokens), BLOCKS).write.parquet(f"{folder}/blocks")
+    map_arrow(ordered, _write_blocks(width, ids, lengths, block_tokens), BLOCKS).write.parquet(f"{folder}/blocks")
 
     sizes = (spark.read.schema(BLOCKS).parquet(f"{folder}/blocks").groupBy("file_no")
              .agg(F.sum("n_tokens").alias("n")).orderBy("file_no").collect())  # one row a file
