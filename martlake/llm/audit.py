@@ -153,7 +153,7 @@ def flagged(docs: DataFrame, labels: DataFrame, part: str) -> DataFrame:
     return written(judged.union(nameless), "flagged")
 
 
-def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _posted(range_rows: int):
     """The lists of each part, a range of row numbers at a time."""
     schema = pa.schema([("part", pa.string()), ("first", pa.int64()), ("n", pa.int64()),
                         *((c, pa.list_(pa.int64())) for c in LISTS)])
@@ -172,22 +172,25 @@ def _posted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         **{c: ids[f[here]].tolist() for c, f in zip(LISTS, flags)}})
         return pa.RecordBatch.from_pylist(out, schema)
 
-    held, n = [], 0
-    for b in batches:
-        if n and n + b.num_rows > RANGE:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, n = [], 0
+        for b in batches:
+            if n and n + b.num_rows > range_rows:
+                yield lists(held)
+                held, n = [], 0
+            if b.num_rows:
+                held.append(b)
+                n += b.num_rows
+        if held:
             yield lists(held)
-            held, n = [], 0
-        if b.num_rows:
-            held.append(b)
-            n += b.num_rows
-    if held:
-        yield lists(held)
+
+    return run
 
 
-def post(rows: DataFrame) -> DataFrame:
+def post(rows: DataFrame, range_rows: int = RANGE) -> DataFrame:
     """The posting lists: one row a part and range (POSTINGS), written."""
     numbered = rows.select("part", F.monotonically_increasing_id().alias("number"), "mask", "good", "toxic")
-    return written(map_arrow(numbered, _posted, POSTINGS), "postings")
+    return written(map_arrow(numbered, _posted(range_rows), POSTINGS), "postings")
 
 
 def _merged(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -227,10 +230,10 @@ def step_orders() -> list[tuple]:
     return out
 
 
-def audit(docs: DataFrame, labels: DataFrame, part: str = "source") -> DataFrame:
+def audit(docs: DataFrame, labels: DataFrame, part: str = "source", range_rows: int = RANGE) -> DataFrame:
     """A row for each part, order of the filters and step, zeros included."""
     spark = docs.sparkSession
-    postings = post(flagged(docs, labels, part))
+    postings = post(flagged(docs, labels, part), range_rows)
     sums = written(map_arrow(postings.drop("first", "n"), _merged, "part string, key long, n long, good long, toxic long")
                    .groupBy("part", "key").agg(*[F.sum(c).alias(c) for c in ("n", "good", "toxic")]), "sums")
     looked = sums.groupBy("part").agg(F.map_from_entries(F.collect_list(  # 112 entries at most

@@ -33,8 +33,8 @@ from pyspark.sql import functions as F
 
 from martlake.llm.common import importable, map_arrow, small_batches, written
 
+#: Children of a node, and levels of a block above its leaves.
 FAN, HEIGHT = 8, 4
-BLOCK = FAN ** HEIGHT
 BLOCKS = "part string, block long, n long, height int, nodes binary"
 PATHS = "part string, block long, subroot string, siblings string, shape binary"
 
@@ -126,18 +126,17 @@ def ranked(rows: DataFrame, part: str, order: list[str], name: str) -> DataFrame
 # ---------------------------------------------------------------------------
 # Construction
 # ---------------------------------------------------------------------------
-def _height(n: int) -> int:
-    """Of the blocks of a tree with n leaves at this level: the least that holds them all, HEIGHT at most."""
-    return next((h for h in range(HEIGHT) if FAN ** h >= n), HEIGHT)
-
+def _build(height: int):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by("pos")
+        n = rows.column("n")[0].as_py()
+        # the only block of a part is as high as its leaves need
+        own = next((h for h in range(height) if FAN ** h >= n), height)
+        tree = Subtree.build(rows.column("digest").to_pylist(), own)
+        return pa.table({"part": rows.column("part")[:1], "block": rows.column("block")[:1], "n": pa.array([n], pa.int64()),
+                         "height": pa.array([own], pa.int32()), "nodes": pa.array([tree.nodes.tobytes()], pa.binary())})
 
-def _build(rows: pa.Table) -> pa.Table:
-    rows = rows.sort_by("pos")
-    n = rows.column("n")[0].as_py()
-    tree = Subtree.build(rows.column("digest").to_pylist(), _height(n))
-    return pa.table({"part": rows.column("part")[:1], "block": pa.array([rows.column("pos")[0].as_py() // BLOCK], pa.int64()),
-                     "n": pa.array([n], pa.int64()), "height": pa.array([tree.height], pa.int32()),
-                     "nodes": pa.array([tree.nodes.tobytes()], pa.binary())})
+    return run
 
 
 def _root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -148,43 +147,49 @@ def _root(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                                          ["part", "pos", "digest", "n"])
 
 
-def build_trees(leaves: DataFrame, folder: str) -> tuple[list[DataFrame], DataFrame]:
+def build_trees(leaves: DataFrame, folder: str, height: int) -> tuple[list[DataFrame], DataFrame]:
     """Write the blocks of a tree per part (``leaves``: part, pos, digest, n); the levels, and part, root."""
-    spark, levels, roots = leaves.sparkSession, [], None
+    spark, block, levels, roots = leaves.sparkSession, FAN ** height, [], None
     small_batches(spark)
     importable(spark)
     while True:
         path = f"{folder}/level={len(levels)}"
-        rows = leaves.select("part", "pos", "digest", "n", F.expr(f"pos div {BLOCK}").alias("block"))
-        rows.groupBy("part", "block").applyInArrow(_build, BLOCKS).write.parquet(path)
+        rows = leaves.select("part", "pos", "digest", "n", F.expr(f"pos div {block}").alias("block"))
+        rows.groupBy("part", "block").applyInArrow(_build(height), BLOCKS).write.parquet(path)
         blocks = spark.read.schema(BLOCKS).parquet(path)
         levels.append(blocks)
         tops = map_arrow(blocks.select("part", F.col("block").alias("pos"), "height", "nodes", "n"), _root,
                          "part string, pos long, digest string, n long")
-        done = tops.where(F.col("n") <= BLOCK).select("part", F.col("digest").alias("root"))
+        done = tops.where(F.col("n") <= block).select("part", F.col("digest").alias("root"))
         roots = done if roots is None else roots.union(done)
-        if blocks.where(F.col("n") > BLOCK).isEmpty():
+        if blocks.where(F.col("n") > block).isEmpty():
             return levels, roots
-        leaves = tops.where(F.col("n") > BLOCK).withColumn("n", F.expr(f"(n + {BLOCK - 1}) div {BLOCK}"))
+        leaves = tops.where(F.col("n") > block).withColumn("n", F.expr(f"(n + {block - 1}) div {block}"))
 
 
 # ---------------------------------------------------------------------------
 # Paths
 # ---------------------------------------------------------------------------
-def _hand_down(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _hand_down(height: int):
     """Each block's leaves with the siblings above them."""
-    for b in batches:
-        for row in b.to_pylist():
-            leaves = min(row["n"] - row["block"] * BLOCK, BLOCK)
-            tree = Subtree(np.frombuffer(row["nodes"], np.uint8).reshape(-1, 32), leaves, row["height"])
-            siblings, shape = zip(*tree.paths(row["siblings"], row["shape"]))
-            yield pa.RecordBatch.from_arrays([
-                pa.array([row["part"]] * leaves, pa.string()), pa.array(np.arange(leaves) + row["block"] * BLOCK),
-                pa.array([row["subroot"]] * leaves, pa.string()), pa.array(siblings, pa.string()), pa.array(shape, pa.binary())],
-                ["part", "block", "subroot", "siblings", "shape"])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        size = FAN ** height
+        for b in batches:
+            for row in b.to_pylist():
+                first = row["block"] * size
+                leaves = min(row["n"] - first, size)
+                tree = Subtree(np.frombuffer(row["nodes"], np.uint8).reshape(-1, 32), leaves, row["height"])
+                siblings, shape = zip(*tree.paths(row["siblings"], row["shape"]))
+                yield pa.RecordBatch.from_arrays([
+                    pa.array([row["part"]] * leaves, pa.string()), pa.array(np.arange(leaves) + first),
+                    pa.array([row["subroot"]] * leaves, pa.string()), pa.array(siblings, pa.string()), pa.array(shape, pa.binary())],
+                    ["part", "block", "subroot", "siblings", "shape"])
+
+    return run
 
 
-def hand_down(levels: list[DataFrame], above: DataFrame) -> DataFrame:
+def hand_down(levels: list[DataFrame], above: DataFrame, height: int) -> DataFrame:
     """The lowest blocks with the siblings above their roots; ``above`` (PATHS, block 0) holds those of each part's
     root."""
     paths = None
@@ -193,9 +198,9 @@ def hand_down(levels: list[DataFrame], above: DataFrame) -> DataFrame:
         handed = above.withColumn("whole", F.lit(True))
         if paths is not None:
             handed = handed.union(paths.withColumn("whole", F.lit(False)))
-        at = levels[k].withColumn("whole", F.col("n") <= BLOCK).join(handed, ["part", "block", "whole"]).drop("whole")
+        at = levels[k].withColumn("whole", F.col("n") <= FAN ** height).join(handed, ["part", "block", "whole"]).drop("whole")
         if k:
-            paths = written(map_arrow(at, _hand_down, PATHS), "paths")
+            paths = written(map_arrow(at, _hand_down(height), PATHS), "paths")
     return at
 
 
@@ -230,7 +235,7 @@ def leaf_digest(columns: list[Column]) -> Column:
     return F.sha2(F.concat(*[field(c) for c in columns]), 256)
 
 
-def write_manifest(rows: DataFrame, folder: str) -> None:
+def write_manifest(rows: DataFrame, folder: str, height: int = HEIGHT) -> None:
     """``rows``: part (null: a part of its own), doc_id, leaf, presented (the digest to be verified later)."""
     spark = rows.sparkSession
     # no part is null from here on, and the order of parts is kept
@@ -239,10 +244,10 @@ def write_manifest(rows: DataFrame, folder: str) -> None:
     ordered = ranked(written(named, "digests"), "part", ["doc_id", "leaf", "_tie"], "ordered")
     ordered.drop("_tie").write.parquet(f"{folder}/leaves")
     leaves = spark.read.parquet(f"{folder}/leaves")
-    _, roots = build_trees(leaves.withColumnRenamed("leaf", "digest"), f"{folder}/documents")
+    _, roots = build_trees(leaves.withColumnRenamed("leaf", "digest"), f"{folder}/documents", height)
     roots.write.parquet(f"{folder}/roots")
     tops = ranked(spark.read.parquet(f"{folder}/roots").withColumn("whole", F.lit("")), "whole", ["part"], "parts")
-    build_trees(tops.select(F.col("whole").alias("part"), "pos", F.col("root").alias("digest"), "n"), f"{folder}/parts")
+    build_trees(tops.select(F.col("whole").alias("part"), "pos", F.col("root").alias("digest"), "n"), f"{folder}/parts", height)
     tops.select("part", "root", "pos").write.parquet(f"{folder}/order")
 
 
@@ -259,17 +264,18 @@ def read_root(spark: SparkSession, folder: str) -> str | None:
     return top and Subtree(np.frombuffer(top["nodes"], np.uint8).reshape(-1, 32), 1, top["height"]).root()
 
 
-def verify(spark: SparkSession, folder: str) -> DataFrame:
-    """doc_id, leaf, subroot, root, proof_sha256, folded_root (from the presented leaf), verified of every row."""
+def verify(spark: SparkSession, folder: str, height: int = HEIGHT) -> DataFrame:
+    """doc_id, leaf, subroot, root, proof_sha256, folded_root (from the presented leaf), verified of every row of a manifest of
+    that height."""
     small_batches(spark)
     importable(spark)
     start = spark.createDataFrame([("", 0, "", "", b"")], PATHS)
-    tops = map_arrow(hand_down(_levels(spark, f"{folder}/parts"), start), _hand_down, PATHS)
+    tops = map_arrow(hand_down(_levels(spark, f"{folder}/parts"), start, height), _hand_down(height), PATHS)
     order = spark.read.parquet(f"{folder}/order").select("part", F.col("root").alias("subroot"), F.col("pos").alias("block"))
     above = written(tops.drop("part", "subroot").join(order, "block").select(
         "part", F.lit(0).cast("long").alias("block"), "subroot", "siblings", "shape"), "above")
-    blocks = hand_down(_levels(spark, f"{folder}/documents"), above)
-    rows = spark.read.parquet(f"{folder}/leaves").withColumn("block", F.expr(f"pos div {BLOCK}"))
+    blocks = hand_down(_levels(spark, f"{folder}/documents"), above, height)
+    rows = spark.read.parquet(f"{folder}/leaves").withColumn("block", F.expr(f"pos div {FAN ** height}"))
     return rows.groupBy("part", "block").cogroup(blocks.groupBy("part", "block")).applyInArrow(
         _proofs(read_root(spark, folder)), "doc_id long, leaf string, subroot string, root string, proof_sha256 string, "
         "folded_root string, verified boolean")
