@@ -8,9 +8,9 @@ threshold.
 
 Equal sets are one node.  In each table's bucket every node is compared with the smallest one on the full sets; the
 links found join nodes to classes.  Buckets that still hold more than one class are gathered by their smallest class,
-and there every node outside that class is compared on full sets with all nodes of other classes, in blocks (a block
-of queries against a block of nodes a task).  So every pair that meets in a table is either compared or in one class
-already; nothing is capped, and a bucket is never gathered in one task.
+and there every node outside that class is compared on full sets with all nodes of other classes, in blocks
+(``links.links_in_groups``).  So every pair that meets in a table is either compared or in one class already, whatever
+the size of its bucket; nothing is capped, and a bucket is never gathered in one task.
 
 Defined results: a text without words has an empty set and is linked with nothing.  A row without doc_id is not
 linked: its component_id is null and it is kept.  Rows with equal doc_id are one vertex, linked through any of their
@@ -28,10 +28,11 @@ from pyspark.sql import functions as F
 
 from martlake.llm.common import map_arrow, written
 from martlake.llm.components import components
-from martlake.llm.shingles import minhashes, mix, overlap, shingle_sets
+from martlake.llm.links import linked_pairs, links_in_groups, parts, sets_of
+from martlake.llm.shingles import minhashes, mix, shingle_sets
+from martlake.session import scratch_path
 
 RECALL = 0.9998
-QUERY_BLOCK, NODE_BLOCK, SMALL_GROUP = 256, 2048, 64
 
 
 def halves_for(threshold: float, rows: int, recall: float) -> int:
@@ -41,20 +42,6 @@ def halves_for(threshold: float, rows: int, recall: float) -> int:
     return m
 
 
-def _parts(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list, list]]:
-    """doc_ids and texts of a batch, in parts of about that many characters."""
-    ids, texts, n = [], [], 0
-    for doc, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-        ids.append(doc)
-        texts.append(text)
-        n += len(text or "")
-        if n >= chars:
-            yield ids, texts
-            ids, texts, n = [], [], 0
-    if ids:
-        yield ids, texts
-
-
 def _sums(values: np.ndarray, offsets: np.ndarray) -> np.ndarray:
     out = np.zeros(len(offsets) - 1, np.uint64)
     full = np.diff(offsets) > 0
@@ -68,7 +55,7 @@ def _sketch(k: int, rows: int, halves: int):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            for ids, texts in _parts(b):
+            for ids, texts in parts(b):
                 sets, at = shingle_sets(texts, k)
                 mins = minhashes(sets, at, 2 * halves * rows)
                 cols = [np.diff(at), _sums(sets, at).view(np.int64), _sums(mix(sets ^ np.uint64(k)), at).view(np.int64)]
@@ -83,90 +70,6 @@ def _sketch(k: int, rows: int, halves: int):
     return run, ", ".join(f"{n} long" for n in names)
 
 
-def _sets(k: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for ids, texts in _parts(b):
-                sets, at = shingle_sets(texts, k)
-                rows = [sets[a:z].tobytes() for a, z in zip(at[:-1], at[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(rows, pa.binary())],
-                                                 ["node", "shingles"])
-
-    return run
-
-
-def _linked(both: int, a: int, b: int, share: int) -> bool:
-    return 100 * both >= share * (a + b - both)
-
-
-def _verify(share: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            a, b, x, y = (batch.column(c) for c in ("a", "b", "set_a", "set_b"))
-            keep = []
-            for k in range(batch.num_rows):
-                p, q = np.frombuffer(x[k].as_py(), np.uint64), np.frombuffer(y[k].as_py(), np.uint64)
-                keep.append(_linked(min(len(p), len(q)), len(p), len(q), share)
-                            and _linked(overlap(p, q), len(p), len(q), share))
-            yield pa.RecordBatch.from_arrays([a, b], ["a", "b"]).filter(pa.array(keep, pa.bool_()))
-
-    return run
-
-
-def _compare_block(share: int):
-    """Queries against nodes of other classes; a link to each class that a query reaches."""
-
-    def run(rows: pa.Table) -> pa.Table:
-        sets = [np.frombuffer(s, np.uint64) for s in rows.column("shingles").to_pylist()]
-        node, comp = rows.column("node").to_numpy(), rows.column("component").to_numpy()
-        query = rows.column("query").to_numpy(zero_copy_only=False).astype(bool)
-        data = np.flatnonzero(~query)
-        size = np.array([len(sets[d]) for d in data], np.int64)
-        values = np.concatenate([sets[d] for d in data] or [np.zeros(0, np.uint64)])
-        by = np.argsort(values, kind="stable")
-        values, owner = values[by], np.repeat(np.arange(len(data)), size)[by]
-        a, b = [], []
-        for q in np.flatnonzero(query):
-            low, high = np.searchsorted(values, sets[q], "left"), np.searchsorted(values, sets[q], "right")
-            n = high - low
-            at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - low, n)
-            both = np.bincount(owner[at], minlength=len(data))
-            hit = (100 * both >= share * (len(sets[q]) + size - both)) & (comp[data] != comp[q])
-            for c in {int(comp[d]): int(node[d]) for d in data[hit]}.values():
-                a.append(int(node[q]))
-                b.append(c)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
-
-    return run
-
-
-def _rest(members: DataFrame, classes: DataFrame, sets: DataFrame, share: int) -> DataFrame:
-    """Links between classes that meet in a bucket, compared in blocks."""
-    m = written(members.join(classes, "node", "left").select(
-        "key", "node", F.coalesce("component", "node").alias("component")), "classes")
-    opened = written(m.groupBy("key").agg(F.min("component").alias("label"), F.max("component").alias("last"))
-                     .where("label != last").select("key", "label"), "open")
-    groups = written(m.join(opened, "key").select("label", "node", "component").distinct(), "groups")
-    sizes = written(groups.groupBy("label").agg(F.count("*").alias("n"), F.count_if(F.col("component") != F.col("label"))
-                                                .alias("queries")), "group-sizes")
-    g = groups.join(sizes, "label")
-    # groups of a few rows share tasks; pairs across groups are compared too, which can only find true links
-    small = F.col("n") <= SMALL_GROUP
-    pools = max(1, -(-(sizes.where(small).agg(F.sum("n")).first()[0] or 0) // NODE_BLOCK))
-    name = F.when(small, F.pmod(F.xxhash64("label"), F.lit(pools))).otherwise(F.col("label"))
-    nq = F.when(small, 1).otherwise(F.ceil(F.col("queries") / QUERY_BLOCK)).cast("long")
-    nd = F.when(small, 1).otherwise(F.ceil(F.col("n") / NODE_BLOCK)).cast("long")
-    own_q, own_d = F.pmod(F.xxhash64("node"), nq), F.pmod(F.xxhash64("node", F.lit(1)), nd)
-    zero = F.lit(0).cast("long")
-    cols = [small.alias("small"), name.alias("name"), "node", "component"]
-    queries = g.where("component != label").select(
-        *cols, F.lit(True).alias("query"), own_q.alias("q"), F.explode(F.sequence(zero, nd - 1)).alias("d"))
-    data = g.select(*cols, F.lit(False).alias("query"), own_d.alias("d"),
-                    F.explode(F.sequence(zero, nq - 1)).alias("q")).select(*queries.columns)
-    rows = queries.union(data).distinct().join(sets, "node")
-    return rows.groupBy("small", "name", "q", "d").applyInArrow(_compare_block(share), "a long, b long")
-
-
 def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3, recall: float = RECALL) -> DataFrame:
     """doc_id, n_shingles, component_id, kept; linked: 100 * intersection >= share * union."""
     halves = halves_for(share / 100, rows, recall)
@@ -175,24 +78,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3,
     sketches = written(map_arrow(docs, sketch, schema), "sketches")
 
     key_cols = [f"{h}{i}" for h in "xy" for i in range(halves)]
+    tasks = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     nodes = written(sketches.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_a", "set_b", "n_shingles")
-                    .agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in key_cols]), "nodes")
+                    .agg(F.min("doc_id").alias("node"), *[F.first(c).alias(c) for c in key_cols])
+                    .repartition(tasks, "node"), "nodes")  # a node becomes a row a table: spread before that
     keys = [F.xxhash64(F.lit(i * halves + j), f"x{i}", f"y{j}") for i in range(halves) for j in range(halves)]
     buckets = nodes.select("node", F.explode(F.array(*keys)).alias("key"))
     shared = written(buckets.groupBy("key").agg(F.min("node").alias("first"), F.max("node").alias("last"))
                      .where("first != last").select("key", "first"), "buckets")
     members = written(buckets.join(shared, "key"), "members")
 
-    wanted = members.select(F.col("node").alias("doc_id")).distinct()
-    # wanted ids grow with the corpus: a shuffle join at every size
-    sets = written(map_arrow(docs.join(wanted.hint("merge"), "doc_id", "left_semi"), _sets(k), "node long, shingles binary"), "sets")
+    sets = sets_of(docs, members.select(F.col("node").alias("doc_id")).distinct(), k)
     pairs = members.where("node != first").select(F.col("first").alias("a"), F.col("node").alias("b")).distinct()
-    left = sets.select(F.col("node").alias("a"), F.col("shingles").alias("set_a"))
-    right = sets.select(F.col("node").alias("b"), F.col("shingles").alias("set_b"))
-    links = written(map_arrow(pairs.join(right, "b").join(left, "a").select("a", "b", "set_a", "set_b"),
-                              _verify(share), "a long, b long"), "links")
-
-    more = _rest(members, components(links), sets, share)
+    links = written(linked_pairs(pairs, sets, share), "links")
+    more = links_in_groups(members.select("key", "node"), components(links), sets, share)
     classes = components(links.union(more))
     # rows with equal doc_id and different texts are nodes of one name: they meet here by that name
     by_set = nodes.join(classes, "node", "left").select(
@@ -201,3 +100,20 @@ def near_duplicates(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3,
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "doc_id"))
     return found.select("doc_id", "n_shingles", component.alias("component_id"),
                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+def one_of_each(docs: DataFrame, k: int = 5, share: int = 80, rows: int = 3, recall: float = RECALL) -> DataFrame:
+    """The rows of ``docs`` without near duplicates: of each class the row with the smallest doc_id stays, one without
+    doc_id only if none has one, and of rows equal in that the first.  Every row is a vertex of its own (a written
+    number), so rows that share a doc_id or have none are compared by their texts like any others; a row without words
+    always stays."""
+    path = scratch_path(docs.sparkSession, "numbered")
+    docs.select(F.struct("*").alias("row"), F.monotonically_increasing_id().alias("number")).write.parquet(path)
+    numbered = docs.sparkSession.read.parquet(path)
+    found = near_duplicates(numbered.select(F.col("number").alias("doc_id"), F.col("row.text").alias("text")), k, share, rows, recall)
+    classes = written(found.select(F.col("doc_id").alias("number"), "component_id"), "found")
+    named = numbered.select("number", F.col("row.doc_id").alias("doc_id")).join(classes.hint("merge"), "number")
+    kept = named.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("nameless"), "doc_id", "number"))
+                                             .alias("least")).select("least.number")
+    # kept numbers grow with the corpus: a shuffle join at every size
+    return numbered.join(kept.hint("merge"), "number", "left_semi").select("row.*")
