@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from martlake.llm import langid, pii
 from martlake.llm.common import table, written
 from martlake.llm.fmindex import remove_passages
-from martlake.llm.neardup import near_duplicates
+from martlake.llm.neardup import one_of_each
 from martlake.llm.packing import pack_documents
 from martlake.llm.tokens import vocabulary_path
 from martlake.session import scratch_path
@@ -26,37 +26,35 @@ def _sized(docs: DataFrame) -> DataFrame:
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose language is told; a text without letters or far from every centroid goes."""
+    """Documents whose language is told; a text without letters (null and empty ones too) or far from every centroid
+    goes.  Rows are judged one by one, so repeated rows and ids share their fate; an empty table stays empty."""
     model = langid.fit(docs.where(~langid.held_out(F.col("doc_id"))).select("doc_id", "text", "lang"))
     kept = langid.predict(docs, model).where("NOT rejected")
     return kept.select(*[F.col(f"row.`{c}`").alias(c) for c in docs.columns])
 
 
 def near_duplicate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group, the one with the smallest doc_id; of rows with that id, one."""
-    found = near_duplicates(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY, RECALL)
-    kept = written(found.where("kept AND doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies")),
-                   "kept")
-    # kept ids grow with the corpus: a shuffle join at every size
-    named = docs.join(kept.where("copies = 1").select("doc_id").hint("merge"), "doc_id", "left_semi")
-    columns = [F.col(f"`{c}`") for c in docs.columns]
-    again = (docs.join(kept.where("copies > 1").select("doc_id"), "doc_id", "left_semi").groupBy("doc_id")
-             .agg(F.min_by(F.struct(*columns), F.md5("text")).alias("row")).select("row.*"))
-    return named.select(*columns).union(again.select(*columns)).union(docs.where("doc_id IS NULL"))
+    """One document of each group, the one with the smallest doc_id (a document without one only if the group has no
+    other).  Rows that share a doc_id or have none are told apart by their texts alone; texts without words (null and
+    empty ones too) all stay; an empty table stays empty; other columns are kept whatever their names."""
+    return one_of_each(docs, SHINGLE_WORDS, SIMILARITY, MINHASHES_A_KEY, RECALL)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents without the words of benchmark passages."""
+    """The documents without the words of benchmark passages.  All rows stay, null texts as null, and each is searched
+    whole; an empty table or benchmark changes nothing."""
     return _sized(remove_passages(docs, table(spark, sf_dir, "benchmark")))
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents with personal data and disclosing terms replaced."""
+    """The documents with personal data and disclosing terms replaced.  All rows stay, null texts as null, repeated
+    rows alike; an empty table stays empty."""
     return _sized(pii.sanitise(docs))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row per packed piece of the kept documents."""
+    """One row per packed piece of the kept documents: a null or empty text is its end id alone, repeated rows are
+    documents of their own, a very long text is cut over several sequences, an empty table gives no rows."""
     return pack_documents(docs, vocabulary_path("byte_bpe_50k.json"))
 
 
