@@ -49,8 +49,11 @@ def committed_versions(spark: SparkSession, path: str) -> list[int]:
 
 
 def read_latest(spark: SparkSession, path: str, schema=None) -> DataFrame | None:
+    """The newest committed version, or the current rows of a table of buckets."""
     versions = committed_versions(spark, path)
     if not versions:
+        if committed_versions(spark, f"{path}/manifest"):
+            return _slices().read(spark, path, BUCKET).drop(BUCKET)
         return None if schema is None else spark.createDataFrame([], schema)
     return spark.read.parquet(f"{path}/version={versions[-1]}")
 
@@ -131,6 +134,55 @@ def scd1_upsert(current: DataFrame | None, incoming: DataFrame, key_col: str,
     return matched_or_kept.unionByName(new_keys)
 
 
+# --------------------------------------------------------------------------
+# SCD1 upsert of a table of buckets
+# --------------------------------------------------------------------------
+BUCKET, BUCKETS = "_bucket", 256
+
+
+def _slices():
+    from martlake.sinks import slices  # which reads and writes its manifest with the functions above
+
+    return slices
+
+
+def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key_col: str, natural_keys: list[str],
+                   order_col: str | None = None) -> list[int]:
+    """``scd1_upsert`` into a table split by hash bucket of the natural key: incoming rows that say what a
+    member says already touch nothing, and only buckets with a new or changed member are written again.  One commit (a
+    new manifest); returns the buckets written (BUCKETS at most)."""
+    slices = _slices()
+    attrs = [c for c in incoming.columns if c not in natural_keys and c != key_col]
+    src = first_by(incoming.dropna(subset=natural_keys), natural_keys, order_col or attrs[0]).select(*natural_keys, *attrs)
+    src = src.withColumn(BUCKET, F.pmod(F.xxhash64(*natural_keys), F.lit(BUCKETS)).cast("int"))
+    if read_latest(spark, path) is None:
+        first = assign_keys(src, natural_keys, key_col, 0)
+        slices.replace(first, path, BUCKET, lambda b: F.lit(True))
+        return sorted(r[0] for r in slices.read(spark, path, BUCKET).select(BUCKET).distinct().collect())
+    current = slices.read(spark, path, BUCKET)
+    own = current.select(key_col, *natural_keys, *[F.col(a).alias(f"_t_{a}") for a in attrs])
+    same = F.lit(True)
+    for a in attrs:
+        same = same & F.col(a).eqNullSafe(F.col(f"_t_{a}"))
+    differs = src.join(own, natural_keys, "left").filter(F.col(key_col).isNull() | ~same).select(key_col, *src.columns)
+    staged = scratch_path(spark, "changed")
+    differs.write.parquet(staged)
+    changed = spark.read.schema(differs.schema).parquet(staged)
+    numbers = sorted(r[0] for r in changed.select(BUCKET).distinct().collect())
+    if not numbers:
+        return []
+    def touched(b):
+        return b.isin(numbers)
+
+    new = assign_keys(changed.filter(F.col(key_col).isNull()).drop(key_col), natural_keys, key_col, max_key(current, key_col))
+    renewed = changed.filter(F.col(key_col).isNotNull())
+    kept = slices.read(spark, path, BUCKET, where=touched).join(renewed.select(key_col), key_col, "left_anti")
+    columns = [key_col, *natural_keys, *attrs, BUCKET]
+    rows = kept.select(*columns).unionByName(renewed.select(*columns)).unionByName(new.select(*columns))
+    slices.replace(rows, path, BUCKET, touched)
+    return numbers
+
+
 # --------------------------------------------------------------------------
 # Channels
 # --------------------------------------------------------------------------

@@ -19,7 +19,7 @@ from pyspark.sql import types as T
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators import checks, conform, dimensions, facts, key_index, quality, refunds, unify
+from martlake.operators import checks, conform, dimensions, facts, key_index, quality, refunds, summaries, unify
 from martlake.plans import flows, runner
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
@@ -92,6 +92,30 @@ def fact_channel_revenue(spark, sf_dir):
     return flows.fact_channel_revenue(flows.fact_sales(spark, f, AS_OF, refund_rule=True), flows.channel_dim(spark, f))
 
 
+@query("summary_channel_revenue")
+def summary_channel_revenue(spark, sf_dir):
+    """The same from the summary by date: kept with the whole fact first without refunds, then one half of its dates
+    after the other with them."""
+    f = _feeds(spark, sf_dir)
+    f.sales = f.sales.withColumn("marketplace_name", F.when(F.col("product_id") % 10 == 3, F.lit("Meesho"))
+                                 .otherwise(F.col("marketplace_name")))
+    path, dims = scratch_path(spark, "revenue_by_date"), (flows.dim_products(f), flows.dim_customers(f))
+    channels = flows.channel_dim(spark, f)
+    curated = refunds.settle(flows.curated_sales(f, refund_rule=False), sources.empty(spark, C.MKT_REFUNDS))
+    summaries.replace(facts.lookup_keys(curated, *dims, channels, AS_OF), path, slices.between(*FULL_RANGE))
+    fact = flows.fact_sales(spark, f, AS_OF, refund_rule=True, dims=dims)
+    for half in (slices.between(FULL_RANGE[0], SECOND_HALF), slices.between(SECOND_HALF, FULL_RANGE[1])):
+        summaries.replace(fact.filter(half(F.col("sale_date"))), path, half)
+    return summaries.revenue(spark, path, channels)
+
+
+@query("identity_murmur")
+def identity_murmur(spark, sf_dir):
+    s = fixtures.mkt_sales(spark, sf_dir).filter(F.col("customer_email").isNotNull())
+    return s.select(F.col("customer_email").alias("email")).distinct() \
+            .select("email", S.identity_murmur("email").alias("customer_id"))
+
+
 def _settlement(f: flows.Feeds) -> DataFrame:
     s = flows.settled_sales(f)
     return out(s.select("sale_id", "channel_name", "sales_amount", "refund_amount",
@@ -339,6 +363,21 @@ def merge_customers(spark, sf_dir):
     return out(dimensions.read_latest(spark, path))
 
 
+@query("merge_customers_buckets")
+def merge_customers_buckets(spark, sf_dir):
+    """The merge of ``merge_customers`` into a table of buckets, and once more, which changes nothing."""
+    f = _feeds(spark, sf_dir)
+    web, mkt = conform.web_customers(f.customers), conform.marketplace_customers
+    valid = flows.valid_sales(f)
+    path = scratch_path(spark, "dim_customers")
+    moved = web.withColumn("phone", F.when(F.col("customer_id") % 3 == 0, F.concat(F.lit("97"), F.col("customer_id")))
+                           .otherwise(F.col("phone")))
+    early = mkt(valid.filter(F.col("transaction_date") < S.ntz(SECOND_HALF)))
+    for part in ((web, early), (moved, mkt(valid)), (moved, mkt(valid))):
+        dimensions.upsert_buckets(spark, path, unify.union_all(*part), *C.DIM_CUSTOMERS_KEY, "first_name")
+    return out(dimensions.read_latest(spark, path))
+
+
 @query("dim_channels_seed")
 def dim_channels_seed(spark, sf_dir):
     return dimensions.channels(spark, flows.unified_sales(_feeds(spark, sf_dir)))

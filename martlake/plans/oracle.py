@@ -195,12 +195,31 @@ _SETTLEMENT = sql("""SELECT sale_id, channel_name, CAST(sales_amount AS DOUBLE)
   CAST(refund_amount AS DOUBLE) AS refund_amount, CAST(sales_amount - refund_amount AS DOUBLE) AS net_amount
 FROM st""", "st")
 
+def _rotated(x: str, bits: int) -> str:
+    return f"((({x}) * {1 << bits}) % 4294967296 + ({x}) // {1 << 32 - bits})"
+
+
+# the 32-bit Murmur3 of the e-mail's bytes (ASCII), seed 42: whole words of four bytes, then single bytes
+_MURMUR = f"""SELECT email, CASE WHEN h >= 2147483648 THEN 4294967296 - h ELSE h END::BIGINT AS customer_id FROM (
+  SELECT email, xor(h, h // 65536) AS h FROM (
+    SELECT email, (xor(h, h // 8192) * 3266489909::HUGEINT) % 4294967296 AS h FROM (
+      SELECT email, (xor(h, h // 65536) * 2246822507::HUGEINT) % 4294967296 AS h FROM (
+        SELECT email, xor(list_reduce(list_prepend(42::HUGEINT, list_transform(k, lambda x: ({_rotated("x", 15)} * 461845907) % 4294967296)),
+            lambda a, x: ({_rotated("xor(a, x)", 13)} * 5 + 3864292196) % 4294967296), length(email)::HUGEINT) AS h FROM (
+          SELECT email, list_transform(list_concat(
+              list_transform(range(length(email) // 4), lambda i: b[4 * i + 1] + 256 * b[4 * i + 2] + 65536 * b[4 * i + 3] + 16777216 * b[4 * i + 4]),
+              list_slice(b, length(email) // 4 * 4 + 1, length(email))), lambda x: (x::HUGEINT * 3432918353) % 4294967296) AS k
+          FROM (SELECT DISTINCT customer_email AS email, list_transform(string_split(customer_email, ''), lambda c: ascii(c)::BIGINT) AS b
+                FROM mkt_sales WHERE customer_email IS NOT NULL))))))"""
+
+
 ORACLE: dict[str, str] = {
     "channel_revenue": sql(REVENUE.format(src="st"), "st", "ch"),
     "channel_revenue_web_refunds": sql(REVENUE.format(src="str"), "str", "ch"),
-    "fact_channel_revenue": sql(REVENUE.format(src="(SELECT * REPLACE (CASE WHEN channel_name <> 'Website' AND product_id % 10 = 3 "
+    **{name: sql(REVENUE.format(src="(SELECT * REPLACE (CASE WHEN channel_name <> 'Website' AND product_id % 10 = 3 "
                                                "THEN 'Meesho' ELSE channel_name END AS channel_name) FROM str)")
-                                .replace("JOIN ch ON s.channel_name = ch.channel_name ", ""), "str"),
+                                .replace("JOIN ch ON s.channel_name = ch.channel_name ", ""), "str")
+       for name in ("fact_channel_revenue", "summary_channel_revenue")},
     **{name: _SETTLEMENT for name in ("refund_settlement", "refund_settlement_redelivered")},
     "dq_valid_orders": sql(f"SELECT {ORDERS_OUT} FROM wo_v", "wo_v"),
     "dq_quarantine_orders": sql(f"SELECT {ORDERS_OUT}, reasons FROM wo_c WHERE reasons <> ''", "wo_c"),
@@ -239,6 +258,7 @@ FROM wo_v""", "wo_v"),
     "scalar_format_timestamp": "SELECT event_id, strftime(ts, '%Y-%m-%d %H:%M:%S') AS ts_text FROM events",
     "scalar_name_split": sql("""SELECT transaction_id, customer_name, string_split(customer_name, ' ')[1] AS first_name,
   coalesce(string_split(customer_name, ' ')[2], '') AS last_name FROM mkt_sales""", "mkt_sales"),
+    "identity_murmur": sql(_MURMUR, "mkt_sales"),
     "identity_md5": sql("SELECT email, " + MD5_ID.format(e="email") + """ AS customer_id
 FROM (SELECT DISTINCT customer_email AS email FROM mkt_sales WHERE customer_email IS NOT NULL)""", "mkt_sales"),
     "derive_partitions": sql(f"""SELECT sale_id, {day('transaction_date')} AS sale_date,
@@ -266,9 +286,10 @@ WHERE rn = 1""", "cp", "cp2"),
                           "CAST(price AS DOUBLE) AS price FROM ("
                           + _merge("k1p", "cp2", "product_key", ["product_id", "source_system"],
                                    ["product_name", "category", "price"]) + ")", "k1p", "cp2"),
-    "merge_customers": sql("SELECT * FROM (" + _merge("k1c", "inc_c", "customer_key", ["customer_id", "source_system"],
+    **{name: sql("SELECT * FROM (" + _merge("k1c", "inc_c", "customer_key", ["customer_id", "source_system"],
                                                       ["first_name", "last_name", "email", "phone"]) + ")",
-                           "k1c", "inc_c"),
+                           "k1c", "inc_c")
+       for name in ("merge_customers", "merge_customers_buckets")},
     "dim_channels_seed": sql("""SELECT * FROM ch UNION ALL
 SELECT 3 + row_number() OVER (ORDER BY channel_name), channel_name, 'Marketplace', 'MySQL'
 FROM (SELECT DISTINCT channel_name FROM u WHERE channel_name NOT IN (SELECT channel_name FROM ch))""", "ch", "u"),

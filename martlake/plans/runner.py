@@ -14,9 +14,10 @@ the landing days in [start, end):
 3. rebuilds every event date that is in the range or touched, from the
    staged rows of the landing days that hold it, whichever run landed them;
    of the deliveries of one sale only the newest counts, whatever its date;
-4. upserts the product and customer dimensions (a new version each);
+4. upserts the product and customer dimensions (buckets with a new or
+   changed member are written again);
 5. settles refunds (each refund_id once, whatever its date) and replaces the
-   fact's slices of those dates.
+   fact's slices of those dates, and with them the revenue summary's.
 
 So the tables only depend on what has landed, not on which ranges were run,
 in which order or how often (asserted in the tests), and a run reads staged
@@ -40,7 +41,7 @@ from pyspark.sql import types as T
 
 from martlake import contracts as C
 from martlake.functions import scalars as S
-from martlake.operators import conform, dimensions, facts, key_index, quality, unify
+from martlake.operators import conform, dimensions, facts, key_index, quality, summaries, unify
 from martlake.operators import refunds as refund_ops
 from martlake.plans import flows
 from martlake.sinks import files as sinks
@@ -236,10 +237,15 @@ def run_ranges(spark: SparkSession, layout: Layout, ranges: list[Range], as_of:
     settled = refund_ops.settle_totals(curated.drop("sale_date"), totals)
     fact = facts.lookup_keys(settled, dims["products"], dims["customers"], channels, as_of)
     slices.replace(fact, layout.fact_sales, "sale_date", touched)
+    summaries.replace(read_fact(spark, layout, touched, fact.schema), layout.revenue_by_date, touched)
     dimensions.write_version(spark.createDataFrame([], NOTE), layout.unfinished)
     return split
 
 
+DIMENSION_KEYS = {"products": C.DIM_PRODUCTS_KEY, "customers": C.DIM_CUSTOMERS_KEY}
+BEST_BY = {"products": "product_name", "customers": "first_name"}
+
+
 def upsert_dimensions(spark: SparkSession, layout: Layout, sales: DataFrame, with_extracts: bool) -> dict[str, DataFrame]:
     """Products and customers: from the full extracts and the sales, or (when there is a version already) from the
     sales alone."""
@@ -247,12 +253,13 @@ def upsert_dimensions(spark: SparkSession, layout: Layout, sales: DataFrame, wit
     if with_extracts or dimensions.read_latest(spark, paths["products"]) is None:
         feeds = flows.Feeds(orders=None, refunds=None, products=whole_extract(spark, layout, "products"),
                             customers=whole_extract(spark, layout, "customers"), sales=sales)
-        build = {"products": flows.dim_products, "customers": flows.dim_customers}
+        build = {"products": flows.curated_products, "customers": flows.unified_customers}
     else:
         feeds = flows.Feeds(orders=None, refunds=None, products=None, customers=sources.empty(spark, C.CUSTOMERS), sales=sales)
-        build = {"customers": flows.dim_customers}
+        build = {"customers": flows.unified_customers}
     for name, fn in build.items():
-        dimensions.write_version(fn(feeds, dimensions.read_latest(spark, paths[name])), paths[name])
+        key, nat = DIMENSION_KEYS[name]
+        dimensions.upsert_buckets(spark, paths[name], fn(feeds), key, nat, BEST_BY[name])
     return {name: dimensions.read_latest(spark, path) for name, path in paths.items()}
 
 
@@ -291,8 +298,13 @@ def newest_deliveries(deliveries: DataFrame, moved: DataFrame) -> DataFrame:
             .filter(F.col("_newest").isNull() | (F.col("_newest") <= F.col("transaction_date"))).select(*own.columns))
 
 
-def read_fact(spark: SparkSession, layout: Layout, dates=None) -> DataFrame:
-    return slices.read(spark, layout.fact_sales, "sale_date", where=dates)
+def read_fact(spark: SparkSession, layout: Layout, dates=None, schema: T.StructType | None = None) -> DataFrame:
+    return slices.read(spark, layout.fact_sales, "sale_date", schema, dates)
+
+
+def read_revenue(spark: SparkSession, layout: Layout, dates=None) -> DataFrame:
+    """Revenue per channel, from the summary the runs keep."""
+    return summaries.revenue(spark, layout.revenue_by_date, dimensions.read_latest(spark, layout.dim_channels), dates)
 
 
 def read_quarantine(spark: SparkSession, layout: Layout, feed: str) -> DataFrame:
