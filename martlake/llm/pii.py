@@ -8,13 +8,19 @@ information as a share of the information in e,
     log(n(t and e) * N / (n(t) * n(e))) / log(N / n(e)),
 
 which is 1 if t stands only where e stands.  A text with entities counts once, however many copies it has; of other
-texts every row counts.  A term discloses the entity if the share still is ``GENERALISE`` with Wilson's lower bound of
-n(t and e) / n(t), at ``Z`` standard deviations, in place of the plain one: a single text can be enough, but only
-where log(N / n(e)) is large against what one text leaves open (log(1 + Z ** 2), so from N = 1024 texts on); the
-fewer the texts, the more of them it takes.  Every occurrence of a disclosing term in a text that holds the entity
-becomes a span (kind ``term``).  Sanitised texts have a base span replaced by its kind, a term by ``[TERM]``, or by
-nothing if its plain share is ``REMOVE`` or more; spans that overlap are replaced as one, from the first start to the
-greatest end.
+texts every row counts.  A term discloses the entity if
+
+* the share still is ``GENERALISE`` with Wilson's lower bound of n(t and e) / n(t), at ``Z`` standard deviations, in
+  place of the plain one, and
+* chance doesn't explain it: of the W words of the corpus that stand in n(t) texts, at most ``CHANCE`` are expected to
+  stand in n(t and e) texts of e by chance, W * C(n(t), k) * (n(e) / N) ** k for k = n(t and e) (the binomial by its
+  entropy bound).
+
+So a word that stands in one text only is a term where such words are rare, and is none where every text brings some of
+its own; a word that comes back with the entity is one.  Every occurrence of a disclosing term in a text that holds the
+entity becomes a span (kind ``term``).  Sanitised texts have a base span replaced by its kind; a term by nothing if
+its plain share is ``REMOVE`` or more, and else by the class of its form: ``[NAME]`` (a capital and small letters),
+``[CODE]`` (capitals) or ``[TERM]``.  Spans that overlap are replaced as one, from the first start to the greatest end.
 
 Only DataFrame functions are used.  The patterns never go back over a run of characters twice, so long runs cost
 linear time: a match of the plain pattern starts where such a run starts, or where the match before it ended.
@@ -25,6 +31,7 @@ own; other columns pass through; an empty table gives no rows.
 
 from __future__ import annotations
 
+import math
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -42,7 +49,7 @@ PATTERNS = {
 }
 TERM = r"(?<![\p{L}\p{N}_.%+@-])\p{L}{3,}+(?![\p{N}_]|[A-Za-z0-9._%+-]*+@)"
 WORD = r"\p{L}{3,}+"
-GENERALISE, REMOVE, Z = 0.9, 0.97, 1.0
+GENERALISE, REMOVE, Z, CHANCE = 0.9, 0.97, 1.0, 0.05
 
 
 def _let(value: Column, body) -> Column:
@@ -123,14 +130,14 @@ def _low(both: Column, n: Column) -> Column:
 
 
 def _disclosing(docs: DataFrame, held: DataFrame, n: int) -> DataFrame:
-    """key, term, share: the terms of each text that disclose an entity in it."""
+    """key, term, share: the terms of each text that disclose an entity in it, of n texts."""
     entity = written(held.select(F.explode("entities").alias("entity")).groupBy("entity").agg(
         F.count("*").alias("n_entity")).where(F.col("n_entity") < n), "pii-entities")
     most = entity.agg(F.max("n_entity")).first()[0] or 0
     terms = held.select("key", "copies", F.explode(_lower(F.col("forms"))).alias("term"))
     again = terms.groupBy("term").agg(F.sum(F.col("copies") - 1).alias("again"))
     words = _lower(F.regexp_extract_all(whole_text(), F.lit(WORD), F.lit(0)))
-    rows = docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_rows"))
+    rows = written(docs.select(F.explode(words).alias("term")).groupBy("term").agg(F.count("*").alias("n_rows")), "pii-words")
     # n(t and e) <= n(e): terms of more texts than this can't reach the bound with any entity
     limit = 1.0001 * most ** GENERALISE * n ** (1 - GENERALISE)
     rare = again.join(rows, "term").select("term", (F.col("n_rows") - F.col("again")).alias("n_term")).where(
@@ -138,14 +145,20 @@ def _disclosing(docs: DataFrame, held: DataFrame, n: int) -> DataFrame:
     pairs = written(terms.select("key", "term").join(rare, "term").join(
         held.select("key", F.explode("entities").alias("entity")), "key"), "pii-pairs")
     both = pairs.groupBy("entity", "term").agg(F.count("*").alias("both"), F.first("n_term").alias("n_term"))
+    # the numbers of texts that words stand in: d different ones need d * d / 2 word occurrences, so they are few
+    alike = rows.groupBy(F.col("n_rows").alias("n_term")).agg(F.count("*").alias("alike"))
     whole = F.log(F.lit(n) / F.col("n_entity"))
     share, low = (1 + F.log(p) / whole for p in (F.col("both") / F.col("n_term"), _low(F.col("both"), F.col("n_term"))))
-    found = both.join(entity, "entity").where(low >= GENERALISE).select("entity", "term", share.alias("share"))
+    p, rest = F.col("both") / F.col("n_term"), 1 - F.col("both") / F.col("n_term")
+    ways = F.col("n_term") * -(p * F.log(p) + F.when(rest > 0, rest * F.log(rest)).otherwise(0))
+    by_chance = F.log(F.coalesce("alike", F.lit(1))) + ways - F.col("both") * whole <= math.log(CHANCE)
+    found = (both.join(entity, "entity").where(low >= GENERALISE).join(F.broadcast(alike), "n_term", "left").where(by_chance)
+             .select("entity", "term", share.alias("share")))
     return pairs.join(found, ["entity", "term"]).groupBy("key", "term").agg(F.max("share").alias("share"))
 
 
 def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Base spans of every row of ``docs`` (doc_id, text), and term spans (start, end, share) of texts by key."""
+    """Base spans of every row of ``docs`` (doc_id, text), and term spans (start, end, share, form) of texts by key."""
     docs = docs.select("doc_id", "text")
     base = written(_base(docs), "pii-base")
     held = written(base.where(F.size("entities") > 0).groupBy("key").agg(
@@ -159,7 +172,9 @@ def find(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     start, end = TERM.split(WORD)
     pattern = F.concat(F.lit(f"{start}(?:"), F.array_join(named, "|"), F.lit(rf")(?!\p{{L}}){end}"))
     at = F.transform(_found(F.col("text"), F.col("pattern")), lambda m: F.struct(
-        m["start"].alias("start"), m["end"].alias("end"), F.col("shares")[F.lower(m["match"])].alias("share")))
+        m["start"].alias("start"), m["end"].alias("end"), F.col("shares")[F.lower(m["match"])].alias("share"),
+        F.when(m["match"].rlike(r"^\p{Lu}\p{Ll}+$"), "[NAME]").when(m["match"].rlike(r"^\p{Lu}+$"), "[CODE]")
+        .otherwise("[TERM]").alias("form")))
     by_text = held.join(shares, "key").withColumn("pattern", pattern).select("key", at.alias("term"))
     return base, written(by_text, "pii-spans")
 
@@ -168,7 +183,7 @@ def spans(docs: DataFrame) -> DataFrame:
     """doc_id, a column of spans for each kind, and ``term``."""
     base, terms = find(docs)
     return base.join(terms, "key", "left").select("doc_id", *PATTERNS, F.coalesce("term", F.array().cast(
-        "array<struct<start:int,end:int,share:double>>")).alias("term"))
+        "array<struct<start:int,end:int,share:double,form:string>>")).alias("term"))
 
 
 def joined(*kinds: str) -> Column:
@@ -204,7 +219,7 @@ def sanitise(docs: DataFrame) -> DataFrame:
         by = F.lit(f"[{k.upper()}]")
         return F.transform(k, lambda x: F.struct(
             x["start"].alias("start"), (-x["end"]).alias("first"), x["end"].alias("end"),
-            (F.when(x["share"] >= REMOVE, "").otherwise(by) if k == "term" else by).alias("by")))
+            (F.when(x["share"] >= REMOVE, "").otherwise(x["form"]) if k == "term" else by).alias("by")))
 
     none = F.array().cast("array<struct<start:int,first:int,end:int,by:string>>")
     per_text = base.where(reduce(lambda a, b: a | b, [F.size(k) > 0 for k in PATTERNS])).dropDuplicates(["key"])
