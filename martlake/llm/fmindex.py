@@ -8,9 +8,10 @@ the rest the task builds a suffix array, the Burrows-Wheeler transform with a wa
 suffix positions; all phrases are searched backwards at once, occurrences are located by steps back to a sampled
 position, and overlapping or touching occurrences are merged into spans.
 
-The benchmark is a stated query set: it goes to the tasks in blocks of about ``BLOCK_BYTES`` of text (copies of one
-text fall in one block), and every block meets every document.  All blocks are on the driver at once and in one plan,
-so the whole benchmark must fit the driver and each Python worker.
+The benchmark is a stated query set: it goes to the tasks in blocks of about ``BLOCK_BYTES`` of text, dealt by a hash of
+item and text without repeats, and every block meets every document.  One block is on the driver and in the tasks at a
+time: where there are several, the documents are numbered in a written table, each block's finds are written before the
+next block is taken, and a join by the number puts them together.
 
 Defined results: a null or empty text has no words and no spans; a null or empty item has no phrase; items with a
 null id are searched and reported under the empty string; repeated items count once; repeated documents are
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from martlake.llm.common import map_arrow
+from martlake.llm.common import map_arrow, written
 
 WINDOW = 10
 BLOCK_BYTES = 16 << 20
@@ -232,28 +233,56 @@ def _search(items: list[tuple[str, str]], window: int, shard_words: int):
     return run
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """The items in blocks of about that many bytes, dealt by their text."""
-    rows = benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
-                            F.coalesce("text", F.lit("")).alias("text"))
-    total = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    blocks = -(-total // block_bytes)
-    for k in range(blocks):
-        part = rows.where(F.pmod(F.xxhash64("text"), F.lit(blocks)) == k) if blocks > 1 else rows
-        yield [(r["item"], r["text"]) for r in part.collect()]
+def _items(benchmark: DataFrame) -> DataFrame:
+    return benchmark.select(F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"),
+                            F.coalesce("text", F.lit("")).alias("text")).distinct()
+
+
+def _block(items: DataFrame, k: int, blocks: int) -> list[tuple[str, str]]:
+    """The items of one block."""
+    return [(r["item"], r["text"]) for r in items.where(F.pmod(F.xxhash64("item", "text"), F.lit(blocks)) == k).collect()]
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row's finds of all blocks as one."""
+    for b in batches:
+        spans, items = [], []
+        for each, names in zip(b.column(1).to_pylist(), b.column(2).to_pylist()):
+            out: list[int] = []
+            for more in each:
+                out = merged(out, more)
+            spans.append(out)
+            items.append(sorted({x for found in names for x in found}))
+        yield pa.RecordBatch.from_arrays([b.column(0), pa.array(spans, pa.list_(pa.int64())), pa.array(items, pa.list_(pa.string()))],
+                                         ["number", "spans", "items"])
 
 
 def find_passages(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, block_bytes: int = BLOCK_BYTES,
                   shard_words: int = SHARD_WORDS) -> DataFrame:
     """text, row (the document's other columns), n_words, spans (word numbers: start, end, ...), items."""
-    rest = [F.col(f"`{c}`") for c in docs.columns if c != "text"]
-    out = docs.select("text", F.struct(*rest).alias("row"), F.lit(0).cast("long").alias("n_words"),
-                      F.array().cast("array<bigint>").alias("spans"), F.array().cast("array<string>").alias("items"))
-    schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in out.schema])
-    blocks = list(item_blocks(benchmark, block_bytes))
-    for items in blocks or [[]]:
-        out = map_arrow(out, _search(items, window, shard_words), schema)
-    return out
+    nothing = [F.lit(0).cast("long").alias("n_words"), F.array().cast("array<bigint>").alias("spans"),
+               F.array().cast("array<string>").alias("items")]
+
+    def search(rows: DataFrame, k: int) -> DataFrame:
+        schema = T.StructType([T.StructField(f.name, f.dataType, True) for f in rows.schema])
+        return map_arrow(rows, _search(_block(items, k, blocks), window, shard_words), schema)
+
+    rest = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != "text"]).alias("row")
+    items = _items(benchmark)
+    blocks = max(1, -(-(items.agg(F.sum(F.octet_length("text"))).first()[0] or 0) // block_bytes))
+    if blocks == 1:
+        return search(docs.select("text", rest, *nothing), 0)
+    numbered = written(docs.select("text", rest, F.monotonically_increasing_id().alias("number")), "numbered")
+    rows = numbered.select("text", F.col("number").alias("row"), *nothing)
+    first = written(search(rows, 0).select(F.col("row").alias("number"), "n_words", "spans", "items"), "finds")
+    finds = first.select("number", "spans", "items").where(F.size("spans") > 0)
+    for k in range(1, blocks):
+        finds = finds.union(written(search(rows, k).where(F.size("spans") > 0).select(
+            F.col("row").alias("number"), "spans", "items"), "finds"))
+    each = finds.groupBy("number").agg(F.collect_list("spans").alias("spans"), F.collect_list("items").alias("items"))  # an entry a block
+    found = written(map_arrow(each, _together, "number long, spans array<long>, items array<string>"), "together")
+    return (numbered.join(first.select("number", "n_words").hint("merge"), "number").join(found.hint("merge"), "number", "left")
+            .select("text", "row", "n_words", *[F.coalesce(c, n).alias(c) for c, n in zip(("spans", "items"), nothing[1:])]))
 
 
 def _cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
