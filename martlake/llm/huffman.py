@@ -11,7 +11,10 @@ The format is three Parquet tables below one folder, so that any store Spark rea
   checkpoints (bit offset of every ``EVERY``-th id), payload (the bits, most significant first);
 * ``files``  - file_no, start (ids of all files before it), n_tokens.
 
-Defined results: a null text is empty (the end id alone); null doc_ids come first; repeated rows are documents of
+The number of blocks' tasks is ``spark.sql.shuffle.partitions``, to be set by the input's size.
+
+Defined results: a very long text is one document of one block, which is as long as it needs; a null text is empty (the end
+id alone); null doc_ids come first; repeated rows are documents of
 their own, next to each other; other columns are not read; an empty table gives empty tables.
 """
 

@@ -12,7 +12,8 @@ number stays under the bound by many standard deviations).
 
 Defined results: a text that is null or has no letter is ``und`` with score 0, and rejected; so is every text when
 there is no training row.  Equal cosines go to the smaller language name.  Rows without lang, text or doc_id are not
-trained on.  Repeated rows are rows of their own; other columns pass through.
+trained on.  Repeated rows are rows of their own; other columns pass through.  A very long text is one vector of all its
+n-grams.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ Two sets can only share a MinHash if they share a shingle, so windows without an
 Only DataFrame functions are used.  There is no shuffle but the last, of matches: the templates are broadcast, and at
 most ``MOST_TEMPLATES`` of them are taken.
 
-Defined results: a null text, or one of fewer than ``K`` words, has no match; rows without id and repeated rows are
+Defined results: a very long text is cut into windows whole; of equally good templates of a licence the earliest
+first word and the latest last word are given; a null text, or one of fewer than ``K`` words, has no match; rows without id and repeated rows are
 rows of their own; other columns are not read; an empty table gives no rows.  Templates of fewer than ``K`` words are
 refused.
 """

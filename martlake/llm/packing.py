@@ -11,7 +11,9 @@ It is one pass over the documents without a shuffle: each task packs blocks of a
 is bounded by that and the longest text.  Sequence and group numbers hold the task's number and a running number;
 they are the same when a lost task runs again, as long as the input's splits are the same.
 
-Defined results: a null text is empty (one piece, the end id); a null doc_id stays null; repeated rows are
+Defined results: pieces of equal length are taken in the order of the documents from the last one on, and
+sequences of equal length are dealt to groups in their order; a very long text is cut into whole windows of the longest tier;
+a null text is empty (one piece, the end id); a null doc_id stays null; repeated rows are
 documents of their own; columns other than doc_id and text are not read; an empty table gives no rows.
 """
 

@@ -10,7 +10,7 @@ Tables below one folder:
 * ``payloads`` - digest (SHA-256, hex), payload;
 * ``records``  - digest, header (the exact header block, with its empty line).
 
-Defined results: a null payload is empty; a null id is larger than any other, and ties between rows with equal ids
+Defined results: a null payload is empty; a very long one is one row, hashed and stored whole; a null id is larger than any other, and ties between rows with equal ids
 go to the smaller address, then to the earlier row, so that exactly one is the response; line breaks in an address
 are percent-encoded, a null one leaves its header out; other columns are not read; an empty table gives an empty
 archive.
