@@ -10,7 +10,7 @@ from seed import feeds as seed_feeds
 
 from martlake import contracts as C
 from martlake.operators import dimensions, key_index, refunds
-from martlake.plans import runner
+from martlake.plans import flows, runner
 from martlake.session import scratch_path
 from martlake.sinks import files as sinks
 from martlake.sinks import slices
@@ -62,9 +62,14 @@ def test_a_day_reads_its_own_slices_and_the_buckets_of_its_ids(spark):
     assert sum(staged[d] in f for d in DAYS for f in rows.inputFiles()) == sum(staged[DAYS[0]] in f for f in rows.inputFiles()) > 0
     got = {r.sale_id: r.sales_amount for r in runner.read_fact(spark, layout).collect()}
     assert got["MKT-SALE-AMZ-2026-08-19-101"] == Decimal("1300.00") and len(got) == len(fact(spark, layout))
+    # the summary's revenue is the fact's, and reads no fact
+    revenue = runner.read_revenue(spark, layout)
+    assert not any("/fact_sales/" in f for f in revenue.inputFiles())
+    star = flows.fact_channel_revenue(runner.read_fact(spark, layout), dimensions.channel_seed(spark))
+    assert [tuple(r) for r in revenue.collect()] == [tuple(r) for r in star.collect()]
 
 
-@pytest.mark.parametrize("step", ["update_sales", "update_refunds", "moved_sales"])
+@pytest.mark.parametrize("step", ["update_refunds", "moved_sales"])
 def test_a_run_that_broke_off_is_made_good_by_the_next(spark, monkeypatch, step):
     layout = runner.Layout(scratch_path(spark, "broken"))
     runner.land(seed_feeds(spark), layout)
@@ -140,6 +145,27 @@ def test_counts_are_observed_while_writing(spark):
     assert slices.replace(rows, path, "day", lambda d: F.lit(True)) == {}
 
 
+def test_only_buckets_with_a_change_are_written(spark):
+    path, key, nat = scratch_path(spark, "dim"), "k", ["id", "src"]
+
+    def rows(**names):
+        return spark.createDataFrame([(k, "s", names.get(f"n{k}", f"name {k}"), None) for k in range(400)], "id long, src string, name string, note string")
+
+    def current():
+        return {r.id: (r.k, r.name) for r in dimensions.read_latest(spark, path).collect()}
+
+    assert len(dimensions.upsert_buckets(spark, path, rows().filter("id < 390"), key, nat, "name")) > 100
+    first, held = current(), folders(spark, path)
+    assert sorted(k for k, _ in first.values()) == list(range(1, 391))
+    assert dimensions.upsert_buckets(spark, path, rows().filter("id < 390"), key, nat, "name") == []  # says nothing new
+    assert folders(spark, path) == held
+    written = dimensions.upsert_buckets(spark, path, rows(n7="seven").filter("id < 392"), key, nat, "name")
+    assert 1 <= len(written) <= 3 and {b for b, f in folders(spark, path).items() if f != held.get(b)} == set(written)
+    now = current()
+    assert now[7] == (first[7][0], "seven") and {now[k][0] for k in (390, 391)} == {391, 392}
+    assert all(now[k] == first[k] for k in first if k != 7)
+
+
 def test_stream_writes_the_fact_and_late_duplicates_only_their_slice(spark):
     layout = runner.Layout(scratch_path(spark, "stream"))
     f = seed_feeds(spark)

@@ -71,3 +71,28 @@ def test_scd1_upsert_matches_merge_model(spark, current, incoming):
     for j, k in enumerate(sorted(set(src) - set(current))):
         model[k] = (top + j + 1, src[k])
     assert got == sorted((key, k, "S", a) for k, (key, a) in model.items())
+
+
+def _murmur(data: bytes, seed: int = 42) -> int:
+    """32-bit Murmur3 of whole words of four bytes and then single bytes, as a signed number's absolute value."""
+    mask = 0xFFFFFFFF
+
+    def turned(x, n):
+        return (x << n | x >> 32 - n) & mask
+
+    h, whole = seed, len(data) // 4 * 4
+    words = [int.from_bytes(data[k:k + 4], "little") for k in range(0, whole, 4)]
+    words += [b - 256 if b > 127 else b for b in data[whole:]]
+    for w in words:
+        h = (turned(h ^ turned(w * 0xCC9E2D51 & mask, 15) * 0x1B873593 & mask, 13) * 5 + 0xE6546B64) & mask
+    h ^= len(data)
+    for shift, factor in ((16, 0x85EBCA6B), (13, 0xC2B2AE35), (16, 1)):
+        h = (h ^ h >> shift) * factor & mask
+    return abs(h - (1 << 32) if h >> 31 else h)
+
+
+def test_murmur_identity_matches_a_plain_version(spark):
+    from martlake.functions import scalars as S
+    texts = ["", "a", "ab", "abc", "abcd", "abcde", "user123@example.com", "é@ü.org", "日本"] + [f"shopper{k}@mail.net" for k in range(200)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select("t", S.identity_murmur("t").alias("h")).collect()
+    assert {r.t: r.h for r in got} == {t: _murmur(t.encode()) for t in texts}
