@@ -64,6 +64,27 @@ TEMPLATES = [
     ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
     ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
     ("CC-BY-NC-4.0", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
+    ("CC-BY-NC-SA-4.0", "Licensed under CC BY-NC-SA 4.0."),
+    ("CC-BY-NC-ND-4.0", "Licensed under CC BY-NC-ND 4.0."),
+    ("CC-BY-NC-SA-4.0", """This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0
+        International License."""),
+    ("CC-BY-NC-ND-4.0", """This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0
+        International License."""),
+    ("BSD", """Redistributions of source code must retain the above copyright notice, this list of conditions and the
+        following disclaimer. Redistributions in binary form must reproduce the above copyright notice, this list of
+        conditions and the following disclaimer in the documentation and/or other materials provided with the
+        distribution."""),
+    ("ISC", """Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is
+        hereby granted, provided that the above copyright notice and this permission notice appear in all copies."""),
+    ("Zlib", """This software is provided 'as-is', without any express or implied warranty. In no event will the authors be
+        held liable for any damages arising from the use of this software. Permission is granted to anyone to use this
+        software for any purpose, including commercial applications, and to alter it and redistribute it freely"""),
+    ("BSL-1.0", "Distributed under the Boost Software License, Version 1.0."),
+    ("EPL-2.0", """This program and the accompanying materials are made available under the terms of the Eclipse Public
+        License 2.0"""),
+    ("Unlicense", """This is free and unencumbered software released into the public domain. Anyone is free to copy, modify,
+        publish, use, compile, sell, or distribute this software, either in source code form or as a compiled binary, for
+        any purpose, commercial or non-commercial, and by any means."""),
     ("CC0-1.0", "To the extent possible under law, the author has waived all copyright and related rights to this work."),
 ]
 
