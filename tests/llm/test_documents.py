@@ -230,6 +230,14 @@ def test_overlapping_kinds_leave_nothing(spark):
     assert clean == {0: "[PHONE]", 1: "[IP] end", 2: "call [PHONE] or [EMAIL] now"}
 
 
+def test_licence_families_and_bodies(spark):
+    texts = ["Licensed under CC BY-NC-SA 4.0. " + "word " * 30, "Licensed under CC BY-NC-ND 4.0."]
+    texts += [f"Copyright someone. {t} The end." for n, t in licenses.TEMPLATES if n in ("ISC", "Zlib", "BSL-1.0", "EPL-2.0", "Unlicense")]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = sorted((r.doc_id, r.license) for r in licenses.scan(df).collect())
+    assert found == list(enumerate(["CC-BY-NC-SA-4.0", "CC-BY-NC-ND-4.0", "ISC", "Zlib", "BSL-1.0", "EPL-2.0", "Unlicense"]))
+
+
 def test_licences(spark, docs, none):
     apache = licenses.TEMPLATES[1][1]
     words = apache.split()
