@@ -30,23 +30,25 @@ def replace(rows: DataFrame, path: str, column: str, scope: Callable[[Column], C
     a slice like any other.
 
     ``metrics`` (name -> aggregate) are observed on the rows as they are
-    written and returned.  They are taken in the writing stage itself, whose
-    tasks count once however often they are tried again."""
+    written and returned; so are the dates written (at most one a slice).
+    They are taken in the writing stage itself, whose tasks count once
+    however often they are tried again."""
     spark = rows.sparkSession
     folder = uuid.uuid4().hex
-    out = rows.hint("rebalance", column).sortWithinPartitions(column)
-    observed = Observation() if metrics else None
-    if observed is not None:
-        out = out.observe(observed, *[c.alias(name) for name, c in metrics.items()])
-    out.write.parquet(f"{path}/data/{folder}")
-    written = (spark.read.schema(rows.schema).parquet(f"{path}/data/{folder}")
-               .select(F.col(column).alias("day")).distinct().withColumn("folder", F.lit(folder)))
+    observed = Observation()
+    (rows.hint("rebalance", column).sortWithinPartitions(column)
+     .observe(observed, F.collect_set(column).alias(_DAY), F.count_if(F.col(column).isNull()).alias(_FOLDER),
+              *[c.alias(name) for name, c in (metrics or {}).items()])
+     .write.parquet(f"{path}/data/{folder}"))
+    seen = dict(observed.get)
+    days = [*seen.pop(_DAY), *[None] * (seen.pop(_FOLDER) > 0)]
+    kind = rows.schema[column].dataType.simpleString()
+    current = spark.createDataFrame([(d, folder) for d in days], f"day {kind}, folder string")
     manifest = read_latest(spark, f"{path}/manifest")
     if manifest is not None:
-        kept = manifest.filter(~F.coalesce(scope(F.col("day")), F.lit(False)))
-        written = kept.unionByName(written)
-    write_version(written.coalesce(1), f"{path}/manifest")  # a row per date
-    return observed.get if observed is not None else {}
+        current = manifest.filter(~F.coalesce(scope(F.col("day")), F.lit(False))).unionByName(current)
+    write_version(current.coalesce(1), f"{path}/manifest")  # a row per date
+    return seen
 
 
 def read(spark: SparkSession, path: str, column: str, schema: T.StructType | None = None,

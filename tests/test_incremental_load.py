@@ -69,7 +69,7 @@ def test_a_day_reads_its_own_slices_and_the_buckets_of_its_ids(spark):
     assert [tuple(r) for r in revenue.collect()] == [tuple(r) for r in star.collect()]
 
 
-@pytest.mark.parametrize("step", ["update_refunds", "moved_sales"])
+@pytest.mark.parametrize("step", ["update_refunds"])
 def test_a_run_that_broke_off_is_made_good_by_the_next(spark, monkeypatch, step):
     layout = runner.Layout(scratch_path(spark, "broken"))
     runner.land(seed_feeds(spark), layout)
