@@ -176,7 +176,7 @@ def upsert_buckets(spark: SparkSession, path: str, incoming: DataFrame, key_col:
 
     new = assign_keys(changed.filter(F.col(key_col).isNull()).drop(key_col), natural_keys, key_col, max_key(current, key_col))
     renewed = changed.filter(F.col(key_col).isNotNull())
-    kept = slices.read(spark, path, BUCKET, where=touched).join(renewed.select(key_col), key_col, "left_anti")
+    kept = slices.read(spark, path, BUCKET, current.schema, touched).join(renewed.select(key_col), key_col, "left_anti")
     columns = [key_col, *natural_keys, *attrs, BUCKET]
     rows = kept.select(*columns).unionByName(renewed.select(*columns)).unionByName(new.select(*columns))
     slices.replace(rows, path, BUCKET, touched)

@@ -164,6 +164,13 @@ def test_only_buckets_with_a_change_are_written(spark):
     now = current()
     assert now[7] == (first[7][0], "seven") and {now[k][0] for k in (390, 391)} == {391, 392}
     assert all(now[k] == first[k] for k in first if k != 7)
+    # a member whose bucket held none so far
+    taken = set(held) | set(written)
+    free = spark.range(1000, 9000).select("id", F.pmod(F.xxhash64("id", F.lit("s")), F.lit(dimensions.BUCKETS)).alias("b")).filter(
+        ~F.col("b").isin(sorted(taken))).first()
+    if free is not None:
+        new = spark.createDataFrame([(free.id, "s", "new", None)], "id long, src string, name string, note string")
+        assert dimensions.upsert_buckets(spark, path, new, key, nat, "name") == [free.b] and current()[free.id] == (393, "new")
 
 
 def test_stream_writes_the_fact_and_late_duplicates_only_their_slice(spark):
