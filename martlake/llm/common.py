@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from martlake.session import scratch_path
 
 #: Rows and bytes that one Arrow batch hands to a Python worker at most: bounds its memory when texts are long.
-BATCH_ROWS, BATCH_BYTES = 4000, "16m"
+BATCH_ROWS, BATCH_BYTES = 4000, "8m"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -61,15 +61,17 @@ def keep(name: str, make: Callable):
 
 
 def _turn_to(step: str) -> None:
-    """Workers serve one operator after the other: drop what the last one kept, and give its memory back."""
+    """Workers serve one operator after the other: drop what the last one kept."""
     if _kept["step"] != step:
-        had = len(_kept) > 1
         _kept.clear()
         _kept["step"] = step
-        if had:
-            pa.default_memory_pool().release_unused()
-            if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
-                libc.malloc_trim(0)
+
+
+def _give_back() -> None:
+    """Freed memory goes back to the system, so that a worker between two tasks is small."""
+    pa.default_memory_pool().release_unused()
+    if hasattr(libc := ctypes.CDLL(None), "malloc_trim"):
+        libc.malloc_trim(0)
 
 
 def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
@@ -81,5 +83,6 @@ def map_arrow(df: DataFrame, fn: Callable[[Iterator[pa.RecordBatch]], Iterator[p
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         _turn_to(step)
         yield from fn(batches)
+        _give_back()
 
     return df.mapInArrow(run, schema)
