@@ -17,7 +17,7 @@ from martlake.llm.common import map_arrow, written
 from martlake.llm.shingles import overlap, shingle_sets
 
 #: Shingles of the queries and of the nodes that one block compares, and of the blocks that share a task's group.
-QUERY_BLOCK, NODE_BLOCK, POOL = 100_000, 500_000, 1_000_000
+QUERY_BLOCK, NODE_BLOCK, POOL = 100_000, 500_000, 250_000
 
 
 def parts(batch: pa.RecordBatch, chars: int = 2_000_000) -> Iterator[tuple[list, ...]]:
@@ -77,8 +77,27 @@ def linked_pairs(pairs: DataFrame, sets: DataFrame, share: int) -> DataFrame:
                      "a long, b long")
 
 
-def _compare(node: np.ndarray, comp: np.ndarray, query: np.ndarray, sets: list[np.ndarray], share: int) -> list:
-    """Queries of one block against its nodes of other classes: a link to each class that a query reaches."""
+class Joined:
+    """Classes that links have joined so far."""
+
+    def __init__(self):
+        self.up: dict[int, int] = {}
+
+    def top(self, c: int) -> int:
+        while (above := self.up.get(c, c)) != c:
+            self.up[c] = self.up.get(above, above)
+            c = above
+        return c
+
+    def join(self, a: int, b: int) -> bool:
+        """Whether a and b were apart."""
+        a, b = self.top(a), self.top(b)
+        self.up[a] = b
+        return a != b
+
+
+def _compare(node: np.ndarray, comp: np.ndarray, query: np.ndarray, sets: list[np.ndarray], share: int, joined: Joined) -> list:
+    """Queries of one block against its nodes of other classes: the links that join classes still apart."""
     data, out = np.flatnonzero(~query), []
     if not len(data) or not query.any():
         return out
@@ -92,12 +111,14 @@ def _compare(node: np.ndarray, comp: np.ndarray, query: np.ndarray, sets: list[n
         at = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n - low, n)
         both = np.bincount(owner[at], minlength=len(data))
         hit = (100 * both >= share * (len(sets[q]) + size - both)) & (comp[data] != comp[q])
-        out += [(int(node[q]), c) for c in {int(comp[d]): int(node[d]) for d in data[hit]}.values()]
+        found = {int(comp[d]): int(node[d]) for d in data[hit]}
+        out += [(int(node[q]), d) for c, d in found.items() if joined.join(int(comp[q]), c)]
     return out
 
 
 def _compare_blocks(share: int):
-    """The blocks of a pool, one after the other; rows of different blocks are never compared."""
+    """The blocks of a pool, one after the other; rows of different blocks are never compared.  A pool gives fewer
+    links than it holds classes."""
 
     def run(rows: pa.Table) -> pa.Table:
         label, q, d, node, comp = (rows.column(c).to_numpy() for c in ("label", "q", "d", "node", "component"))
@@ -108,9 +129,9 @@ def _compare_blocks(share: int):
         for c in (label, q, d):
             new[1:] &= c[order][1:] == c[order][:-1]
         new[1:] = ~new[1:]
-        pairs = []
+        pairs, joined = [], Joined()
         for at in np.split(order, np.flatnonzero(new)[1:]):
-            pairs += _compare(node[at], comp[at], query[at], [sets[k] for k in at], share)
+            pairs += _compare(node[at], comp[at], query[at], [sets[k] for k in at], share, joined)
         a, b = zip(*pairs) if pairs else ((), ())
         return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
 

@@ -229,3 +229,13 @@ def test_groups_of_all_sizes_follow_one_rule(spark, monkeypatch, members):
                                   spark.createDataFrame([], "node long, component long"), sets, 85)
     got = {tuple(sorted((r.a, r.b))) for r in found.collect()}
     assert got == {(n, n + 1) for n in range(0, members - 1, 2)}
+
+
+def test_a_group_of_copies_gives_fewer_links_than_it_has_members(spark):
+    """Near copies that are all linked with one another, but not with the smallest member of their group."""
+    sets = [np.arange(100, dtype=np.uint64)] + [np.arange(1000 + k % 3, 1100 + k % 3, dtype=np.uint64) for k in range(300)]
+    frame = spark.createDataFrame([(n, 100, bytearray(s.tobytes())) for n, s in enumerate(sets)], "node long, n long, shingles binary")
+    members = spark.createDataFrame([(1, n) for n in range(301)], "key long, node long")
+    found = links.links_in_groups(members, spark.createDataFrame([], "node long, component long"), frame, 85).collect()
+    joined = links.Joined()
+    assert sum(joined.join(r.a, r.b) for r in found) == 299 and len(found) < 600
