@@ -45,5 +45,5 @@ def test_results_do_not_depend_on_session_time_zone(spark, con, sf_dir, name):
 def test_driver_contract_shape():
     from martlake.plans.catalog import QUERIES
     q, o = entry.queries(), entry.oracle_sql()
-    assert len(QUERIES) == 71 and set(o) <= set(q) and set(QUERIES) <= set(o)
+    assert len(QUERIES) == 74 and set(o) <= set(q) and set(QUERIES) <= set(o)
     assert all(callable(fn) for fn in q.values()) and all(isinstance(s, str) and s.strip() for s in o.values())
