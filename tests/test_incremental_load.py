@@ -202,3 +202,65 @@ def test_stream_writes_the_fact_and_late_duplicates_only_their_slice(spark):
     assert {d for d in third if third[d] != second.get(d)} == {DAYS[0]}
     assert ("MKT-SALE-AMZ-2026-08-19-101", Decimal("1300.00")) in {
         (r.sale_id, r.sales_amount) for r in runner.read_fact(spark, layout).collect()}
+
+
+def test_a_full_load_looks_no_sale_up(spark, monkeypatch):
+    """The index holds no date outside the range, so the ids of the load aren't joined to it; a day's load is."""
+    layout = runner.Layout(scratch_path(spark, "full"))
+    runner.land(seed_feeds(spark), layout)
+    asked, entries = [], key_index.sale_entries
+
+    def counted(spark, path, ids=None):
+        asked.append(ids is not None)
+        return entries(spark, path, ids)
+
+    monkeypatch.setattr(key_index, "sale_entries", counted)
+    for _ in range(2):
+        load(spark, layout, DAYS[0], DAYS[-1] + ONE)
+    once = fact(spark, layout)
+    assert not any(asked) and len(once) > 0
+    load(spark, layout, DAYS[1])
+    assert any(asked) and fact(spark, layout) == once
+
+
+def test_rows_are_held_against_the_manifest_only_where_a_date_was_replaced(spark):
+    path, days = scratch_path(spark, "whole"), [dt.date(2026, 8, d) for d in range(1, 5)]
+
+    def rows(some, n):
+        return spark.createDataFrame([(d, k) for d in [*some, None] for k in range(n)], "day date, k int")
+
+    def read(**more):
+        found = slices.read(spark, path, "day", **more)
+        return found, found._jdf.queryExecution().optimizedPlan().toString()
+
+    slices.replace(rows(days, 3), path, "day", lambda d: F.lit(True))
+    for where, n in ((None, 15), (slices.between(days[0], days[2]), 6)):
+        found, plan = read(where=where)
+        assert "Join" not in plan and found.count() == n
+    slices.replace(rows(days[:1], 2), path, "day", lambda d: (d == F.lit(days[0])) | d.isNull())
+    found, plan = read()
+    assert "Join" in plan and found.count() == 13
+    assert sorted(r.k for r in found.filter("day IS NULL OR day = '2026-08-01'").collect()) == [0, 0, 1, 1]
+    found, plan = read(where=lambda d: d.isNull())
+    assert "Join" not in plan and found.count() == 2
+    # a manifest from before the number of dates was kept
+    held = dimensions.read_latest(spark, f"{path}/manifest").drop("written").cache()
+    held.count()
+    dimensions.write_version(held, f"{path}/manifest")
+    assert read()[0].count() == 13
+    slices.replace(rows(days[1:2], 5).filter("day IS NOT NULL"), path, "day", lambda d: d == F.lit(days[1]))
+    assert read(where=lambda d: d == F.lit(days[1]))[0].count() == 5
+
+
+def test_landed_rows_are_staged_without_a_shuffle(spark, monkeypatch):
+    layout, plans = runner.Layout(scratch_path(spark, "staged")), {}
+    runner.land(seed_feeds(spark), layout)
+    replace = slices.replace
+
+    def seen(rows, path, column, *args, **more):
+        plans[path.rsplit("/", 1)[1]] = more.get("clustered")
+        return replace(rows, path, column, *args, **more)
+
+    monkeypatch.setattr(slices, "replace", seen)
+    load(spark, layout, DAYS[0], DAYS[-1] + ONE)
+    assert plans["staged_orders"] and plans["staged_sales"] and not plans["fact_sales"]
