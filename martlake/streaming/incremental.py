@@ -30,7 +30,7 @@ from pyspark.sql import types as T
 from martlake import contracts as C
 from martlake.operators import conform, quality, unify
 from martlake.plans import runner
-from martlake.sources.files import LANDING_DAY, PARSE_ERRORS, type_feed
+from martlake.sources.files import JSON_FILES, LANDING_DAY, PARSE_ERRORS, type_feed
 
 
 def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curated: str,
@@ -43,7 +43,7 @@ def run_available_now(spark: SparkSession, landing: str, checkpoint: str, curate
               .option("mode", "PERMISSIVE")
               .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN)
               .option("maxFilesPerTrigger", max_files_per_trigger)
-              .option("pathGlobFilter", "*.json")
+              .option("pathGlobFilter", JSON_FILES)
               .json(f"{landing.rstrip('/')}/*"))
 
     def per_batch(batch: DataFrame, epoch_id: int) -> None:
@@ -77,7 +77,7 @@ def run_into_fact(spark: SparkSession, layout: runner.Layout, checkpoint: str, a
         schema = schema.add(key, T.IntegerType())
     raw = (spark.readStream.schema(schema).option("mode", "PERMISSIVE")
            .option("columnNameOfCorruptRecord", C.CORRUPT_COLUMN).option("maxFilesPerTrigger", max_files_per_trigger)
-           .option("pathGlobFilter", "*.json").json(layout.landing_sales))
+           .option("pathGlobFilter", JSON_FILES).json(layout.landing_sales))
     day = F.make_date("year", "month", "day")
     rows = type_feed(raw.withColumn(LANDING_DAY, day).drop("year", "month", "day"), C.MKT_SALES)
     # a line that can't be read is known by its day, so that the day's quarantine is written
